@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopfunnel.operators.quantiles import exact_quantiles
+from shopfunnel.operators.quantiles import numeric_stats, value_frequencies
 from shopfunnel.operators.reshape import rows_of
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -67,17 +67,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
     NaN counts as missing.
     """
-    columns = list(columns or columns_of(df, T.NumericType))
-    numbers = df.select(*[_number(df, c) for c in columns])
-    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = numbers.agg(*[f(c).alias(f"{c}__{name}") for c in columns for name, f in moments.items()])
-    summary = rows_of(
-        wide,
-        [{"column_name": F.lit(c), **{m: F.col(f"{c}__{m}") for m in moments}} for c in columns],
-    )
-    quartiles = exact_quantiles(numbers, columns, QUARTILES)
-    # Both sides have one row per column.
-    return summary.join(quartiles, "column_name", "left").select(
+    stats = numeric_stats(df, list(columns or columns_of(df, T.NumericType)), QUARTILES)
+    return stats.select(
         "column_name",
         "count",
         "mean",
@@ -180,19 +171,13 @@ def cardinalities(events: DataFrame) -> DataFrame:
 
 def price_profile(events: DataFrame) -> DataFrame:
     """Mean, median, range of the price, and how many events carry a price of zero."""
-    zero = events.agg(F.count_if(F.col("price") == 0).alias("zero_prices")).scalar()
+    at_zero = F.coalesce(F.sum(F.when(F.col("value") == 0, F.col("n"))), F.lit(0))
+    zero = value_frequencies(events, ["price"]).agg(at_zero).scalar()
     return numeric_summary(events, ["price"]).select(
         "mean", F.col("p50").alias("median"), "min", "max", zero.alias("zero_prices")
     )
 
 
-def _number(df: DataFrame, column: str):
-    value = F.col(column).cast("double")
-    if isinstance(df.schema[column].dataType, T.FractionalType):
-        value = F.when(~F.isnan(value), value)
-    return value.alias(column)
-
-
 def _text(df: DataFrame, column: str):
     value = F.col(column)
     if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):

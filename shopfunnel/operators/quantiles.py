@@ -1,22 +1,21 @@
-"""Exact quantiles without bringing a column's values together in one task."""
+"""Exact numeric statistics without bringing a column's values together in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Buckets a column's distinct values are cut into; each is sorted by one task.
-BUCKETS = 1000
+BUCKETS = 256
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, value, n)``: how often each number occurs in each column.
 
-    Missing values and NaN are left out. Repeated values meet in the map-side
-    aggregate, so even a value that fills a third of the rows shuffles as one row per
-    task.
+    Missing values and NaN are left out. Repeated values meet in the map-side aggregate,
+    so even a value that fills a third of the rows shuffles as one row per task.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = numbers.unpivot([], list(columns), "column_name", "value")
@@ -24,70 +23,85 @@ def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return present.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(
+def numeric_stats(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """``(column_name, quantiles)``, linearly interpolated, one row per column with values.
+    """Count, mean, sample deviation, range and exact quantiles of each column.
 
-    ``percentile`` would hold every distinct value of a column in one task. Here the
-    distinct values are cut into buckets of about equal size, the ranks sought are
-    located by the buckets' totals, and only the few buckets they fall into are sorted.
-    An approximate sketch places the cuts; the result is exact wherever they fall.
+    Quantiles interpolate linearly between the two nearest ranks. ``percentile`` would
+    hold all distinct values of a column in one task. Here the distinct values are cut
+    into buckets of about equal size, the ranks sought are located by the buckets'
+    totals, and only the few buckets they fall into are sorted. A sketch places the
+    cuts; the result is exact wherever they fall.
+
+    One scan and one shuffle of the data, which all later steps read. Everything that is
+    broadcast has at most ``buckets`` numbers per column.
     """
     frequencies = value_frequencies(df, columns)
-    steps = F.lit([(i + 1) / buckets for i in range(buckets - 1)])
-    cuts = frequencies.groupBy("column_name").agg(F.percentile_approx("value", steps, 10 * buckets).alias("cuts"))
-    # One row per column, at most `buckets` numbers each.
+    n, value = F.col("n"), F.col("value")
+    cut_at = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
+    overview = frequencies.groupBy("column_name").agg(
+        F.sum("n").alias("count"),
+        (F.sum(n * value) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.percentile_approx("value", cut_at, 10 * buckets).alias("cuts"),
+    )
     placed = (
-        frequencies.join(F.broadcast(cuts), "column_name")
-        .withColumn("bucket", F.size(F.filter("cuts", lambda cut: cut < F.col("value"))))
+        frequencies.join(F.broadcast(overview.select("column_name", "count", "mean", "cuts")), "column_name")
+        .withColumn("bucket", F.size(F.filter("cuts", lambda cut: cut < value)))
         .drop("cuts")
     )
 
-    # At most `buckets` rows per column from here to `wanted`.
     in_order = Window.partitionBy("column_name").orderBy("bucket")
-    whole = Window.partitionBy("column_name")
     totals = (
-        placed.groupBy("column_name", "bucket")
-        .agg(F.sum("n").alias("in_bucket"))
+        placed.groupBy("column_name", "bucket", "count")
+        .agg(
+            F.sum("n").alias("in_bucket"),
+            F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares"),
+        )
         .withColumn("upto", F.sum("in_bucket").over(in_order))
         .withColumn("before", F.col("upto") - F.col("in_bucket"))
-        .withColumn("total", F.sum("in_bucket").over(whole))
     )
-    position = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
+    deviation = totals.groupBy("column_name", "count").agg(
+        F.sqrt(F.try_divide(F.sum("squares"), F.col("count") - 1)).alias("std")
+    )
+
+    position = [F.lit(float(p)) * (F.col("count") - 1) for p in probabilities]
+    edges = [(F.floor(p), F.ceil(p)) for p in position]
     wanted = (
-        totals.withColumn("rank", F.explode(ranks))
+        totals.withColumn("rank", F.explode(F.array_distinct(F.array(*[e for pair in edges for e in pair]))))
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .groupBy("column_name", "bucket", "before", "total")
+        .groupBy("column_name", "bucket", "before")
         .agg(F.collect_set("rank").alias("ranks"))
     )
-
-    # Two ranks per probability and column at most, so at most as many buckets.
     ascending = Window.partitionBy("column_name", "bucket").orderBy("value")
-    reached = F.sum("n").over(ascending.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upto_here = F.sum("n").over(ascending.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = (
         placed.join(F.broadcast(wanted), ["column_name", "bucket"])
-        .withColumn("last", F.col("before") + reached - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-        .withColumn("hit", F.filter("ranks", lambda r: (r >= F.col("first")) & (r <= F.col("last"))))
-        .filter(F.size("hit") > 0)
+        .withColumn("next", F.col("before") + upto_here)
+        .withColumn("hits", F.filter("ranks", lambda r: (r >= F.col("next") - n) & (r < F.col("next"))))
+        .filter(F.size("hits") > 0)
+    )
+    at_edges = [
+        [F.max(F.when(F.array_contains("hits", edge), value)) for edge in pair] for pair in edges
+    ]
+    quantiles = (
+        found.groupBy("column_name", "count")
+        .agg(F.array(*[_between(*pair, p) for pair, p in zip(at_edges, position, strict=True)]).alias("quantiles"))
     )
-    at = {}
-    for i, p in enumerate(position):
-        for edge, place in (("low", F.floor(p)), ("high", F.ceil(p))):
-            at[i, edge] = F.max(F.when(F.array_contains("hit", place), F.col("value")))
+    # From the names, so that a column without values has a row too.
+    names = df.sparkSession.range(1).select(F.explode(F.lit(list(columns))).alias("column_name"))
     return (
-        found.groupBy("column_name", "total")
-        .agg(*[e.alias(f"{edge}{i}") for (i, edge), e in at.items()])
-        .select("column_name", F.array(*[_between(i, p) for i, p in enumerate(position)]).alias("quantiles"))
+        names.join(F.broadcast(overview.drop("cuts")), "column_name", "left")
+        .join(F.broadcast(deviation.drop("count")), "column_name", "left")
+        .join(F.broadcast(quantiles.drop("count")), "column_name", "left")
+        .select("column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "quantiles", "max")
     )
 
 
-def _between(i: int, position):
-    low, high = F.col(f"low{i}"), F.col(f"high{i}")
+def _between(low: Column, high: Column, position: Column) -> Column:
     return low + (high - low) * (position - F.floor(position))
-

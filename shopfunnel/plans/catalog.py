@@ -12,7 +12,7 @@ from shopfunnel.operators import checks, gate, layout, profile
 from shopfunnel.plans import behaviour, models, reports, warehouse
 from shopfunnel.plans.load import load_month
 from shopfunnel.schemas import EVENTS, GATED, PROCESSED
-from shopfunnel.session import pin_utc, work_path
+from shopfunnel.session import pin_utc, work_path, written
 from shopfunnel.sources.csv import scan_bronze
 from shopfunnel.sources.tables import read_events, register_external
 from shopfunnel.sources.testlog import event_log, raw_log
@@ -107,8 +107,9 @@ def csv_month_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "replaced")
     layout.append_events(event_log(spark, sf_dir), root)
+    delivery = written(processed(spark, sf_dir), "delivery")
     for _ in range(2):
-        layout.replace_month(processed(spark, sf_dir), root, MONTH)
+        layout.replace_month(delivery, root, MONTH)
     return read_events(spark, root)
 
 
@@ -117,8 +118,9 @@ def month_replace_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, table = work_path(spark, "replaced"), _table(spark, "events_replaced")
     layout.overwrite_events(event_log(spark, sf_dir), root)
     register_external(spark, table, root)
+    delivery = written(processed(spark, sf_dir), "delivery")
     for _ in range(2):
-        layout.replace_month_in_table(processed(spark, sf_dir), table, MONTH)
+        layout.replace_month_in_table(delivery, table, MONTH)
     return spark.table(table).select(*EVENTS.names)
 
 

@@ -18,7 +18,7 @@ def read_events(spark: SparkSession, root: str, *parts: str) -> DataFrame:
     day a date whatever the folder names look like.
     """
     paths = [f"{root.rstrip('/')}/{part}" for part in parts] or [root]
-    return spark.read.schema(EVENTS).option("basePath", root).parquet(*paths)
+    return spark.read.schema(EVENTS).option("basePath", root).parquet(*paths).select(*EVENTS.names)
 
 
 def register_external(spark: SparkSession, table: str, root: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfunnel.functions.events import TIME_SUFFIX
+from shopfunnel.functions.events import TIME_FORMAT, TIME_SUFFIX
 from shopfunnel.operators.gate import with_partition_columns
 from shopfunnel.schemas import BRONZE, PROCESSED, conform
 
@@ -29,7 +29,7 @@ LACKING = {"event_time": (37,), "product_id": (41,), "price": (43,), "user_id":
 def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.regexp_extract("props", '"k": *([0-9]+)', 1).try_cast("bigint")
     keyed = events.withColumn("k", k).withColumn(
         "product_id", F.expr("user_id div 3") * 5 + F.col("k") % 5
     )
@@ -65,7 +65,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as raw text, with bad and absent values in every gated column."""
     log = _tables(spark, sf_dir).select("k", *[e.alias(c) for c, e in _log_columns().items()])
     text = {c: F.col(c).cast("string") for c in PROCESSED.names}
-    text["event_time"] = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(TIME_SUFFIX))
+    text["event_time"] = F.concat(F.date_format("event_time", TIME_FORMAT), F.lit(TIME_SUFFIX))
     text["price"] = F.col("price").cast("decimal(18,2)").cast("string")
     for column, ks in BAD.items():
         text[column] = F.when(F.col("k").isin(*ks), f"bad_{column}").otherwise(text[column])

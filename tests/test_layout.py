@@ -1,0 +1,201 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from shopfunnel.operators import gate, layout
+from shopfunnel.schemas import COLUMN_DOCS, EVENTS, PROCESSED, conform
+from shopfunnel.session import work_path
+from shopfunnel.sources.tables import read_events, register_external, source
+from tests.rows import bronze, events
+
+TWO_MONTHS = (
+    {"event_time": "2019-10-01 10:00:00"},
+    {"event_time": "2019-10-02 10:00:00"},
+    {"event_time": "2019-11-01 10:00:00"},
+)
+RELOAD = ({"event_time": "2019-10-01 11:00:00", "brand": "new"},)
+
+
+def contents(df):
+    return sorted((r.event_month, str(r.event_date), r.brand) for r in df.collect())
+
+
+AFTER_RELOAD = [("2019-10", "2019-10-01", "new"), ("2019-11", "2019-11-01", "apple")]
+
+
+def test_reloading_a_month_with_fewer_days(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    for _ in range(2):
+        layout.replace_month(events(spark, *RELOAD), root, "2019-10")
+        assert contents(read_events(spark, root)) == AFTER_RELOAD
+
+
+def test_reloading_a_month_in_a_table(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    register_external(spark, "reloaded", root)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for _ in range(2):
+        layout.replace_month_in_table(events(spark, *RELOAD), "reloaded", "2019-10")
+        assert contents(spark.table("reloaded")) == AFTER_RELOAD
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_dynamic_overwrite_mode_of_the_session_does_not_keep_stale_days(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        layout.replace_month(events(spark, *RELOAD), root, "2019-10")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    assert contents(read_events(spark, root)) == AFTER_RELOAD
+
+
+def test_reloading_a_month_with_nothing(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    layout.replace_month(events(spark, *TWO_MONTHS).limit(0), root, "2019-10")
+    assert contents(read_events(spark, root)) == [("2019-11", "2019-11-01", "apple")]
+
+
+def test_rows_of_another_month_are_not_written(spark, tmp_path):
+    root = str(tmp_path / "events")
+    rows = events(spark, *TWO_MONTHS)
+    layout.replace_month(rows, root, "2019-10")
+    assert {m for m, *_ in contents(read_events(spark, root))} == {"2019-10"}
+    assert contents(layout.misfiled(rows, "2019-10")) == [("2019-11", "2019-11-01", "apple")]
+
+
+def test_append_adds_and_overwrite_replaces(spark, tmp_path):
+    root = str(tmp_path / "events")
+    rows = events(spark, *TWO_MONTHS)
+    layout.append_events(rows, root)
+    layout.append_events(rows, root)
+    assert read_events(spark, root).count() == 6
+    layout.overwrite_events(rows.limit(1), root)
+    assert read_events(spark, root).count() == 1
+
+
+def test_files_are_snappy_and_laid_out_by_month_and_day(spark, tmp_path):
+    root = tmp_path / "events"
+    layout.append_events(events(spark, *TWO_MONTHS), str(root))
+    files = sorted(root.glob("*/*/*.parquet"))
+    assert [f"{f.parent.parent.name}/{f.parent.name}" for f in files] == [
+        "event_month=2019-10/event_date=2019-10-01",
+        "event_month=2019-10/event_date=2019-10-02",
+        "event_month=2019-11/event_date=2019-11-01",
+    ]
+    assert pq.ParquetFile(files[0]).metadata.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_a_sub_path_still_has_its_partition_columns(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    october = read_events(spark, root, "event_month=2019-10")
+    assert october.schema == EVENTS
+    assert {r.event_month for r in october.collect()} == {"2019-10"}
+
+
+def test_external_table_sees_all_partitions(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    for _ in range(2):
+        table = register_external(spark, "external_events", root)
+        assert table.count() == 3
+    assert table.columns[-2:] == ["event_month", "event_date"]
+    assert {f.name: f.dataType for f in table.schema} == {f.name: f.dataType for f in EVENTS}
+
+
+def test_day_and_month_filters_prune_partitions(spark, tmp_path):
+    root = str(tmp_path / "events")
+    layout.append_events(events(spark, *TWO_MONTHS), root)
+    day = read_events(spark, root).filter(F.col("event_date") == dt.date(2019, 10, 1))
+    assert len(day.inputFiles()) == 3
+    assert "event_date" in plan(day).split("PartitionFilters: [")[1].split("]")[0]
+    assert day.count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_source_carries_column_descriptions(spark, tmp_path):
+    layout.append_events(events(spark, *TWO_MONTHS), str(tmp_path / "events"))
+    register_external(spark, "described", str(tmp_path / "events"))
+    described = source(spark, "described")
+    assert described.schema["brand"].metadata["comment"] == COLUMN_DOCS["brand"]
+    assert set(COLUMN_DOCS) == set(described.columns)
+
+
+@pytest.mark.parametrize("cluster_by", [("event_type",), ("event_type", "category_code", "brand")])
+def test_clustered_files_are_sorted(spark, tmp_path, cluster_by):
+    rows = [
+        {"event_time": f"2019-10-0{1 + i % 3} 10:00:00", "event_type": t, "brand": f"b{i % 7}"}
+        for i in range(60)
+        for t in ("view", "cart", "purchase")
+    ]
+    path = tmp_path / "clustered"
+    for _ in range(2):
+        table = layout.clustered_table(events(spark, *rows), "clustered", cluster_by, str(path))
+        assert table.count() == len(rows)
+    files = list(path.glob("event_date=*/*.parquet"))
+    assert len(files) == 3
+    for file in files:
+        got = pq.ParquetFile(file).read(list(cluster_by)).to_pylist()
+        keys = [tuple(r[c] or "" for c in cluster_by) for r in got]
+        assert keys == sorted(keys) and len(keys) == 60
+
+
+def test_partitioned_table_is_replaced(spark):
+    for n in (3, 2):
+        table = layout.partitioned_table(events(spark, *TWO_MONTHS[:n]), "partitioned")
+        assert table.count() == n
+    assert set(table.columns) == set(EVENTS.names)
+
+
+def test_a_day_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    """The day is split over tasks, and every row is written once."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64KB")
+    try:
+        day = F.when(F.col("id") % 3 < 2, "2019-10-01 00:00:00").otherwise("2019-10-02 00:00:00")
+        columns = {name: F.lit(None) for name in PROCESSED.names}
+        columns |= {"event_time": F.try_to_timestamp(day), "user_session": F.sha2(F.col("id").cast("string"), 256)}
+        log = spark.range(0, 60_000, 1, 16).select(*[e.alias(name) for name, e in columns.items()])
+        rows = gate.with_partition_columns(conform(log, PROCESSED))
+        layout.append_events(rows, str(tmp_path / "skewed"))
+    finally:
+        spark.conf.set(key, before)
+    hot = list((tmp_path / "skewed").glob("*/event_date=2019-10-01/*.parquet"))
+    assert len(hot) > 3
+    written = read_events(spark, str(tmp_path / "skewed"))
+    assert written.select("user_session").distinct().count() == written.count() == 60_000
+
+
+def test_quarantine_is_kept_per_month(spark, tmp_path):
+    root = str(tmp_path / "quarantine")
+    rows = gate.quarantined(gate.with_typed(bronze(spark, {"price": "x"})))
+    assert layout.write_quarantine(rows, root, "2019-10", 1)
+    assert layout.write_quarantine(rows, root, "2019-11", 1)
+    assert spark.read.parquet(root).count() == 2
+    assert not layout.write_quarantine(rows.limit(0), root, "2019-12", 0)
+    assert layout.write_quarantine(rows.limit(0), root, "2019-10", 0)
+    assert [r.event_month for r in spark.read.parquet(root).collect()] == ["2019-11"]
+
+
+def test_work_path_is_in_the_configured_folder(spark):
+    assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_reading_nothing_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_events(spark, str(tmp_path / "absent"))

@@ -121,16 +121,10 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
     of values.
     """
     columns = list(columns or df.columns)
-    if approximate:
-        wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-        counts = rows_of(wide, [{"column_name": F.lit(c), "distinct_values": F.col(c)} for c in columns])
-    else:
-        counts = (
-            value_counts(df, columns)
-            .groupBy("column_name")
-            .agg(F.count_if(F.col("value").isNotNull()).alias("distinct_values"))
-        )
-    return counts.orderBy("distinct_values", "column_name")
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    wide = df.agg(*[count(c).alias(c) for c in columns])
+    rows = [{"column_name": F.lit(c), "distinct_values": F.col(c)} for c in columns]
+    return rows_of(wide, rows).orderBy("distinct_values", "column_name")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

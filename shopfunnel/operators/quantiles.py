@@ -52,7 +52,7 @@ def numeric_stats(
     )
     placed = (
         frequencies.join(F.broadcast(overview.select("column_name", "count", "mean", "cuts")), "column_name")
-        .withColumn("bucket", F.size(F.filter("cuts", lambda cut: cut < value)))
+        .withColumn("bucket", _cuts_below(F.col("cuts"), value, buckets - 1))
         .drop("cuts")
     )
 
@@ -103,5 +103,18 @@ def numeric_stats(
     )
 
 
+def _cuts_below(cuts: Column, value: Column, most: int) -> Column:
+    """How many of the sorted ``cuts``, of which there are at most ``most``, are below ``value``.
+
+    By halving: a step is taken where the cut it would pass is still below.
+    """
+    steps = F.lit([1 << bit for bit in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda passed, step: F.when(F.get(cuts, passed + step - 1) < value, passed + step).otherwise(passed),
+    )
+
+
 def _between(low: Column, high: Column, position: Column) -> Column:
     return low + (high - low) * (position - F.floor(position))

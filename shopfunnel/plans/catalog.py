@@ -61,6 +61,12 @@ def row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.row_metrics(gate.with_typed(raw_log(spark, sf_dir)))
 
 
+@query
+def row_id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = gate.with_row_id(raw_log(spark, sf_dir))
+    return ids.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("_row_id").alias("ids"))
+
+
 @query
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gate.processed(gate.with_typed(raw_log(spark, sf_dir)))
@@ -78,10 +84,9 @@ def _as_csv(spark: SparkSession, sf_dir: str) -> list[str]:
     raw = raw_log(spark, sf_dir)
     early = F.coalesce(F.dayofmonth(parse_event_time(F.col("event_time"))) <= 15, F.lit(False))
     folder = work_path(spark, "csv")
-    paths = [f"{folder}/early", f"{folder}/late"]
-    for path, half in zip(paths, (early, ~early), strict=True):
-        raw.filter(half).write.csv(path, header=True)
-    return paths
+    halves = raw.withColumn("half", F.when(early, "early").otherwise("late"))
+    halves.write.partitionBy("half").csv(folder, header=True)
+    return [f"{folder}/half=early", f"{folder}/half=late"]
 
 
 @query
@@ -107,7 +112,7 @@ def csv_month_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "replaced")
     layout.append_events(event_log(spark, sf_dir), root)
-    delivery = written(processed(spark, sf_dir), "delivery")
+    delivery = written(processed(spark, sf_dir), work_path(spark, "delivery"))
     for _ in range(2):
         layout.replace_month(delivery, root, MONTH)
     return read_events(spark, root)
@@ -118,7 +123,7 @@ def month_replace_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, table = work_path(spark, "replaced"), _table(spark, "events_replaced")
     layout.overwrite_events(event_log(spark, sf_dir), root)
     register_external(spark, table, root)
-    delivery = written(processed(spark, sf_dir), "delivery")
+    delivery = written(processed(spark, sf_dir), work_path(spark, "delivery"))
     for _ in range(2):
         layout.replace_month_in_table(delivery, table, MONTH)
     return spark.table(table).select(*EVENTS.names)
@@ -149,13 +154,22 @@ def warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.daily_in_order(spark.table(f"{database}.{warehouse.DAILY_TABLE}"))
 
 
-@query
-def stream_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, start) -> str:
+    """Run ``start`` over the raw log as a stream until it has read all files."""
     folder = _as_csv(spark, sf_dir)[0].rsplit("/", 1)[0]
     root = work_path(spark, "streamed")
-    stream = clean.bronze_stream(spark, f"{folder}/*")
-    clean.write_processed(stream, root, work_path(spark, "stream-checkpoint")).awaitTermination()
-    return read_events(spark, root)
+    start(clean.bronze_stream(spark, f"{folder}/*"), root, work_path(spark, "stream-state")).awaitTermination()
+    return root
+
+
+@query
+def stream_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_events(spark, _streamed(spark, sf_dir, clean.write_processed))
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_streamed(spark, sf_dir, clean.write_quarantine))
 
 
 # --- models -----------------------------------------------------------------------------

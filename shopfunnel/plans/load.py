@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shopfunnel.functions import events as E
 from shopfunnel.operators import gate, layout
-from shopfunnel.schemas import BRONZE, EVENTS, GATED, KEYS
-from shopfunnel.session import pin_utc, size_shuffle, written
+from shopfunnel.schemas import BRONZE, EVENTS, GATED
+from shopfunnel.session import pin_utc, size_shuffle, work_table
 from shopfunnel.sources.csv import Paths, input_bytes, scan_bronze
 
 logger = logging.getLogger(__name__)
@@ -38,6 +38,13 @@ class LoadMetrics:
     def processed_rate(self) -> float:
         return self.processed / self.total if self.total else 0.0
 
+    def __str__(self) -> str:
+        return (
+            f"{self.total:,} rows, {self.cast_failed:,} cast failures ({self.cast_failed_rate:.4%}), "
+            f"{self.processed:,} processed ({self.processed_rate:.2%}), {self.dropped:,} without a key, "
+            f"{self.misfiled:,} of another month"
+        )
+
 
 def route(bronze: DataFrame, month: str) -> DataFrame:
     """Every raw row once, with where it goes.
@@ -57,10 +64,7 @@ def route(bronze: DataFrame, month: str) -> DataFrame:
         F.when(F.col("failure_reason").isNotNull(), F.col(f"{c}_raw")).alias(f"{c}_raw") for c in GATED
     ]
     values = [F.col(f"{c}_typed").alias(c) if c in GATED else F.col(c) for c in BRONZE.names]
-    lacks_key = F.lit(False)
-    for key in KEYS:
-        lacks_key = lacks_key | F.col(f"{key}_typed").isNull()
-    return typed.select(*values, *held, "failure_reason", "keep", "astray", lacks_key.alias("lacks_key"))
+    return typed.select(*values, *held, "failure_reason", "keep", "astray", (~E.has_keys()).alias("lacks_key"))
 
 
 def load_month(
@@ -79,28 +83,23 @@ def load_month(
     pin_utc(spark)
     size_shuffle(spark, input_bytes(spark, paths))
     logger.info("loading %s from %s", month, paths)
-    routed = written(route(scan_bronze(spark, paths), month), f"routed-{month}")
+    with work_table(route(scan_bronze(spark, paths), month), f"routed-{month}") as routed:
+        metrics = _metrics(routed)
+        logger.info("%s", metrics)
+        if quarantine_root:
+            failed = routed.filter(F.col("failure_reason").isNotNull()).select(*gate.QUARANTINE_COLUMNS)
+            layout.write_quarantine(failed, quarantine_root, month, metrics.cast_failed + metrics.misfiled)
+        kept = gate.with_partition_columns(routed.filter("keep").select(*BRONZE.names))
+        layout.replace_month(kept.select(*EVENTS.names), root, month)
+    return metrics
+
+
+def _metrics(routed: DataFrame) -> LoadMetrics:
     counted = routed.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("failure_reason").isNotNull() & (F.col("failure_reason") != MISFILED)).alias("cast_failed"),
         F.count_if("keep").alias("processed"),
         F.count_if("lacks_key").alias("dropped"),
         F.count_if("astray").alias("misfiled"),
-    ).first()
-    metrics = LoadMetrics(**counted.asDict())
-    logger.info(
-        "%s rows, %s cast failures (%.4f%%), %s processed (%.2f%%), %s without a key, %s of another month",
-        f"{metrics.total:,}",
-        f"{metrics.cast_failed:,}",
-        metrics.cast_failed_rate * 100,
-        f"{metrics.processed:,}",
-        metrics.processed_rate * 100,
-        f"{metrics.dropped:,}",
-        f"{metrics.misfiled:,}",
     )
-    if quarantine_root:
-        failed = routed.filter(F.col("failure_reason").isNotNull()).select(*gate.QUARANTINE_COLUMNS)
-        layout.write_quarantine(failed, quarantine_root, month, metrics.cast_failed + metrics.misfiled)
-    kept = gate.with_partition_columns(routed.filter("keep").select(*BRONZE.names))
-    layout.replace_month(kept.select(*EVENTS.names), root, month)
-    return metrics
+    return LoadMetrics(**counted.first().asDict())

@@ -176,6 +176,8 @@ def _gate() -> dict[str, str]:
         "bronze_typed": _with(RAW, "SELECT * FROM typed"),
         "cast_failures_labeled": quarantine,
         "csv_month_quarantine": quarantine,
+        "stream_quarantine": quarantine,
+        "row_id_uniqueness": _with(RAW, "SELECT count(*) AS row_count, count(*) AS ids FROM raw"),
         "cast_failures_by_column": _with(
             RAW,
             _union(f"SELECT '{c}' AS column_name, {_count(p)} AS failures FROM typed" for c, p in FAILED.items()),

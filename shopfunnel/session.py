@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
@@ -70,13 +72,23 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/shopfunnel/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the work folder and read back.
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once to ``path`` and read back.
 
-    Cuts the lineage: later passes scan columnar files instead of re-parsing the
-    source, and a lost executor costs no recomputation.
+    Cuts the lineage: later passes scan columnar files instead of evaluating ``df``
+    again, and a lost executor costs no recomputation.
     """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def work_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` :func:`written` to the work folder for the length of a ``with`` block."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

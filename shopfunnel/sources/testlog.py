@@ -26,9 +26,14 @@ BAD = {
 LACKING = {"event_time": (37,), "product_id": (41,), "price": (43,), "user_id": (31, 47)}
 
 
+# Fixed types of the columns used.
+EVENTS_TABLE = "ts timestamp_ntz, user_id bigint, event_type string, props string"
+PART_TABLE = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    events = spark.read.schema(EVENTS_TABLE).parquet(f"{sf_dir}/events.parquet")
+    parts = spark.read.schema(PART_TABLE).parquet(f"{sf_dir}/part.parquet")
     k = F.regexp_extract("props", '"k": *([0-9]+)', 1).try_cast("bigint")
     keyed = events.withColumn("k", k).withColumn(
         "product_id", F.expr("user_id div 3") * 5 + F.col("k") % 5

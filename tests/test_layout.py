@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfunnel.operators import gate, layout
 from shopfunnel.schemas import COLUMN_DOCS, EVENTS, PROCESSED, conform
-from shopfunnel.session import work_path
+from shopfunnel.session import work_path, work_table
 from shopfunnel.sources.tables import read_events, register_external, source
 from tests.rows import bronze, events
 
@@ -196,6 +196,14 @@ def test_work_path_is_in_the_configured_folder(spark):
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
+def test_a_work_table_is_gone_after_its_block(spark):
+    with work_table(spark.range(3).toDF("id"), "block") as table:
+        (file, *_) = table.inputFiles()
+        assert table.count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(file)
+
+
 def test_reading_nothing_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_events(spark, str(tmp_path / "absent"))

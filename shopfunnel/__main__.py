@@ -10,8 +10,8 @@ import logging
 
 from shopfunnel.plans.load import load_month
 from shopfunnel.plans.warehouse import build_event_tables, build_models
-from shopfunnel.session import build_session
-from shopfunnel.sources.csv import month_file
+from shopfunnel.session import build_session, size_shuffle
+from shopfunnel.sources.csv import input_bytes, month_file
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
         load_month(spark, month_file(args.raw, month), args.processed, month, args.quarantine)
     if not args.load_only:
         build_event_tables(spark, args.processed, args.database)
+        size_shuffle(spark, input_bytes(spark, args.processed))
         for model, column, name, failures in build_models(spark, args.database):
             logging.info("check %s.%s %s: %s failing rows", model, column, name, failures)
 

@@ -75,7 +75,8 @@ def write_quarantine(rows: DataFrame, root: str, month: str, failures: int) -> b
     path = f"{root.rstrip('/')}/event_month={month}"
     if failures == 0 and not _exists(rows.sparkSession, path):
         return False
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    few_files = rows.hint("rebalance")  # failures are scattered over all tasks of the load
+    few_files.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return True
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from shopfunnel.functions import events as E
 from shopfunnel.operators import gate, layout
 from shopfunnel.schemas import BRONZE, EVENTS, GATED
-from shopfunnel.session import pin_utc, size_shuffle, work_table
-from shopfunnel.sources.csv import Paths, input_bytes, scan_bronze
+from shopfunnel.session import pin_utc, work_table
+from shopfunnel.sources.csv import Paths, first_day, input_bytes, scan_bronze
 
 logger = logging.getLogger(__name__)
 
@@ -80,15 +80,17 @@ def load_month(
     processed rows are then read from. Counting on the side of a write would be free but
     a task repeated after losing an executor counts its rows again.
     """
+    first_day(month)
     pin_utc(spark)
-    size_shuffle(spark, input_bytes(spark, paths))
-    logger.info("loading %s from %s", month, paths)
+    logger.info("loading %s, %s bytes, from %s", month, f"{input_bytes(spark, paths):,}", paths)
     with work_table(route(scan_bronze(spark, paths), month), f"routed-{month}") as routed:
         metrics = _metrics(routed)
         logger.info("%s", metrics)
         if quarantine_root:
             failed = routed.filter(F.col("failure_reason").isNotNull()).select(*gate.QUARANTINE_COLUMNS)
             layout.write_quarantine(failed, quarantine_root, month, metrics.cast_failed + metrics.misfiled)
+        elif metrics.misfiled:
+            logger.warning("%s rows of another month are kept nowhere without a quarantine", metrics.misfiled)
         kept = gate.with_partition_columns(routed.filter("keep").select(*BRONZE.names))
         layout.replace_month(kept.select(*EVENTS.names), root, month)
     return metrics

@@ -40,14 +40,17 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def size_shuffle(
     spark: SparkSession,
     input_bytes: int,
-    bytes_per_partition: int = 256 * 1024**2,
+    bytes_per_partition: int = 128 * 1024**2,
     most: int = 20_000,
 ) -> int:
-    """Set the shuffle width from the measured input size.
+    """Set the shuffle width of the models from the measured size of their input.
 
-    AQE only merges partitions, so a width picked for a small load would leave a
-    100 TB load with partitions of hundreds of gigabytes. The width never drops
-    below what the session already has; AQE coalesces whatever is too fine.
+    AQE only merges partitions, so the default width would leave a 100 TB build with
+    partitions of hundreds of gigabytes. The width never drops below what the session
+    has, and AQE merges whatever is too fine. ``most`` keeps the blocks between map and
+    reduce tasks from becoming tiny; beyond it partitions grow and spill.
+
+    Not for loading: a load only shuffles by day, and splitting by size is AQE's work.
     """
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = max(configured, min(most, math.ceil(input_bytes / bytes_per_partition)))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,17 @@ Paths = str | Sequence[str]
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
+def first_day(month: str) -> date:
+    """First day of a month given as ``2019-10``; anything else is an error."""
+    if not re.fullmatch(r"\d{4}-\d\d", month):
+        raise ValueError(f"month must look like 2019-10, got {month!r}")
+    return date.fromisoformat(f"{month}-01")
+
+
 def month_file(root: str, month: str) -> str:
     """Path of a month's file: ``2019-10`` is ``<root>/2019-Oct.csv``."""
-    when = datetime.strptime(month, "%Y-%m")
-    if when.strftime("%Y-%m") != month:
-        raise ValueError(f"month must look like 2019-10, got {month!r}")
-    return f"{root.rstrip('/')}/{when.year}-{MONTH_NAMES[when.month - 1]}.csv"
+    day = first_day(month)
+    return f"{root.rstrip('/')}/{day.year}-{MONTH_NAMES[day.month - 1]}.csv"
 
 
 def scan_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -39,11 +45,12 @@ def first_rows(spark: SparkSession, paths: Paths, n: int = 100_000) -> DataFrame
 
 
 def input_files(spark: SparkSession, paths: Paths) -> DataFrame:
-    """One row per input file with its size; file contents are never opened.
+    """One row per input file, in sub-folders too, with its size; contents are never opened.
 
     A path that matches nothing raises ``PATH_NOT_FOUND``.
     """
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(paths if isinstance(paths, str) else list(paths))
     return files.select(
         "path",
         F.col("length").alias("bytes"),

@@ -42,7 +42,8 @@ def difference(spark, con, sf_dir: str, name: str) -> str | None:
     picks = [names.index(c) for c in order]
     right = Counter(tuple(r[i] for i in picks) for r in sql.fetchall())
     if left != right:
-        return f"{len(rows)} rows against {sum(right.values())}; ours {list((left - right).items())[:2]}, SQL {list((right - left).items())[:2]}"
+        ours_only, sql_only = (list(d.items())[:2] for d in (left - right, right - left))
+        return f"{len(rows)} rows against {sum(right.values())}; ours {ours_only}, SQL {sql_only}"
     return None if rows else "no rows"
 
 

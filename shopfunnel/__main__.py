@@ -22,10 +22,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--month", action="append", required=True, help="yyyy-MM; may be repeated")
     parser.add_argument("--database", default="default", help="database of the tables")
     parser.add_argument("--load-only", action="store_true", help="stop after the processed dataset")
+    parser.add_argument("--app-name", default="shopfunnel", help="name of the Spark application")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    spark = build_session()
+    spark = build_session(args.app_name)
     for month in args.month:
         load_month(spark, month_file(args.raw, month), args.processed, month, args.quarantine)
     if not args.load_only:

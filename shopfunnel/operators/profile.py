@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopfunnel.functions.events import rate
 from shopfunnel.operators.quantiles import numeric_stats, value_frequencies
 from shopfunnel.operators.reshape import rows_of
+from shopfunnel.schemas import STAGES
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -94,19 +96,21 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values, distinct values, the most frequent one and its count, per column.
 
     The smaller value wins a tie. A column without values has no most frequent one.
+    Counts are aggregated before values are looked at: a minimum over text has to sort,
+    and this way it sorts the values that tie for the first place and no others.
     """
+    counts = value_counts(df, columns)
     present = F.col("value").isNotNull()
-    best = F.min(F.when(present, F.struct((-F.col("n")).alias("rank"), "value")))
-    return (
-        value_counts(df, columns)
-        .groupBy("column_name")
-        .agg(
-            F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
-            F.count_if(present).alias("unique"),
-            best.alias("best"),
-        )
-        .select("column_name", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.rank")).alias("freq"))
+    stats = counts.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
+        F.count_if(present).alias("unique"),
+        F.max(F.when(present, F.col("n"))).alias("freq"),
     )
+    # One row per column is broadcast, twice. A missing value as frequent as the first
+    # place passes the join, but not the minimum.
+    best = stats.select("column_name", F.col("freq").alias("n"))
+    top = counts.join(F.broadcast(best), ["column_name", "n"]).groupBy("column_name").agg(F.min("value").alias("top"))
+    return stats.join(F.broadcast(top), "column_name", "left").select("column_name", "count", "unique", "top", "freq")
 
 
 def text_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -137,7 +141,18 @@ def event_mix(events: DataFrame) -> DataFrame:
     """Events per type and their share of all events, in percent."""
     counts = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
     total = counts.agg(F.sum("events").alias("total")).scalar()
-    return counts.withColumn("share", F.round(F.try_divide(F.col("events"), total) * 100, 2))
+    return counts.withColumn("share", rate(F.col("events"), total))
+
+
+def event_ratios(events: DataFrame) -> DataFrame:
+    """One row: events of each funnel type, carts per view and purchases per cart in percent.
+
+    These are ratios of event counts, not conversion rates: nothing ties a cart to a view.
+    """
+    counts = events.agg(*[F.count_if(F.col("event_type") == s).alias(f"{s}_events") for s in STAGES])
+    return counts.withColumns(
+        {f"{b}_per_{a}": rate(f"{b}_events", f"{a}_events") for a, b in zip(STAGES, STAGES[1:], strict=False)}
+    )
 
 
 def cardinalities(events: DataFrame) -> DataFrame:

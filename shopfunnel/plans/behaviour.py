@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopfunnel.functions.events import rate
+from shopfunnel.schemas import STAGES
 
 
 def session_lengths(staged: DataFrame) -> DataFrame:
@@ -120,6 +121,25 @@ def daily_change(staged: DataFrame) -> DataFrame:
     return days.join(before, "event_date", "left").withColumn("change", F.col("events") - F.col("events_before"))
 
 
+def user_segments(fact: DataFrame) -> DataFrame:
+    """Users by the furthest stage they ever reached, buyers split by how many sessions they bought in.
+
+    Users shuffle as one row per session, so a user with many fact rows weighs little.
+    """
+    flags = [f"has_{stage}" for stage in STAGES]
+    sessions = fact.groupBy("user_id", "user_session").agg(*[F.max(c).alias(c) for c in flags])
+    users = sessions.groupBy("user_id").agg(
+        F.max("has_cart").alias("carted"), F.sum("has_purchase").alias("purchase_sessions")
+    )
+    segment = (
+        F.when(F.col("purchase_sessions") > 1, "repeat buyer")
+        .when(F.col("purchase_sessions") == 1, "buyer")
+        .when(F.col("carted") == 1, "cart only")
+        .otherwise("view only")
+    )
+    return users.groupBy(segment.alias("segment")).agg(F.count(F.lit(1)).alias("users"))
+
+
 def retention(staged: DataFrame, period: str = "month") -> DataFrame:
     """Users by the period they were first seen in and the periods they came back in.
 

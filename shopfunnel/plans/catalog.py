@@ -267,6 +267,11 @@ def profile_event_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.event_mix(_log(spark, sf_dir))
 
 
+@query
+def profile_event_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.event_ratios(_log(spark, sf_dir))
+
+
 @query
 def profile_cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.cardinalities(_log(spark, sf_dir))
@@ -331,6 +336,11 @@ def report_category_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.category_stages(fact_funnel(spark, sf_dir))
 
 
+@query
+def report_stage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.stage_detail(fact_funnel(spark, sf_dir))
+
+
 @query
 def report_event_type_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.event_type_by_hour(event_log(spark, sf_dir))
@@ -389,6 +399,11 @@ def daily_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behaviour.daily_change(staging(spark, sf_dir))
 
 
+@query
+def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return behaviour.user_segments(fact_funnel(spark, sf_dir))
+
+
 @query
 def weekly_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behaviour.retention(staging(spark, sf_dir), "week")

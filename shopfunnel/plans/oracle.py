@@ -308,6 +308,16 @@ FROM (SELECT count(*) AS n FROM log GROUP BY event_type, product_id, brand, user
 SELECT event_type, count(*) AS events,
   round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM log) * 100, 2) AS share
 FROM log GROUP BY event_type""",
+        ),
+        "profile_event_ratios": _with(
+            LOG,
+            f"""
+SELECT *, {_rate("cart_events", "view_events")} AS cart_per_view,
+  {_rate("purchase_events", "cart_events")} AS purchase_per_cart
+FROM (
+  SELECT {", ".join(f"{_count(f"event_type = '{s}'")} AS {s}_events" for s in ("view", "cart", "purchase"))}
+  FROM log
+)""",
         ),
         "profile_cardinalities": _with(
             LOG,
@@ -375,6 +385,12 @@ FROM fact GROUP BY funnel_stage""",
             f"""
 SELECT category_main, {", ".join(f"{_count(f"funnel_stage = '{s}'")} AS {s}" for s in ("view", "cart", "purchase"))}
 FROM fact GROUP BY category_main""",
+        ),
+        "report_stage_detail": _with(
+            LOG + MODELS,
+            f"""
+SELECT *, {_rate("fact_rows", "sum(fact_rows) OVER (PARTITION BY category_main)")} AS share
+FROM (SELECT category_main, funnel_stage, count(*) AS fact_rows FROM fact GROUP BY ALL)""",
         ),
         "report_event_type_by_hour": _with(
             LOG,
@@ -460,6 +476,19 @@ FROM (
 , days AS (SELECT event_date, count(*) AS events FROM staged GROUP BY event_date)
 SELECT d.event_date, d.events, b.events AS events_before, d.events - b.events AS change
 FROM days d LEFT JOIN days b ON d.event_date = b.event_date + 1""",
+        ),
+        "user_segments": _with(
+            LOG + MODELS,
+            """
+SELECT segment, count(*) AS users
+FROM (
+  SELECT user_id,
+    CASE WHEN count(DISTINCT user_session) FILTER (WHERE has_purchase = 1) > 1 THEN 'repeat buyer'
+         WHEN max(has_purchase) = 1 THEN 'buyer'
+         WHEN max(has_cart) = 1 THEN 'cart only' ELSE 'view only' END AS segment
+  FROM fact GROUP BY user_id
+)
+GROUP BY segment""",
         ),
         "weekly_retention": _with(
             LOG + MODELS,

@@ -6,9 +6,10 @@ cell of ten views like one of ten million.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopfunnel.functions.events import rate
 from shopfunnel.operators.reshape import rows_of
 from shopfunnel.plans.models import with_daily_rates, with_monthly_rates
 from shopfunnel.schemas import STAGES
@@ -53,7 +54,7 @@ def stage_distribution(fact: DataFrame) -> DataFrame:
         F.count("funnel_stage").alias("total"),
         *[F.count_if(F.col("funnel_stage") == s).alias(s) for s in STAGES],
     )
-    share = [F.round(F.try_divide(F.col(s), F.col("total")) * 100, 2) for s in STAGES]
+    share = [rate(s, "total") for s in STAGES]
     return rows_of(
         wide,
         [
@@ -69,6 +70,14 @@ def category_stages(fact: DataFrame) -> DataFrame:
     return counts.na.fill(0, list(STAGES)).orderBy("category_main")
 
 
+def stage_detail(fact: DataFrame) -> DataFrame:
+    """Fact rows per category and furthest stage, and their share of the category in percent."""
+    counts = fact.groupBy("category_main", "funnel_stage").agg(F.count(F.lit(1)).alias("fact_rows"))
+    # One row per stage in each window.
+    whole = F.sum("fact_rows").over(Window.partitionBy("category_main"))
+    return counts.withColumn("share", rate(F.col("fact_rows"), whole)).orderBy("category_main", "funnel_stage")
+
+
 def event_type_by_hour(events: DataFrame) -> DataFrame:
     """Events per hour of day and type."""
     return (

@@ -98,6 +98,11 @@ def test_event_mix(spark):
     assert found == {"view": (6, 75.0), "cart": (1, 12.5), None: (1, 12.5)}
 
 
+def test_event_ratios(spark):
+    events = spark.createDataFrame([("view",)] * 8 + [("cart",)] * 2, "event_type string")
+    assert tuple(profile.event_ratios(events).first()) == (8, 2, 0, 25.0, 0.0)
+
+
 NUMBERS = st.one_of(
     st.floats(-1e9, 1e9, allow_nan=False), st.sampled_from([0.0, 1.0, 1.0, float("nan")]), st.none()
 )

@@ -38,6 +38,12 @@ def test_category_stages(spark):
     assert rows == [(None, 1, 0, 0), ("a", 1, 1, 0)]
 
 
+def test_stage_detail(spark):
+    fact = models.funnel_fact(staged_of(spark, *views("a", 4, carts=1), *views(None, 1)))
+    rows = [tuple(r) for r in reports.stage_detail(fact).collect()]
+    assert rows == [(None, "view", 1, 100.0), ("a", "cart", 1, 25.0), ("a", "view", 3, 75.0)]
+
+
 def test_event_type_by_hour(spark):
     rows = reports.event_type_by_hour(events(spark, {}, {"event_time": "2019-10-05 12:59:59"})).collect()
     assert [tuple(r) for r in rows] == [(12, "view", 2)]
@@ -111,6 +117,25 @@ def test_daily_change_skips_gaps(spark):
     assert found == {1: None, 2: 1, 4: None}
 
 
+def test_user_segments(spark):
+    bought = {"event_type": "purchase"}
+    fact = models.funnel_fact(
+        staged_of(
+            spark,
+            {"user_id": 1},
+            {"user_id": 2},
+            {"user_id": 2, "event_type": "cart", "user_session": "s2"},
+            {**bought, "user_id": 3},
+            {**bought, "user_id": 3, "product_id": 9},
+            {**bought, "user_id": 4},
+            {**bought, "user_id": 4, "user_session": "s2"},
+            {**bought, "user_id": 5},
+        )
+    )
+    found = {tuple(r) for r in behaviour.user_segments(fact).collect()}
+    assert found == {("view only", 1), ("cart only", 1), ("buyer", 2), ("repeat buyer", 1)}
+
+
 def test_retention(spark):
     staged = staged_of(
         spark,

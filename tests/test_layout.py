@@ -21,6 +21,10 @@ TWO_MONTHS = (
 RELOAD = ({"event_time": "2019-10-01 11:00:00", "brand": "new"},)
 
 
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def contents(df):
     return sorted((r.event_month, str(r.event_date), r.brand) for r in df.collect())
 
@@ -122,16 +126,15 @@ def test_day_and_month_filters_prune_partitions(spark, tmp_path):
     assert day.count() == 1
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_source_carries_column_descriptions(spark, tmp_path):
     layout.append_events(events(spark, *TWO_MONTHS), str(tmp_path / "events"))
     register_external(spark, "described", str(tmp_path / "events"))
     described = source(spark, "described")
     assert described.schema["brand"].metadata["comment"] == COLUMN_DOCS["brand"]
     assert set(COLUMN_DOCS) == set(described.columns)
+    filtered = plan(described.filter((F.col("event_month") == "2019-10") & (F.col("event_type") == "view")))
+    assert "event_month" in filtered.split("PartitionFilters: [")[1].split("]")[0]
+    assert "EqualTo(event_type,view)" in filtered
 
 
 @pytest.mark.parametrize("cluster_by", [("event_type",), ("event_type", "category_code", "brand")])

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopfunnel.llm.substrings import dedup_substrings
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, n_words string, extra int"
+
+
+def brute(rows, size):
+    """Kept words of each row, by the definition."""
+    seen: dict[tuple, int] = {}
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        for k in range(len(words) - size + 1):
+            window = tuple(words[k : k + size])
+            if i is not None:
+                seen[window] = min(seen.get(window, i), i)
+    out = []
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        gone = set()
+        for k in range(len(words) - size + 1):
+            if i is not None and seen[tuple(words[k : k + size])] < i:
+                gone.update(range(k, k + size))
+        out.append((i, len(words), len(gone), " ".join(w for k, w in enumerate(words) if k not in gone)))
+    return out
+
+
+def passage(seed, n):
+    return " ".join(hashlib.md5(f"{seed}-{k}".encode()).hexdigest()[:5] for k in range(n))
+
+
+CASES = [
+    (1, passage("a", 30)),
+    (2, "Intro words " + passage("a", 30) + "\nand an end"),
+    (3, passage("a", 30)),
+    (3, "other text of the same id " + passage("a", 9)),
+    (4, None),
+    (5, ""),
+    (6, " \t\n"),
+    (7, passage("a", 7)),
+    (8, "é ü " + passage("b", 8) + " x " + passage("b", 8)),
+    (9, passage("b", 8)),
+    (None, passage("b", 8)),
+    (10, (passage("c", 40) + " ") * 300),
+    (11, passage("c", 40)),
+    (12, "w " * 100),
+    (13, "w " * 60),
+]
+
+
+@pytest.mark.parametrize("size", [1, 8, 50])
+@pytest.mark.parametrize("wide", [False, True])
+def test_same_as_the_definition(spark, size, wide):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in CASES], SCHEMA)
+    got = dedup_substrings(docs, size=size, join_all=True, wide=wide)
+    assert got.columns == ["doc_id", "text", "extra", "n_words", "n_removed"]
+    rows = [(r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()]
+    assert sorted(rows, key=repr) == sorted(brute(CASES, size), key=repr)
+
+
+def test_unchanged_texts_stay_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "a  b\n\nc"), (2, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in dedup_substrings(docs).collect()} == {(1, "a  b\n\nc"), (2, None)}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert dedup_substrings(docs).count() == 0
+
+
+def test_full_sketch_loses_nothing(spark):
+    """With fewer cells than keys every window passes, and the result is the same."""
+    rows = [(i, passage(i % 7, 60 + i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_substrings(docs, join_all=True, width_bits=3)
+    assert got.agg(F.sum("n_removed")).first()[0] == sum(r[2] for r in brute(rows, 50))

@@ -29,7 +29,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Words of each document, in DuckDB.
 _WORDS = r"""
-words AS (SELECT doc_id, list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents)
+words AS (SELECT doc_id, list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)
 """
 
 _OP10 = f"""

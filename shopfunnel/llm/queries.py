@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.llm.common import table
+from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.substrings import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,13 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = near_groups(docs, n=3, similarity=Fraction(9, 10))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,7 +58,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op10_substring_dedup": _OP10}
+_OP9 = f"""
+WITH RECURSIVE {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
+grams AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM words),
+each AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM grams),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id
+    AND 9 * a.n <= 10 * b.n AND 9 * b.n <= 10 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, coalesce(min(b), doc_id)) AS component_id
+FROM grams LEFT JOIN reach ON doc_id = a GROUP BY doc_id, g
+"""
+
+ORACLE = {"op9_ngram_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -41,14 +41,28 @@ def counted(keys: np.ndarray, width_bits: int = WIDTH_BITS) -> pa.RecordBatch:
 def repeated(sketches: DataFrame, width_bits: int = WIDTH_BITS) -> Broadcast:
     """Merge the sketches of all partitions; broadcast the bits of cells counted twice or more."""
     full = sketches.groupBy("cell").agg(F.sum("n").alias("n")).filter("n > 1")
-    slices = full.select(F.shiftright("cell", _SLICE_BITS).alias("slice"), "cell")
+    return _bitmap(full, width_bits)
+
+
+def marked(keys: DataFrame, width_bits: int = WIDTH_BITS) -> Broadcast:
+    """Broadcast the bits of the cells of all ``keys``, one column of longs."""
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches)
+        return batches_of(some, width_bits)
+
+    return _bitmap(keys.mapInArrow(sketches, "cell long, n long").select("cell").distinct(), width_bits)
+
+
+def _bitmap(marks: DataFrame, width_bits: int) -> Broadcast:
+    slices = marks.select(F.shiftright("cell", _SLICE_BITS).alias("slice"), "cell")
     packed = slices.groupBy("slice").applyInArrow(_pack, "slice long, bits binary").collect()
-    bits = np.zeros((DEPTH << width_bits) >> 3, dtype=np.uint8)
+    bits = np.zeros(max(1, (DEPTH << width_bits) >> 3), dtype=np.uint8)
     for row in packed:
         at = row["slice"] << (_SLICE_BITS - 3)
         piece = np.frombuffer(row["bits"], np.uint8)[: len(bits) - at]
         bits[at : at + len(piece)] = piece
-    return sketches.sparkSession.sparkContext.broadcast(bits)
+    return marks.sparkSession.sparkContext.broadcast(bits)
 
 
 def _pack(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
@@ -58,8 +72,8 @@ def _pack(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
     return pa.table({"slice": pa.array([key[0].as_py()]), "bits": pa.array([np.packbits(marks).tobytes()])})
 
 
-def may_repeat(keys: np.ndarray, bits: np.ndarray, width_bits: int = WIDTH_BITS) -> np.ndarray:
-    """Whether each key can have been counted twice."""
+def holds(keys: np.ndarray, bits: np.ndarray, width_bits: int = WIDTH_BITS) -> np.ndarray:
+    """Whether all cells of each key are marked: false only for keys that were not."""
     passed = np.ones(len(keys), dtype=bool)
     for cell in cells(keys, width_bits):
         passed &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0

@@ -78,7 +78,7 @@ def _repeated_windows(
         for batch in batches:
             for first, last, words in text_chunks(batch.column("text")):
                 starts, text, least = _windows(words, size)
-                keep = sketch.may_repeat(least, bits.value, width_bits)
+                keep = sketch.holds(least, bits.value, width_bits)
                 starts, text = starts[keep], text[keep]
                 if not len(starts):
                     continue

@@ -3,12 +3,13 @@
 All n-grams stand in one global order: those that are common in the corpus last, by how common
 they are, the others by hash. Every document's set is cut along that order. Its head, the prefix
 that any partner must share an n-gram with, finds candidates; the rest is cut into fragments at
-fixed places of the hash range. Overlaps are counted fragment by fragment and summed per pair: the
-first fragment alone already refutes most candidates, as the n-grams in which two sets differ
-there may not outnumber what the whole sets may differ in.
+fixed places of the hash range. Overlaps are counted fragment by fragment and summed per pair.
+Most candidates are refuted sooner, as sets that link may differ in few n-grams: by the parities of
+how many n-grams fall to each of some bits, which differ in no more places than the sets do, and
+then by the first fragment alone.
 
-Work doesn't grow with the square of a group. Equal sets are one node. Candidates first meet the
-least node of each group only, and what links with it forms a component; only nodes of different
+Work doesn't grow with the square of a group. Equal sets are one node. In some rounds, candidates
+meet a few nodes of each group only, and what links forms components; only nodes of different
 components are then compared with each other. Nothing is lost, since links inside a component
 can't change it.
 """
@@ -37,7 +38,13 @@ SIMILARITY = Fraction(8, 10)
 FRAGMENTS = 8
 _FRAGMENT_SHIFT = 65 - FRAGMENTS.bit_length()
 #: Common n-grams moved to the end of the global order. Only speed depends on them.
-COMMON = 100_000
+COMMON = 300_000
+#: Words of 64 parity bits kept of a set.
+_PARITY_WORDS = 4
+_PARITIES = [f"parity{k}" for k in range(_PARITY_WORDS)]
+#: Rounds in which nodes are compared with some nodes of their group only, and how many of these.
+STARS, PIVOTS = 2, 4
+_END = ("node", "size", "pos", "root", *_PARITIES)
 #: N-grams counted together before those that are common among them are reported.
 _COUNT_AT_A_TIME = 2_000_000
 
@@ -72,7 +79,7 @@ def _common(texts: DataFrame, n: int) -> Broadcast:
 
         def frequent() -> pa.RecordBatch:
             gram, count = np.unique(np.concatenate(held), return_counts=True)
-            keep = count >= max(8, size // 20_000)
+            keep = count >= max(4, size // 400_000)
             columns = [pa.array(gram[keep].view(np.int64)), pa.array(count[keep].astype(np.int64))]
             return pa.RecordBatch.from_arrays(columns, ["gram", "n"])
 
@@ -86,8 +93,8 @@ def _common(texts: DataFrame, n: int) -> Broadcast:
             yield frequent()
 
     counts = texts.mapInArrow(report, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    most = counts.orderBy(F.desc("n"), "gram").limit(COMMON).collect()
-    gram = np.array([r["gram"] for r in most], dtype=np.int64).view(np.uint64)[::-1]
+    most = counts.orderBy(F.desc("n"), "gram").limit(COMMON).toArrow()
+    gram = most["gram"].to_numpy().view(np.uint64)[::-1]
     by_hash = np.argsort(gram)
     return texts.sparkSession.sparkContext.broadcast((gram[by_hash], by_hash))
 
@@ -110,6 +117,11 @@ def _fragment(members: np.ndarray) -> np.ndarray:
     return (members >> np.uint64(_FRAGMENT_SHIFT)).astype(np.int32)
 
 
+def _parities(members: np.ndarray) -> np.ndarray:
+    odd = np.bincount((members & np.uint64(64 * _PARITY_WORDS - 1)).astype(np.int64), minlength=64 * _PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     places = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
@@ -131,10 +143,12 @@ def _features(keyed: DataFrame, n: int, similarity: Fraction, id_type: str) -> D
             columns = [
                 rows.column("id"), rows.column("row"), pa.array(nodes.view(np.int64)),
                 pa.array(sizes, pa.int64()), _lists(prefixes), _lists(heads),
+                *(pa.array(c) for c in np.stack([_parities(s) for s in sets]).T),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "node", "size", "prefix", "head"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "node", "size", "prefix", "head", *_PARITIES])
 
-    schema = f"id {id_type}, row long, node long, size long, prefix array<long>, head array<long>"
+    schema = f"id {id_type}, row long, node long, size long, prefix array<long>, head array<long>, "
+    schema += ", ".join(f"{c} long" for c in _PARITIES)
     return keyed.mapInArrow(describe, schema)
 
 
@@ -152,9 +166,12 @@ def _may_differ(similarity: Fraction, differing: str, both: str) -> str:
 
 def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similarity: Fraction) -> DataFrame:
     """The pairs ``a, b`` of nodes that reach the similarity."""
-    head = nodes.select("node", "size", "head")
-    ends = {x: head.select(*(F.col(c).alias(f"{c}_{x}" if c != "node" else x) for c in head.columns)) for x in "ab"}
-    left = pairs.join(ends["a"], "a").join(ends["b"], "b")
+
+    def ends(of: DataFrame, x: str) -> DataFrame:
+        return of.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in of.columns))
+
+    heads = nodes.select("node", "size", "head")
+    left = left.join(ends(heads, "a"), "a").join(ends(heads, "b"), "b")
     left = left.withColumn("overlap", F.size(F.array_intersect("head_a", "head_b")).cast("long"))
     left = left.filter(_may_differ(similarity, "size(head_a) + size(head_b) - 2 * overlap", "size_a + size_b"))
     left = saved(left.select("a", "b", "size_a", "size_b", "overlap"), "half-verified")
@@ -177,8 +194,8 @@ def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similar
     pieces = keyed.select("row", "text").mapInArrow(cut, "row long, fragment int, grams array<long>")
     pieces = pieces.filter("fragment > 0 and size(grams) > 0").join(wanted, "row").drop("row")
     pieces = saved(pieces.dropDuplicates(["node", "fragment"]), "fragments")
-    ends = {x: pieces.select(F.col("node").alias(x), "fragment", F.col("grams").alias(f"grams_{x}")) for x in "ab"}
-    partial = left.select("a", "b").join(ends["a"], "a").join(ends["b"], ["b", "fragment"])
+    partial = left.select("a", "b").join(ends(pieces, "a").withColumnRenamed("fragment_a", "fragment"), "a")
+    partial = partial.join(ends(pieces, "b").withColumnRenamed("fragment_b", "fragment"), ["b", "fragment"])
     partial = partial.select("a", "b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("overlap"))
     whole = left.select("a", "b", "overlap").unionByName(partial).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
     whole = whole.join(left.drop("overlap"), ["a", "b"])
@@ -207,18 +224,20 @@ def near_groups(
     nodes = features.filter("size > 0").groupBy("node").agg(
         F.min("id").alias("first"), F.min("row").alias("row"), F.first("size").alias("size"),
         F.first("prefix").alias("prefix"), F.first("head").alias("head"),
+        *(F.first(c).alias(c) for c in _PARITIES),
     )
     nodes = saved(nodes, "nodes")
     heads = _heads(nodes, similarity)
-    stars = heads.filter("node <> pivot.node").select(
-        F.col("pivot.node").alias("a"), F.col("node").alias("b"), *_ends("pivot.", ""), "band", "gram"
-    )
-    stars = stars.filter(_reachable(similarity)).select("a", "b").distinct()
-    links = _links(saved(stars, "pairs"), nodes, keyed, n, similarity)
-    rest = saved(_across(heads, components(links), similarity).join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_links(rest, nodes, keyed, n, similarity))
-
-    named = nodes.select("node", "first").join(components(links), "node", "left")
+    links = None
+    for turn in range(STARS + 1):
+        pairs = _stars(heads, similarity, turn) if turn < STARS else _across(heads, similarity)
+        found = _links(saved(pairs, "pairs"), nodes, keyed, n, similarity)
+        links = found if links is None else links.unionByName(found)
+        groups = components(links)
+        if turn < STARS:
+            heads = _undecided(heads, groups)
+
+    named = nodes.select("node", "first").join(groups, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -232,22 +251,53 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def _ends(a: str, b: str) -> list[Column]:
-    return [F.col(f"{side}{c}").alias(f"{c}_{end}") for end, side in (("a", a), ("b", b)) for c in ("size", "pos")]
-
-
 def _heads(nodes: DataFrame, similarity: Fraction) -> DataFrame:
-    """Each n-gram of a prefix that another node's prefix holds too, with the least node of its group.
+    """Each n-gram of a prefix that another node's prefix holds too; ``root`` is the component.
 
-    A group is cut into bands of set sizes; linked sets lie in one band or in neighbouring ones.
+    A group of one n-gram is cut into bands of set sizes; linked sets lie in one band or in
+    neighbouring ones.
     """
     band = F.floor(F.log(F.col("size")) / float(np.log(1.0001 / float(similarity))))
     heads = nodes.select("node", "size", band.alias("band"), F.posexplode("prefix").alias("pos", "gram"))
+    shared = _shared(heads.withColumn("root", F.col("node")))
+    return saved(shared.join(nodes.select("node", *_PARITIES), "node"), "heads")
+
+
+def _shared(heads: DataFrame) -> DataFrame:
+    """The n-grams that nodes of different components hold."""
     by_gram = Window.partitionBy("gram")
-    heads = heads.withColumns({"low": F.min("node").over(by_gram), "high": F.max("node").over(by_gram)})
-    heads = heads.filter("low < high").drop("low", "high")
-    pivot = F.min(F.struct("node", "size", "pos")).over(Window.partitionBy("gram", "band"))
-    return saved(heads.withColumn("pivot", pivot), "heads")
+    heads = heads.withColumns({"low": F.min("root").over(by_gram), "high": F.max("root").over(by_gram)})
+    return saved(heads.filter("low < high").drop("low", "high"), "heads")
+
+
+def _undecided(heads: DataFrame, groups: DataFrame) -> DataFrame:
+    named = heads.drop("root").join(groups, "node", "left")
+    return _shared(named.withColumn("root", F.coalesce("root", "node")))
+
+
+def _stars(heads: DataFrame, similarity: Fraction, turn: int) -> DataFrame:
+    """Pairs of some nodes of each band with all others in it; other nodes in each ``turn``."""
+    group = Window.partitionBy("gram", "band")
+    places = [F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)).alias("place"), *_END) for k in range(PIVOTS)]
+    pivoted = heads.select(*_END, F.array_distinct(F.array(*[F.min(p).over(group) for p in places])).alias("pivots"))
+    pivoted = pivoted.withColumn("pivot", F.explode("pivots"))
+    ends = [F.col(f"{of}{c}").alias(f"{c}_{x}") for x, of in (("a", "pivot."), ("b", "")) for c in _END]
+    return _candidates(pivoted.select(*ends), similarity)
+
+
+def _across(heads: DataFrame, similarity: Fraction) -> DataFrame:
+    """All pairs of nodes that share an n-gram and lie in different components."""
+    near = F.explode(F.array(*[F.col("band") + F.lit(k) for k in (-1, 0, 1)]))
+    left = heads.select(*(F.col(c).alias(f"{c}_a") for c in _END), "gram", "band")
+    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in _END), "gram", near.alias("band"))
+    return _candidates(left.join(right, ["gram", "band"]).filter("node_a < node_b"), similarity)
+
+
+def _candidates(met: DataFrame, similarity: Fraction) -> DataFrame:
+    unlike = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in _PARITIES)
+    differ = _may_differ(similarity, unlike, "size_a + size_b")
+    met = met.filter(f"root_a <> root_b and {_reachable(similarity)} and {differ}")
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _reachable(similarity: Fraction) -> str:
@@ -256,18 +306,3 @@ def _reachable(similarity: Fraction) -> str:
     sizes = f"{p} * size_a <= {q} * size_b and {p} * size_b <= {q} * size_a"
     return f"{sizes} and {p + q} * least(size_a - pos_a, size_b - pos_b) >= {p} * (size_a + size_b)"
 
-
-def _across(heads: DataFrame, grouped: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs of nodes that share an n-gram of their prefixes and are in no common component yet."""
-    heads = heads.select("node", "size", "band", "pos", "gram").join(grouped, "node", "left")
-    heads = heads.withColumn("root", F.coalesce("root", "node"))
-    by_gram = Window.partitionBy("gram")
-    heads = heads.withColumns({"low": F.min("root").over(by_gram), "high": F.max("root").over(by_gram)})
-    heads = saved(heads.filter("low < high").drop("low", "high"), "heads-across")
-    near = F.explode(F.array(*[F.col("band") + F.lit(k) for k in (-1, 0, 1)]))
-    left = heads.select(*(F.col(c).alias(f"{c}_a") for c in ("node", "size", "pos", "root")), "gram", "band")
-    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in ("node", "size", "pos", "root")), "gram", near.alias("band"))
-    met = left.join(right, ["gram", "band"]).filter(
-        f"node_a < node_b and root_a <> root_b and {_reachable(similarity)}"
-    )
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()

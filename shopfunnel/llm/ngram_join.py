@@ -171,7 +171,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similar
         return of.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in of.columns))
 
     heads = nodes.select("node", "size", "head")
-    left = left.join(ends(heads, "a"), "a").join(ends(heads, "b"), "b")
+    left = pairs.join(ends(heads, "a"), "a").join(ends(heads, "b"), "b")
     left = left.withColumn("overlap", F.size(F.array_intersect("head_a", "head_b")).cast("long"))
     left = left.filter(_may_differ(similarity, "size(head_a) + size(head_b) - 2 * overlap", "size_a + size_b"))
     left = saved(left.select("a", "b", "size_a", "size_b", "overlap"), "half-verified")

@@ -8,8 +8,10 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopfunnel.llm import quality
 from shopfunnel.llm.common import table
 from shopfunnel.llm.ngram_join import near_groups
+from shopfunnel.llm.packing import pack
 from shopfunnel.llm.substrings import dedup_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +24,20 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents selected, with their scores."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade"))
+    chosen = quality.select(docs, quality.train(docs, ratings, top=2), wanted=2)
+    return chosen.select("doc_id", "expected_grade", "tail_probability")
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids")
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

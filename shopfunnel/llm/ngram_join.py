@@ -35,7 +35,7 @@ from shopfunnel.llm.words import grams, mix, text_chunks
 N_WORDS = 5
 SIMILARITY = Fraction(8, 10)
 #: Pieces the hash range is cut into.
-FRAGMENTS = 8
+FRAGMENTS = 4
 _FRAGMENT_SHIFT = 65 - FRAGMENTS.bit_length()
 #: Common n-grams moved to the end of the global order. Only speed depends on them.
 COMMON = 300_000
@@ -43,7 +43,7 @@ COMMON = 300_000
 _PARITY_WORDS = 4
 _PARITIES = [f"parity{k}" for k in range(_PARITY_WORDS)]
 #: Rounds in which nodes are compared with some nodes of their group only, and how many of these.
-STARS, PIVOTS = 2, 4
+STARS, PIVOTS = 1, 8
 _END = ("node", "size", "pos", "root", *_PARITIES)
 #: N-grams counted together before those that are common among them are reported.
 _COUNT_AT_A_TIME = 2_000_000
@@ -287,10 +287,11 @@ def _stars(heads: DataFrame, similarity: Fraction, turn: int) -> DataFrame:
 
 def _across(heads: DataFrame, similarity: Fraction) -> DataFrame:
     """All pairs of nodes that share an n-gram and lie in different components."""
-    near = F.explode(F.array(*[F.col("band") + F.lit(k) for k in (-1, 0, 1)]))
+    near = F.explode(F.array(F.col("band"), F.col("band") - 1))
     left = heads.select(*(F.col(c).alias(f"{c}_a") for c in _END), "gram", "band")
-    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in _END), "gram", near.alias("band"))
-    return _candidates(left.join(right, ["gram", "band"]).filter("node_a < node_b"), similarity)
+    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in _END), "gram", near.alias("near"), F.col("band").alias("own"))
+    right = right.withColumnRenamed("near", "band")
+    return _candidates(left.join(right, ["gram", "band"]).filter("own > band or node_a < node_b"), similarity)
 
 
 def _candidates(met: DataFrame, similarity: Fraction) -> DataFrame:

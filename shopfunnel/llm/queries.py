@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shopfunnel.llm import quality
 from shopfunnel.llm.common import table
+from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
 from shopfunnel.llm.substrings import dedup_substrings
@@ -38,6 +39,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids")
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items leaked into them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

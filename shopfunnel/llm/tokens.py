@@ -16,7 +16,7 @@ import pyarrow as pa
 #: Pieces a worker remembers; the memory is emptied when full.
 MEMO_PIECES = 400_000
 #: Code points Unicode calls white space. Fixed values.
-_SPACE = "\t-\r \x85\xa0  -     　"
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 

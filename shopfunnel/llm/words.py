@@ -21,6 +21,8 @@ _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
+#: Words without signs: ASCII letters and digits, and all beyond ASCII.
+_IS_PLAIN = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _BYTE_VALUES = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64)
 _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[ord("A") : ord("Z") + 1] = _BYTE_VALUES[ord("a") : ord("z") + 1]
@@ -92,10 +94,10 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of the texts in ``data``; ``lower`` folds A-Z."""
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, plain: bool = False) -> Words:
+    """Words of the texts in ``data``; ``lower`` folds A-Z, ``plain`` takes ASCII signs as gaps."""
     n = len(data)
-    word = _IS_WORD[data]
+    word = (_IS_PLAIN if plain else _IS_WORD)[data]
     before = np.empty(n, dtype=bool)
     before[1:] = word[:-1]
     before[offsets[:-1][offsets[:-1] < n]] = False
@@ -134,9 +136,9 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def text_chunks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
+def text_chunks(column: pa.Array, lower: bool = False, plain: bool = False) -> Iterator[tuple[int, int, Words]]:
     """The words of a column, chunk by chunk, with the range of rows each chunk covers."""
     data, offsets = utf8(column)
     for first, last in chunks(offsets):
         at = offsets[first : last + 1]
-        yield first, last, words_of(data[at[0] : at[-1]], at - at[0], lower)
+        yield first, last, words_of(data[at[0] : at[-1]], at - at[0], lower, plain)

@@ -8,7 +8,11 @@ from shopfunnel.llm import stages
 from shopfunnel.session import work_path
 
 STAGES = [
+    ("quality_classifier", stages.drop_low_quality),
+    ("ngram_jaccard_join", stages.drop_near_duplicates),
     ("substring_dedup", stages.drop_repeated_passages),
+    ("benchmark_decontamination", stages.drop_leaks),
+    ("packing", stages.pack_sequences),
 ]
 
 #: The stages are models and similarity searches that SQL can't express.

@@ -10,7 +10,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -56,11 +55,11 @@ def pack(
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for key, ids in _documents(batch, path, end):
-                at, data = 0, ids.tobytes()
-                for length in lengths_of(len(ids), longest):
+            for key, data in zip(batch.column(0).to_pylist(), tokens.encoder(path).documents(batch.column(1), end)):
+                at, total = 0, len(data) // 4
+                for length in lengths_of(total, longest):
                     piece = data[4 * at : 4 * (at + length)]
-                    rows.append((key, at, length, piece, zlib.crc32(piece), len(ids), part, met[length]))
+                    rows.append((key, at, length, piece, zlib.crc32(piece), total, part, met[length]))
                     met[length] += 1
                     at += length
                 size += len(data)
@@ -80,12 +79,6 @@ def pack(
     return _numbered(pieces)
 
 
-def _documents(batch: pa.RecordBatch, path: str, end: int) -> Iterator[tuple[object, np.ndarray]]:
-    encoder = tokens.encoder(path)
-    for key, text in zip(batch.column(0), batch.column(1)):
-        yield key.as_py(), encoder.ids(pa.array([text.as_py()], pa.string()), end)[0]
-
-
 def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     kinds = [id_type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
     names = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "part", "place"]

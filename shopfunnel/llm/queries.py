@@ -13,7 +13,9 @@ from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
+from shopfunnel.llm.shards import read_shards, write_shards
 from shopfunnel.llm.substrings import dedup_substrings
+from shopfunnel.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +36,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", "expected_grade", "tail_probability")
 
 
+@query
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "token-shards")
+    write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    back = read_shards(spark.read.parquet(path))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids")

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 
-#: Pieces a worker remembers; the memory is emptied when full.
-MEMO_PIECES = 400_000
+#: Pieces a worker remembers; when full, those not met again go when it is full the next time.
+MEMO_PIECES = 500_000
+#: Characters of texts looked up together.
+_GROUP_CHARS = 1 << 19
 #: Code points Unicode calls white space. Fixed values.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -37,24 +40,40 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        pieces = _PIECES.findall(text)
-        new = [p for p in set(pieces) if p not in self.memo]
-        if new:
-            if len(self.memo) + len(new) > MEMO_PIECES:
-                self.memo = {}
-                new = list(set(pieces))
-            for start in range(0, len(new), 4096):
-                some = new[start : start + 4096]
-                encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-                self.memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, encoded))
-        return b"".join(map(self.memo.__getitem__, pieces))
-
-    def ids(self, texts: pa.Array, end: int) -> list[np.ndarray]:
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. The texts' pieces are looked up, and new ones encoded, together."""
+        cut = [_PIECES.findall(t) for t in texts]
+        wanted = set().union(*cut) if len(cut) > 1 else set(cut[0])
+        if len(self.memo) + len(wanted) > MEMO_PIECES:
+            self.old, self.memo = self.memo, {}
+        memo, old, new = self.memo, self.old, []
+        for piece in wanted.difference(memo):
+            ids = old.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                memo[piece] = ids
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            memo.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
+        return [b"".join(map(memo.__getitem__, pieces)) for pieces in cut]
+
+    def documents(self, texts: pa.Array, end: int) -> Iterator[bytes]:
         """Ids of each text with ``end`` after them; a null text is empty."""
-        last = np.array([end], "<u4").tobytes()
-        return [np.frombuffer(self.encode(t.as_py() or "") + last, "<u4") for t in texts]
+        last = array("I", [end]).tobytes()
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text.as_py() or "")
+            size += len(group[-1])
+            if size >= _GROUP_CHARS:
+                yield from (ids + last for ids in self.encode(group))
+                group, size = [], 0
+        if group:
+            yield from (ids + last for ids in self.encode(group))
 
 
 _encoders: dict[str, Encoder] = {}

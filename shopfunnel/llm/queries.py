@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from shopfunnel.llm import quality
 from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
+from shopfunnel.llm.html import extract
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
 from shopfunnel.llm.shards import read_shards, write_shards
+from shopfunnel.llm.spotsigs import edited_pairs
 from shopfunnel.llm.substrings import dedup_substrings
 from shopfunnel.session import work_path
 
@@ -56,6 +58,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,12 +1,12 @@
 """Groups of documents whose sets of word n-grams are alike, by a vertically partitioned join.
 
-All n-grams stand in one global order: those that are common in the corpus last, by how common
-they are, the others by hash. Every document's set is cut along that order. Its head, the prefix
-that any partner must share an n-gram with, finds candidates; the rest is cut into fragments at
-fixed places of the hash range. Overlaps are counted fragment by fragment and summed per pair.
-Most candidates are refuted sooner, as sets that link may differ in few n-grams: by the parities of
-how many n-grams fall to each of some bits, which differ in no more places than the sets do, and
-then by the first fragment alone.
+All n-grams stand in one global order: the most common of the corpus last, the others by hash.
+Every document's set is cut along that order. Of its head, two linked sets share several n-grams,
+so it is enough to look up the rarest few of a head; documents with enough n-grams that no other
+head holds drop out there. What is looked up gives candidates. The sets are also cut into fragments
+at fixed places of the hash range; candidates' overlaps are counted fragment by fragment and summed
+per pair. Most candidates are refuted sooner, by the parities of how many n-grams fall to each of
+some bits, which differ in no more places than the sets do.
 
 Work doesn't grow with the square of a group. Equal sets are one node. In some rounds, candidates
 meet a few nodes of each group only, and what links forms components; only nodes of different
@@ -38,13 +38,13 @@ SIMILARITY = Fraction(8, 10)
 FRAGMENTS = 4
 _FRAGMENT_SHIFT = 65 - FRAGMENTS.bit_length()
 #: Common n-grams moved to the end of the global order. Only speed depends on them.
-COMMON = 300_000
+COMMON = 100_000
 #: Words of 64 parity bits kept of a set.
 _PARITY_WORDS = 4
 _PARITIES = [f"parity{k}" for k in range(_PARITY_WORDS)]
 #: Rounds in which nodes are compared with some nodes of their group only, and how many of these.
 STARS, PIVOTS = 1, 8
-_END = ("node", "size", "pos", "root", *_PARITIES)
+_END = ("node", "size", "root", *_PARITIES)
 #: N-grams counted together before those that are common among them are reported.
 _COUNT_AT_A_TIME = 2_000_000
 
@@ -128,26 +128,42 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(places), pa.array(values.view(np.int64)))
 
 
+def _prefix(size: int, similarity: Fraction) -> int:
+    """Members, first in any order, of which linked sets share one."""
+    return size - ceil(similarity * size) + 1
+
+
+def _lookups(size: int, similarity: Fraction) -> tuple[int, int]:
+    """Length of the head of a set of ``size``, and how many of it to look up.
+
+    With heads longer than the prefix by k - 1, linked sets share k members of their heads. Here k
+    is the prefix again; of a partner, whose size is at least that share of this one's, no less than
+    its own. All but one of the shared may be left out at the end of any order of the heads.
+    """
+    if not size:
+        return 0, 0
+    head = 2 * _prefix(size, similarity) - 1
+    return head, head + 1 - _prefix(ceil(similarity * size), similarity)
+
+
 def _features(keyed: DataFrame, n: int, similarity: Fraction, id_type: str) -> DataFrame:
-    """Per document its ``node`` (hash of the set), ``size``, ``prefix`` and first fragment."""
+    """Per document its ``node`` (hash of the set), ``size``, ``head``, ``lookups`` and parities."""
     common = _common(keyed.select("text"), n)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, sets in _sets(batches, n):
             nodes = mix(np.array([np.sum(mix(s), dtype=np.uint64) + np.uint64(len(s)) for s in sets], np.uint64))
             sizes = [len(s) for s in sets]
-            prefixes = [
-                _in_order(s, common.value)[: len(s) - ceil(similarity * len(s)) + 1] if len(s) else s for s in sets
-            ]
-            heads = [s[: np.searchsorted(s, np.uint64(1 << _FRAGMENT_SHIFT))] for s in sets]
+            lookups = [_lookups(k, similarity) for k in sizes]
+            heads = [_in_order(s, common.value)[:head] for s, (head, _) in zip(sets, lookups)]
             columns = [
                 rows.column("id"), rows.column("row"), pa.array(nodes.view(np.int64)),
-                pa.array(sizes, pa.int64()), _lists(prefixes), _lists(heads),
+                pa.array(sizes, pa.int64()), _lists(heads), pa.array([k for _, k in lookups], pa.int64()),
                 *(pa.array(c) for c in np.stack([_parities(s) for s in sets]).T),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "node", "size", "prefix", "head", *_PARITIES])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "node", "size", "head", "lookups", *_PARITIES])
 
-    schema = f"id {id_type}, row long, node long, size long, prefix array<long>, head array<long>, "
+    schema = f"id {id_type}, row long, node long, size long, head array<long>, lookups long, "
     schema += ", ".join(f"{c} long" for c in _PARITIES)
     return keyed.mapInArrow(describe, schema)
 
@@ -170,12 +186,8 @@ def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similar
     def ends(of: DataFrame, x: str) -> DataFrame:
         return of.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in of.columns))
 
-    heads = nodes.select("node", "size", "head")
-    left = pairs.join(ends(heads, "a"), "a").join(ends(heads, "b"), "b")
-    left = left.withColumn("overlap", F.size(F.array_intersect("head_a", "head_b")).cast("long"))
-    left = left.filter(_may_differ(similarity, "size(head_a) + size(head_b) - 2 * overlap", "size_a + size_b"))
-    left = saved(left.select("a", "b", "size_a", "size_b", "overlap"), "half-verified")
-
+    sizes = nodes.select("node", "size")
+    left = saved(pairs.join(ends(sizes, "a"), "a").join(ends(sizes, "b"), "b"), "sized-pairs")
     wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     wanted = saved(nodes.join(wanted, "node", "left_semi").select("node", "row"), "wanted-nodes")
     bits = sketch.marked(wanted.select("row"))
@@ -192,13 +204,12 @@ def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similar
                 yield pa.RecordBatch.from_arrays(columns, ["row", "fragment", "grams"])
 
     pieces = keyed.select("row", "text").mapInArrow(cut, "row long, fragment int, grams array<long>")
-    pieces = pieces.filter("fragment > 0 and size(grams) > 0").join(wanted, "row").drop("row")
+    pieces = pieces.filter("size(grams) > 0").join(wanted, "row").drop("row")
     pieces = saved(pieces.dropDuplicates(["node", "fragment"]), "fragments")
     partial = left.select("a", "b").join(ends(pieces, "a").withColumnRenamed("fragment_a", "fragment"), "a")
     partial = partial.join(ends(pieces, "b").withColumnRenamed("fragment_b", "fragment"), ["b", "fragment"])
     partial = partial.select("a", "b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("overlap"))
-    whole = left.select("a", "b", "overlap").unionByName(partial).groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
-    whole = whole.join(left.drop("overlap"), ["a", "b"])
+    whole = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap")).join(left, ["a", "b"])
     return saved(whole.filter(_alike(similarity, "overlap", "(size_a + size_b)")).select("a", "b"), "links")
 
 
@@ -221,13 +232,13 @@ def near_groups(
     id_type = docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     features = saved(_features(keyed, n, similarity, id_type), "features")
-    nodes = features.filter("size > 0").groupBy("node").agg(
-        F.min("id").alias("first"), F.min("row").alias("row"), F.first("size").alias("size"),
-        F.first("prefix").alias("prefix"), F.first("head").alias("head"),
-        *(F.first(c).alias(c) for c in _PARITIES),
-    )
+    nodes = features.filter("size > 0").groupBy("node")
+    heads = _heads(nodes.agg(*(F.first(c).alias(c) for c in ("size", "lookups", "head"))), similarity)
+    nodes = nodes.agg(
+        F.min("id").alias("first"), F.min("row").alias("row"), *(F.first(c).alias(c) for c in ("size", *_PARITIES))
+    )
     nodes = saved(nodes, "nodes")
-    heads = _heads(nodes, similarity)
+    heads = saved(heads.join(nodes.select("node", *_PARITIES), "node").withColumn("root", F.col("node")), "heads")
     links = None
     for turn in range(STARS + 1):
         pairs = _stars(heads, similarity, turn) if turn < STARS else _across(heads, similarity)
@@ -252,15 +263,22 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def _heads(nodes: DataFrame, similarity: Fraction) -> DataFrame:
-    """Each n-gram of a prefix that another node's prefix holds too; ``root`` is the component.
+    """``node, size, band, gram``: the n-grams to look up of each node, if another holds them too.
 
-    A group of one n-gram is cut into bands of set sizes; linked sets lie in one band or in
-    neighbouring ones.
+    Of a head, those that the fewest heads hold come first. A group of one n-gram is cut into bands
+    of set sizes; linked sets lie in one band or in neighbouring ones.
     """
     band = F.floor(F.log(F.col("size")) / float(np.log(1.0001 / float(similarity))))
-    heads = nodes.select("node", "size", band.alias("band"), F.posexplode("prefix").alias("pos", "gram"))
-    shared = _shared(heads.withColumn("root", F.col("node")))
-    return saved(shared.join(nodes.select("node", *_PARITIES), "node"), "heads")
+    spare = F.col("lookups") - F.size("head")
+    each = nodes.select("node", "size", spare.alias("spare"), F.explode("head").alias("gram"))
+    each = each.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("holders > 1")
+    # n-grams that no other head holds come before these and use up lookups
+    by_node = Window.partitionBy("node")
+    each = each.withColumns({
+        "place": F.row_number().over(by_node.orderBy("holders", "gram")), "shared": F.count(F.lit(1)).over(by_node),
+    })
+    looked_up = each.filter("place <= spare + shared")
+    return looked_up.select("node", "size", band.alias("band"), "gram")
 
 
 def _shared(heads: DataFrame) -> DataFrame:
@@ -278,7 +296,7 @@ def _undecided(heads: DataFrame, groups: DataFrame) -> DataFrame:
 def _stars(heads: DataFrame, similarity: Fraction, turn: int) -> DataFrame:
     """Pairs of some nodes of each band with all others in it; other nodes in each ``turn``."""
     group = Window.partitionBy("gram", "band")
-    places = [F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)).alias("place"), *_END) for k in range(PIVOTS)]
+    places = [F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)).alias("order"), *_END) for k in range(PIVOTS)]
     pivoted = heads.select(*_END, F.array_distinct(F.array(*[F.min(p).over(group) for p in places])).alias("pivots"))
     pivoted = pivoted.withColumn("pivot", F.explode("pivots"))
     ends = [F.col(f"{of}{c}").alias(f"{c}_{x}") for x, of in (("a", "pivot."), ("b", "")) for c in _END]
@@ -302,8 +320,6 @@ def _candidates(met: DataFrame, similarity: Fraction) -> DataFrame:
 
 
 def _reachable(similarity: Fraction) -> str:
-    """SQL: the sizes allow a link, and so do the places of the n-gram, were it the first in common."""
+    """SQL: the sizes allow a link."""
     p, q = similarity.numerator, similarity.denominator
-    sizes = f"{p} * size_a <= {q} * size_b and {p} * size_b <= {q} * size_a"
-    return f"{sizes} and {p + q} * least(size_a - pos_a, size_b - pos_b) >= {p} * (size_a + size_b)"
-
+    return f"{p} * size_a <= {q} * size_b and {p} * size_b <= {q} * size_a"

@@ -12,6 +12,7 @@ from shopfunnel.llm import quality
 from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.html import extract
+from shopfunnel.llm.licenses import scan_licenses
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
 from shopfunnel.llm.shards import read_shards, write_shards
@@ -69,6 +70,11 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -13,6 +13,7 @@ from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.html import extract
 from shopfunnel.llm.licenses import scan_licenses
+from shopfunnel.llm.lm import score_texts
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
 from shopfunnel.llm.shards import read_shards, write_shards
@@ -30,6 +31,11 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents selected, with their scores."""

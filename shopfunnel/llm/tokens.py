@@ -12,6 +12,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 
 #: Pieces a worker remembers; when full, those not met again go when it is full the next time.
@@ -39,6 +40,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: Bytes of text each id stands for; the vocabulary writes a byte as one character.
+        names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        self.sizes = np.array([len(name or "") for name in names])
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 

@@ -27,12 +27,20 @@ CHAIN, GAP = 3, 8
 _PARTS = 256
 
 
+def _any_of(words: list[str]) -> str:
+    """Pattern of the words, those of one first letter tried together."""
+    by_letter: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        by_letter.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{letter}(?:{'|'.join(sorted(ends, reverse=True))})" for letter, ends in by_letter.items())
+
+
 def _marked(text: Column) -> Column:
     """The text's content words, lower-cased, with a mark at each that follows an anchor."""
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    anchored = F.regexp_replace(words, f"(?<= )(?:{'|'.join(sorted(set(ANCHORS)))})(?= )", "·")
-    attached = F.regexp_replace(F.regexp_replace(anchored, " +", " "), "(?:· )+", "·")
-    return F.regexp_replace(attached, f"(?<= )((?:[^ ·][^ ]* ){{{GAP}}})(?=[^ ·])", "$1·")
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]++", " "), F.lit(" "))
+    anchored = F.regexp_replace(words, f" (?:{_any_of(ANCHORS)})(?= )", " ·")
+    attached = F.regexp_replace(F.regexp_replace(anchored, " ++", " "), "(?:· )++", "·")
+    return F.regexp_replace(attached, f" ((?:[^ ·][^ ]*+ ){{{GAP}}}+)(?=[^ ·])", " $1·")
 
 
 def signatures(text: Column) -> Column:

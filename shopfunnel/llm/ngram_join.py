@@ -40,10 +40,10 @@ _FRAGMENT_SHIFT = 65 - FRAGMENTS.bit_length()
 #: Common n-grams moved to the end of the global order. Only speed depends on them.
 COMMON = 100_000
 #: Words of 64 parity bits kept of a set.
-_PARITY_WORDS = 4
+_PARITY_WORDS = 8
 _PARITIES = [f"parity{k}" for k in range(_PARITY_WORDS)]
 #: Rounds in which nodes are compared with some nodes of their group only, and how many of these.
-STARS, PIVOTS = 1, 8
+STARS, PIVOTS = 2, 8
 _END = ("node", "size", "root", *_PARITIES)
 #: N-grams counted together before those that are common among them are reported.
 _COUNT_AT_A_TIME = 2_000_000

@@ -12,7 +12,7 @@ All of it is built-in functions; minima are taken in generated code, row by row
 
 from __future__ import annotations
 
-from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +52,26 @@ def _words(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
-def _values(words: Column, start: Column) -> list[Column]:
-    """MinHash values of the window that begins at ``start``; null if it has no shingle."""
-    word = [F.get(words, start + k) for k in range(WINDOW)]
-    shingles = [
-        F.when(word[k + SHINGLE - 1].isNotNull(), F.xxhash64(*word[k : k + SHINGLE])) for k in range(WINDOW - SHINGLE + 1)
-    ]
-    return [
-        F.least(*[F.when(s.isNotNull(), F.xxhash64(s, F.lit(band))) for s in shingles]) for band in range(BANDS)
-    ]
+def _with_values(windows: DataFrame, words: str) -> DataFrame:
+    """A row for each band of each window of ``words`` from ``start`` on, with its ``value``.
+
+    A band orders the shingles' hashes by their distance from a constant of its own, and its value
+    is the least. Hashes are columns first, so that all bands use them.
+    """
+    word = [F.get(words, F.col("start") + k) for k in range(WINDOW)]
+    hashes = {
+        f"_shingle{k}": F.when(word[k + SHINGLE - 1].isNotNull(), F.xxhash64(*word[k : k + SHINGLE]))
+        for k in range(WINDOW - SHINGLE + 1)
+    }
+    constants = [hash_constant(band) for band in range(BANDS)]
+    hashed = windows.select(*windows.columns, *(h.alias(name) for name, h in hashes.items()))
+    values = [F.least(*[F.col(h).bitwiseXOR(F.lit(c)) for h in hashes]) for c in constants]
+    return hashed.select(*windows.columns, F.posexplode(F.array(*values)).alias("band", "value"))
+
+
+def hash_constant(number: int) -> int:
+    """A signed 64-bit constant with no pattern."""
+    return int.from_bytes(sha256(b"band %d" % number).digest()[:8], "little", signed=True)
 
 
 def _shingles(words: Column) -> Column:
@@ -81,8 +92,7 @@ def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[D
     )
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("notice_words") - WINDOW))
     windows = known.select("template", "notice_words", F.explode(starts).alias("start"))
-    values = _values(F.col("notice_words"), F.col("start"))
-    bands = windows.select("template", F.posexplode(F.array(*values)).alias("band", "value")).distinct()
+    bands = _with_values(windows, "notice_words").select("template", "band", "value").distinct()
     return known.drop("notice_words"), bands
 
 
@@ -102,18 +112,12 @@ def scan_licenses(
     spark = docs.sparkSession
     # a fixed list of notices: a few values for each of their words
     known, bands = _templates(spark, templates or TEMPLATES)
-    by_band: dict[int, list[int]] = {k: [0] for k in range(BANDS)}
-    for row in bands.collect():
-        by_band[row["band"]].append(row["value"])
+    known_values = [row["value"] for row in bands.select("value").distinct().collect()]
     read = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
     read = read.filter(F.size("words") >= SHINGLE)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - SHINGLE), F.lit(STEP))
     windows = read.select("doc_id", "words", F.explode(starts).alias("start"))
-    values = _values(F.col("words"), F.col("start"))
-    windows = windows.select("doc_id", "words", "start", *(v.alias(f"v{k}") for k, v in enumerate(values)))
-    met = reduce(lambda a, b: a | b, [F.col(f"v{k}").isin(by_band[k]) for k in range(BANDS)])
-    met = windows.filter(met)
-    each = met.select("doc_id", "words", "start", F.posexplode(F.array(*[F.col(f"v{k}") for k in range(BANDS)])).alias("band", "value"))
+    each = _with_values(windows, "words").filter(F.col("value").isin(known_values))
     each = each.join(F.broadcast(bands), ["band", "value"]).join(F.broadcast(known), "template")
     low = F.greatest(F.lit(0), F.col("start") - F.col("notice_size"))
     around = F.slice("words", low + 1, 2 * F.col("notice_size") + WINDOW)

@@ -10,8 +10,8 @@ import logging
 
 from shopfunnel.plans.load import load_month
 from shopfunnel.plans.warehouse import build_event_tables, build_models
-from shopfunnel.session import build_session, size_shuffle
-from shopfunnel.sources.csv import input_bytes, month_file
+from shopfunnel.session import build_session
+from shopfunnel.sources.csv import month_file
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,19 +19,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", required=True, help="folder of the monthly CSV files")
     parser.add_argument("--processed", required=True, help="folder of the processed dataset")
     parser.add_argument("--quarantine", help="folder for rows that did not convert")
-    parser.add_argument("--month", action="append", required=True, help="yyyy-MM; may be repeated")
+    parser.add_argument("--month", action="append", required=True, help="yyyy-MM, or yyyy-MM=<file or folder>,...; may be repeated")
     parser.add_argument("--database", default="default", help="database of the tables")
     parser.add_argument("--load-only", action="store_true", help="stop after the processed dataset")
-    parser.add_argument("--app-name", default="shopfunnel", help="name of the Spark application")
+    parser.add_argument("--may-empty", action="store_true", help="accept a delivery without rows of its month")
     args = parser.parse_args(argv)
 
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    spark = build_session(args.app_name)
-    for month in args.month:
-        load_month(spark, month_file(args.raw, month), args.processed, month, args.quarantine)
+    logging.basicConfig(level=logging.INFO, format="{asctime} [{levelname}] {message}", style="{")
+    spark = build_session()
+    for delivery in args.month:
+        month, _, paths = delivery.partition("=")
+        files = paths.split(",") if paths else month_file(args.raw, month)
+        load_month(spark, files, args.processed, month, args.quarantine, args.may_empty)
     if not args.load_only:
         build_event_tables(spark, args.processed, args.database)
-        size_shuffle(spark, input_bytes(spark, args.processed))
         for model, column, name, failures in build_models(spark, args.database):
             logging.info("check %s.%s %s: %s failing rows", model, column, name, failures)
 

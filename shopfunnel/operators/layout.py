@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.schemas import EVENTS
@@ -42,9 +42,35 @@ def replace_month(events: DataFrame, root: str, month: str) -> None:
     _write(rows, f"{root.rstrip('/')}/event_month={month}", "overwrite", "event_date")
 
 
+def astray(month_of_row: Column, month: str) -> Column:
+    """Whether a row's own month is not the one it was delivered for."""
+    return month_of_row != month
+
+
 def misfiled(events: DataFrame, month: str) -> DataFrame:
     """Rows whose own time lies outside the month they were delivered for."""
-    return events.filter(F.col("event_month") != month)
+    return events.filter(astray(F.col("event_month"), month))
+
+
+def append_batch(events: DataFrame, root: str, batch: str) -> None:
+    """Add the rows of a named batch under the month and day of each; again adds nothing.
+
+    The batch is written beside the dataset and its files are then moved into the days'
+    folders, named after the batch; files that an earlier attempt moved go first.
+    """
+    spark, staged = events.sparkSession, f"{root.rstrip('/')}/_batches/{batch}"
+    _write(events, staged, "overwrite", "event_month", "event_date")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for earlier in fs.globStatus(path(f"{root}/event_month=*/event_date=*/{batch}-*")) or []:
+        fs.delete(earlier.getPath(), False)
+    for number, new in enumerate(fs.globStatus(path(f"{staged}/event_month=*/event_date=*/part-*")) or []):
+        day = new.getPath().getParent()
+        folder = path(f"{root}/{day.getParent().getName()}/{day.getName()}")
+        fs.mkdirs(folder)
+        if not fs.rename(new.getPath(), path(folder, f"{batch}-{number:05d}.snappy.parquet")):
+            raise OSError(f"could not move {new.getPath()} to {folder}")
+    fs.delete(path(staged), True)
 
 
 def replace_month_in_table(events: DataFrame, table: str, month: str) -> None:

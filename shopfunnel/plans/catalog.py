@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +14,8 @@ from shopfunnel.operators import checks, gate, layout, profile
 from shopfunnel.plans import behaviour, models, reports, warehouse
 from shopfunnel.plans.load import load_month
 from shopfunnel.schemas import EVENTS, GATED, PROCESSED
-from shopfunnel.session import pin_utc, work_path, written
-from shopfunnel.sources.csv import scan_bronze
+from shopfunnel.session import pin_utc, remove, work_path, written
+from shopfunnel.sources.csv import input_files, month_file, scan_bronze
 from shopfunnel.sources.tables import read_events, register_external
 from shopfunnel.sources.testlog import event_log, raw_log
 from shopfunnel.streaming import clean
@@ -22,8 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: The one month the test tables hold.
 MONTH = "2024-01"
-#: Database of the tables some queries build; dropped and rebuilt by each run.
-DATABASE = "shopfunnel_check"
 #: Columns that order the event log.
 LOG_ORDER = ("event_time", "user_id", "product_id", "event_type", "user_session")
 
@@ -108,6 +108,26 @@ def csv_month_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{quarantine}/event_month={MONTH}")
 
 
+@query
+def csv_month_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a load, as it reports them."""
+    metrics = load_month(spark, _as_csv(spark, sf_dir), work_path(spark, "processed"), MONTH)
+    fields = {name: int(value) for name, value in asdict(metrics).items()}
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in fields.items()])
+
+
+@query
+def csv_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log under the path of its month, listed and read back."""
+    folder = work_path(spark, "months")
+    path = month_file(folder, MONTH)
+    raw_log(spark, sf_dir).coalesce(3).write.csv(path, header=True)
+    files = input_files(spark, path).filter(F.col("path").endswith(".csv"))
+    full = files.agg(F.every(F.col("bytes") > 0)).first()[0]
+    rows = scan_bronze(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.withColumn("all_have_bytes", F.lit(full))
+
+
 @query
 def month_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "replaced")
@@ -118,58 +138,115 @@ def month_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, root)
 
 
+@query
+def append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends, each of half the log, read together."""
+    log, root = event_log(spark, sf_dir), work_path(spark, "appended")
+    layout.append_events(log.filter("product_id % 2 = 0"), root)
+    layout.append_events(log.filter("product_id % 2 <> 0"), root)
+    return read_events(spark, root)
+
+
+@query
+def month_replace_keeps_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days after the 15th belong to the next month; the first month is reloaded with ten days."""
+    log, root = event_log(spark, sf_dir), work_path(spark, "two-months")
+    late = F.dayofmonth("event_time") > 15
+    shifted = F.when(late, F.col("event_time") + F.expr("interval 1 month")).otherwise(F.col("event_time"))
+    both = gate.with_partition_columns(log.withColumn("event_time", shifted).select(*PROCESSED.names))
+    both = written(both.select(*EVENTS.names), work_path(spark, "two-months-log"))
+    layout.overwrite_events(both, root)
+    for _ in range(2):
+        layout.replace_month(both.filter(F.dayofmonth("event_time") <= 10), root, MONTH)
+    return read_events(spark, root)
+
+
 @query
 def month_replace_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, table = work_path(spark, "replaced"), _table(spark, "events_replaced")
+    root = work_path(spark, "replaced")
     layout.overwrite_events(event_log(spark, sf_dir), root)
-    register_external(spark, table, root)
     delivery = written(processed(spark, sf_dir), work_path(spark, "delivery"))
-    for _ in range(2):
-        layout.replace_month_in_table(delivery, table, MONTH)
-    return spark.table(table).select(*EVENTS.names)
+
+    def build(database: str) -> DataFrame:
+        table = f"{database}.events_replaced"
+        register_external(spark, table, root)
+        for _ in range(2):
+            layout.replace_month_in_table(delivery, table, MONTH)
+        return spark.table(table).select(*EVENTS.names)
+
+    return _in_database(spark, build)
+
+
+def _events_per(keys: list[str], table: DataFrame) -> DataFrame:
+    return table.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"))
 
 
 @query
 def external_table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "external")
     layout.overwrite_events(event_log(spark, sf_dir), root)
-    table = register_external(spark, _table(spark, "events_by_day"), root)
-    return table.groupBy("event_month", "event_date").agg(F.count(F.lit(1)).alias("events"))
+    keys = ["event_month", "event_date"]
+    return _in_database(spark, lambda db: _events_per(keys, register_external(spark, f"{db}.events_by_day", root)))
+
+
+@query
+def partitioned_table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_log(spark, sf_dir)
+    return _in_database(spark, lambda db: layout.partitioned_table(log, f"{db}.events_partitioned").select(*EVENTS.names))
 
 
 @query
 def clustered_table_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_path(spark, "clustered")
-    table = layout.clustered_table(event_log(spark, sf_dir), _table(spark, "events_by_type"), path=path)
-    return table.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"))
+    log = event_log(spark, sf_dir)
+    keys = ["event_date", "event_type"]
+    return _in_database(spark, lambda db: _events_per(keys, layout.clustered_table(log, f"{db}.events_by_type")))
+
+
+def _from_warehouse(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of a warehouse built from the log."""
+    root = work_path(spark, "processed")
+    layout.overwrite_events(event_log(spark, sf_dir), root)
+
+    def build(database: str) -> DataFrame:
+        warehouse.build_event_tables(spark, root, database)
+        warehouse.build_models(spark, database)
+        return spark.table(f"{database}.{table}")
+
+    return _in_database(spark, build)
 
 
 @query
 def warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, tables = work_path(spark, "processed"), work_path(spark, "tables")
-    layout.overwrite_events(event_log(spark, sf_dir), root)
-    database = _database(spark)
-    warehouse.build_event_tables(spark, root, database, location=tables)
-    warehouse.build_models(spark, database, location=tables)
-    return models.daily_in_order(spark.table(f"{database}.{warehouse.DAILY_TABLE}"))
+    return models.daily_in_order(_from_warehouse(spark, sf_dir, warehouse.DAILY_TABLE))
+
+
+@query
+def warehouse_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.monthly_in_order(_from_warehouse(spark, sf_dir, warehouse.MONTHLY_TABLE))
+
+
+@query
+def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_warehouse(spark, sf_dir, warehouse.FACT_TABLE)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, start) -> str:
-    """Run ``start`` over the raw log as a stream until it has read all files."""
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of the processed and the quarantined rows of the raw log, read as a stream."""
     folder = _as_csv(spark, sf_dir)[0].rsplit("/", 1)[0]
-    root = work_path(spark, "streamed")
-    start(clean.bronze_stream(spark, f"{folder}/*"), root, work_path(spark, "stream-state")).awaitTermination()
-    return root
+    root, quarantine = work_path(spark, "streamed"), work_path(spark, "stream-quarantine")
+    stream = clean.bronze_stream(spark, f"{folder}/*", files_per_batch=4)
+    clean.start(stream, root, work_path(spark, "stream-state"), quarantine).awaitTermination()
+    return root, quarantine
 
 
 @query
 def stream_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_events(spark, _streamed(spark, sf_dir, clean.write_processed))
+    return read_events(spark, _streamed(spark, sf_dir)[0])
 
 
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_streamed(spark, sf_dir, clean.write_quarantine))
+    return spark.read.parquet(_streamed(spark, sf_dir)[1]).drop("batch")
 
 
 # --- models -----------------------------------------------------------------------------
@@ -257,6 +334,13 @@ def profile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.duplicate_rows(_log(spark, sf_dir).select("event_type", "product_id", "brand", "user_session"))
 
 
+@query
+def profile_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows, on a log that holds some twice."""
+    log = _log(spark, sf_dir)
+    return profile.duplicate_rows(log.unionByName(log.filter("product_id % 3 = 0")))
+
+
 @query
 def profile_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.distinct_counts(_log(spark, sf_dir))
@@ -409,14 +493,12 @@ def weekly_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behaviour.retention(staging(spark, sf_dir), "week")
 
 
-def _database(spark: SparkSession) -> str:
-    if not spark.catalog.databaseExists(DATABASE):
-        spark.sql(
-            "CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name) LOCATION :path",
-            args={"name": DATABASE, "path": work_path(spark, "database")},
-        )
-    return DATABASE
-
-
-def _table(spark: SparkSession, name: str) -> str:
-    return f"{_database(spark)}.{name}"
+def _in_database(spark: SparkSession, build: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``build`` makes of a database of its own, which is dropped when its rows are kept."""
+    name, path = f"shopfunnel_{uuid.uuid4().hex[:12]}", work_path(spark, "database")
+    spark.sql("CREATE DATABASE IDENTIFIER(:name) LOCATION :path", args={"name": name, "path": path})
+    try:
+        return written(build(name), work_path(spark, "from-database"))
+    finally:
+        spark.sql("DROP DATABASE IDENTIFIER(:name) CASCADE", args={"name": name})
+        remove(spark, path)

@@ -20,6 +20,10 @@ logger = logging.getLogger(__name__)
 MISFILED = "event_month"
 
 
+class LoadRefused(ValueError):
+    """A delivery that would lose rows or empty a month."""
+
+
 @dataclass(frozen=True)
 class LoadMetrics:
     """Rows of one load. ``total = processed + dropped + misfiled``."""
@@ -56,7 +60,7 @@ def route(bronze: DataFrame, month: str) -> DataFrame:
     """
     typed = gate.with_failure_reason(gate.with_typed(bronze))
     placed = F.date_format("event_time_typed", "yyyy-MM")
-    astray = F.coalesce(E.has_keys() & (placed != month), F.lit(False))
+    astray = F.coalesce(E.has_keys() & layout.astray(placed, month), F.lit(False))
     typed = typed.withColumns({"keep": E.has_keys() & ~astray, "astray": astray})
     reason = F.nullif(F.concat_ws(", ", "failure_reason", F.when(F.col("astray"), F.lit(MISFILED))), F.lit(""))
     typed = typed.withColumn("failure_reason", reason)
@@ -73,9 +77,14 @@ def load_month(
     root: str,
     month: str,
     quarantine_root: str | None = None,
+    may_empty: bool = False,
 ) -> LoadMetrics:
     """Load the CSV files of one month; loading it again leaves the same rows.
 
+    Raises :class:`LoadRefused` before anything is written if rows of other months came
+    along and there is no quarantine to keep them, or if none of the rows delivered belongs
+    to the month, unless it ``may_empty`` the month. A delivery without rows empties it.
+
     The CSV is parsed once, into a work table the counts, the quarantine and the
     processed rows are then read from. Counting on the side of a write would be free but
     a task repeated after losing an executor counts its rows again.
@@ -86,16 +95,22 @@ def load_month(
     with work_table(route(scan_bronze(spark, paths), month), f"routed-{month}") as routed:
         metrics = _metrics(routed)
         logger.info("%s", metrics)
+        _assert_safe(metrics, month, quarantine_root is not None, may_empty)
         if quarantine_root:
             failed = routed.filter(F.col("failure_reason").isNotNull()).select(*gate.QUARANTINE_COLUMNS)
             layout.write_quarantine(failed, quarantine_root, month, metrics.cast_failed + metrics.misfiled)
-        elif metrics.misfiled:
-            logger.warning("%s rows of another month are kept nowhere without a quarantine", metrics.misfiled)
         kept = gate.with_partition_columns(routed.filter("keep").select(*BRONZE.names))
         layout.replace_month(kept.select(*EVENTS.names), root, month)
     return metrics
 
 
+def _assert_safe(metrics: LoadMetrics, month: str, quarantined: bool, may_empty: bool) -> None:
+    if metrics.misfiled and not quarantined:
+        raise LoadRefused(f"{month}: {metrics.misfiled:,} rows of another month and no quarantine for them ({metrics})")
+    if metrics.total and not metrics.processed and not may_empty:
+        raise LoadRefused(f"{month}: none of {metrics.total:,} rows belongs to the month ({metrics})")
+
+
 def _metrics(routed: DataFrame) -> LoadMetrics:
     counted = routed.agg(
         F.count(F.lit(1)).alias("total"),

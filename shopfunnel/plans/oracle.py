@@ -83,6 +83,8 @@ GATED_ROWS = f"""{RAW}, kept AS (
   FROM typed WHERE {HAS_KEYS}
 ), log AS (SELECT {LOG_COLUMNS}{DATED} FROM kept)"""
 
+STAGE_NAMES = ("view", "cart", "purchase")
+
 MODELS = f""", staged AS (
   SELECT {", ".join(
       "split_part(category_code, '.', 1) AS category_main" if c == "category_main" else c for c in STAGING.names
@@ -91,14 +93,11 @@ MODELS = f""", staged AS (
   WHERE event_type IN ('view', 'cart', 'purchase')
     AND user_id IS NOT NULL AND user_session IS NOT NULL AND product_id IS NOT NULL
 ), fact AS (
-  SELECT *, CASE WHEN has_purchase = 1 THEN 'purchase' WHEN has_cart = 1 THEN 'cart'
-                 WHEN has_view = 1 THEN 'view' END AS funnel_stage
+  SELECT *, [{", ".join(f"'{stage}'" for stage in STAGE_NAMES)}][greatest(has_view, 2 * has_cart, 3 * has_purchase)] AS funnel_stage
   FROM (
     SELECT user_id, user_session, product_id, category_main, brand, price, event_date, event_month,
       event_month_date,
-      CAST(max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS has_view,
-      CAST(max(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) AS BIGINT) AS has_cart,
-      CAST(max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS has_purchase
+      {", ".join(f"CAST(bool_or(event_type = '{stage}') AS BIGINT) AS has_{stage}" for stage in STAGE_NAMES)}
     FROM staged GROUP BY ALL
   )
 )"""
@@ -200,6 +199,23 @@ FROM (
         "month_replace_roundtrip": processed,
         "month_replace_in_table": processed,
         "stream_processed": processed,
+        "csv_month_metrics": _with(
+            RAW,
+            f"""
+SELECT count(*) AS total, {_count(ANY_FAILED)} AS cast_failed, {_count(HAS_KEYS)} AS processed,
+  {_count(f"NOT {HAS_KEYS}")} AS dropped, CAST(0 AS BIGINT) AS misfiled
+FROM typed""",
+        ),
+        "csv_month_files": _with(RAW, "SELECT count(*) > 0 AS all_have_bytes, count(*) AS row_count FROM raw"),
+        "append_events": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "partitioned_table_by_day": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "month_replace_keeps_other_months": _with(
+            f"""{KEYED}, moved AS (
+  SELECT * REPLACE (CASE WHEN day(event_time) > 15 THEN event_time + INTERVAL 1 MONTH ELSE event_time END AS event_time)
+  FROM keyed_log
+), log AS (SELECT {LOG_COLUMNS}{DATED} FROM moved)""",
+            f"SELECT {EVENT_COLUMNS} FROM log WHERE day(event_time) <= 10 OR day(event_time) > 15",
+        ),
         "external_table_by_day": _with(
             LOG, "SELECT event_month, event_date, count(*) AS events FROM log GROUP BY ALL"
         ),
@@ -235,6 +251,8 @@ def _models() -> dict[str, str]:
         "funnel_daily": _with(LOG + MARTS, daily),
         "funnel_daily_from_raw": _with(GATED_ROWS + MARTS, daily),
         "warehouse_daily": _with(LOG + MARTS, daily),
+        "warehouse_fact": _with(LOG + MODELS, "SELECT * FROM fact"),
+        "warehouse_monthly": _with(LOG + MARTS, "SELECT * FROM monthly"),
         "check_results": _with(
             LOG + MARTS,
             _union(
@@ -289,6 +307,11 @@ FROM log"""
             ),
         ),
         "profile_strings": _with(LOG, _union(map(stats, TEXT))),
+        "profile_duplicate_rows": _with(
+            f"""{LOG}, doubled AS (
+  SELECT {LOG_COLUMNS} FROM log UNION ALL SELECT {LOG_COLUMNS} FROM log WHERE product_id % 3 = 0)""",
+            "SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM doubled GROUP BY " + LOG_COLUMNS + ")",
+        ),
         "profile_duplicates": _with(
             LOG,
             """

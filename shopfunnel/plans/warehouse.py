@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 from shopfunnel.operators import checks, layout
 from shopfunnel.plans import models
 from shopfunnel.schemas import DAILY, FACT, MONTHLY, assert_contract
-from shopfunnel.sources.tables import register_external, source
+from shopfunnel.session import sized_shuffle
+from shopfunnel.sources.tables import register_external, source, table_bytes
 
-# Fixed names of the tables, in the order they are built.
+# Names of the tables, in the order they are built.
 EXTERNAL = "events_external"
 PARTITIONED = "events_partitioned"
 CLUSTERED = "events_clustered"
@@ -53,10 +54,11 @@ def build_models(
         checked = assert_contract(df, contract, table)
         return layout.model_table(checked, f"{database}.{table}", _under(location, table))
 
-    fact = build(models.funnel_fact(spark.table(STAGING_VIEW)), FACT, FACT_TABLE)
-    monthly = build(models.monthly_mart(fact), MONTHLY, MONTHLY_TABLE)
-    daily = build(models.daily_mart(fact), DAILY, DAILY_TABLE)
-    return checks.enforce(check_models(staged, fact, monthly, daily))
+    with sized_shuffle(spark, table_bytes(spark, f"{database}.{CLUSTERED}")):
+        fact = build(models.funnel_fact(spark.table(STAGING_VIEW)), FACT, FACT_TABLE)
+        monthly = build(models.monthly_mart(fact), MONTHLY, MONTHLY_TABLE)
+        daily = build(models.daily_mart(fact), DAILY, DAILY_TABLE)
+        return checks.enforce(check_models(staged, fact, monthly, daily))
 
 
 def check_models(staged: DataFrame, fact: DataFrame, monthly: DataFrame, daily: DataFrame) -> list[DataFrame]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,9 +20,6 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
-_local_work_root: str | None = None
-
-
 def build_session(app_name: str = "shopfunnel", **overrides: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **overrides}.items():
@@ -37,44 +33,40 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffle(
-    spark: SparkSession,
-    input_bytes: int,
-    bytes_per_partition: int = 128 * 1024**2,
-    most: int = 20_000,
-) -> int:
-    """Set the shuffle width of the models from the measured size of their input.
+@contextmanager
+def sized_shuffle(spark: SparkSession, input_bytes: int, bytes_per_partition: int = 128 * 1024**2) -> Iterator[int]:
+    """Shuffle partitions by the size of the input, for the length of a ``with`` block.
 
     AQE only merges partitions, so the default width would leave a 100 TB build with
-    partitions of hundreds of gigabytes. The width never drops below what the session
-    has, and AQE merges whatever is too fine. ``most`` keeps the blocks between map and
-    reduce tasks from becoming tiny; beyond it partitions grow and spill.
-
-    Not for loading: a load only shuffles by day, and splitting by size is AQE's work.
+    partitions of hundreds of gigabytes. The width never drops below what the session has,
+    and AQE merges what is too fine.
     """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = max(configured, min(most, math.ceil(input_bytes / bytes_per_partition)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    return width
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    width = max(int(before), math.ceil(input_bytes / bytes_per_partition))
+    spark.conf.set(key, str(width))
+    try:
+        yield width
+    finally:
+        spark.conf.set(key, before)
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder on this machine: on a cluster
-    the executors could neither write nor read it.
+    Where that is unset, the folder lies in the warehouse, which a cluster shares too.
     """
-    global _local_work_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if _local_work_root is None:
-            _local_work_root = tempfile.mkdtemp(prefix="shopfunnel-")
-        root = _local_work_root
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/shopfunnel/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written once to ``path`` and read back.
 
@@ -93,5 +85,4 @@ def work_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield written(df, path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)

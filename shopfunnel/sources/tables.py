@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.schemas import COLUMN_DOCS, EVENTS
+from shopfunnel.sources.csv import input_bytes
 
 PARTITION_KEYS = ("event_month", "event_date")
 
@@ -40,6 +41,12 @@ def register_external(spark: SparkSession, table: str, root: str) -> DataFrame:
     return spark.table(table)
 
 
+def table_bytes(spark: SparkSession, table: str) -> int:
+    """Size of a table's files."""
+    about = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": table})
+    return input_bytes(spark, about.filter("col_name = 'Location'").first()["data_type"])
+
+
 def source(spark: SparkSession, table: str) -> DataFrame:
     """A registered table as the models' input, its columns carrying their descriptions."""
     df = spark.table(table)

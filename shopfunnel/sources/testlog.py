@@ -14,7 +14,7 @@ from shopfunnel.functions.events import TIME_FORMAT, TIME_SUFFIX
 from shopfunnel.operators.gate import with_partition_columns
 from shopfunnel.schemas import BRONZE, PROCESSED, conform
 
-# Fixed values of ``k`` whose events get a raw value that does not convert, by column.
+# Values of ``k`` whose events get a raw value that does not convert, by column.
 BAD = {
     "event_time": (11,),
     "product_id": (7, 29),
@@ -22,7 +22,7 @@ BAD = {
     "price": (13, 29, 47),
     "user_id": (17,),
 }
-# Fixed values of ``k`` whose events lack a raw value, by column.
+# Values of ``k`` whose events lack a raw value, by column.
 LACKING = {"event_time": (37,), "product_id": (41,), "price": (43,), "user_id": (31, 47)}
 
 

@@ -1,7 +1,9 @@
-"""The cleaning step on a stream of CSV files.
+"""The cleaning step on a stream of CSV files, into the layout of the batch side.
 
-Same expressions as the batch gate. Each sink keeps its own log of finished batches, so
-a restarted query neither loses nor repeats rows; reading the folder honours that log.
+Each batch of files is parsed once and goes to both outputs through writers that replace
+what an earlier attempt of the same batch has written, so a restarted query neither loses
+nor repeats rows. Nothing but event files lies in the dataset: it can be registered as a
+table, and months can be reloaded, like one that was loaded by month.
 """
 
 from __future__ import annotations
@@ -9,36 +11,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shopfunnel.operators import gate
+from shopfunnel.operators import gate, layout
 from shopfunnel.schemas import BRONZE, EVENTS
 
+#: Files of a batch at most: what a failure has to repeat.
+FILES_PER_BATCH = 200
 
-def bronze_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+
+def bronze_stream(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """CSV files as they arrive in ``folder``, every column a string."""
     reader = spark.readStream.schema(BRONZE).option("header", True)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
-
-
-def write_processed(bronze: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Append processed rows under the batch layout, by month and day."""
-    rows = gate.with_partition_columns(gate.processed(gate.with_typed(bronze))).select(*EVENTS.names)
-    return _start(rows, root, checkpoint, ("event_month", "event_date"), trigger)
-
-
-def write_quarantine(bronze: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Append rows with a value that did not convert, with the reason."""
-    return _start(gate.quarantined(gate.with_typed(bronze)), root, checkpoint, (), trigger)
-
-
-def _start(rows: DataFrame, root: str, checkpoint: str, keys, trigger: dict) -> StreamingQuery:
-    writer = rows.writeStream.format("parquet").outputMode("append")
-    return (
-        writer.partitionBy(*keys)
-        .option("path", root)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
+
+
+def start(
+    bronze: DataFrame, root: str, checkpoint: str, quarantine_root: str | None = None, **trigger
+) -> StreamingQuery:
+    """Append processed rows by month and day, and rows that did not convert by batch.
+
+    Without another trigger all files there are get read, and the query ends.
+    """
+
+    def write(rows: DataFrame, number: int) -> None:
+        typed = gate.with_typed(rows).persist()
+        try:
+            processed = gate.with_partition_columns(gate.processed(typed)).select(*EVENTS.names)
+            layout.append_batch(processed, root, f"batch-{number:012d}")
+            if quarantine_root:
+                failed = gate.quarantined(typed).hint("rebalance")
+                failed.write.mode("overwrite").parquet(f"{quarantine_root.rstrip('/')}/batch={number}")
+        finally:
+            typed.unpersist()
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -23,18 +23,18 @@ def test_a_row_that_fails_is_flagged_with_every_failing_column(spark):
 
 
 def test_processed_rows_have_the_declared_types(spark):
-    rows = gate.processed(gate.with_typed(bronze(spark, {}, {"event_time": "bad_time"})))
+    rows = gate.processed(gate.with_typed(bronze(spark, {}, {"event_time": "5 March"})))
     assert rows.schema == PROCESSED
     (row,) = rows.collect()
-    assert (row.event_type, row.product_id, row.user_id, row.price) == ("view", 1001, 3001, 999.9)
+    assert (row.event_type, row.product_id, row.user_id, row.price) == ("view", 58, 417, 23.75)
 
 
 def test_partition_columns_come_from_the_utc_time(spark):
-    typed = gate.with_typed(bronze(spark, {"event_time": "2019-10-31 23:59:59 UTC"}))
+    typed = gate.with_typed(bronze(spark, {"event_time": "2024-02-29 23:00:01 UTC"}))
     (row,) = gate.with_partition_columns(gate.processed(typed)).collect()
-    assert row.event_month == "2019-10"
-    assert row.event_date == dt.date(2019, 10, 31)
-    assert row.event_month_date == dt.date(2019, 10, 1)
+    assert row.event_month == "2024-02"
+    assert row.event_date == dt.date(2024, 2, 29)
+    assert row.event_month_date == dt.date(2024, 2, 1)
 
 
 @pytest.mark.parametrize(

@@ -6,9 +6,9 @@ from pyspark.errors import AnalysisException
 from shopfunnel import __main__ as cli
 from shopfunnel.operators.checks import CheckFailure
 from shopfunnel.plans import warehouse
-from shopfunnel.plans.load import load_month
+from shopfunnel.plans.load import LoadRefused, load_month
 from shopfunnel.schemas import ContractError
-from shopfunnel.session import size_shuffle
+from shopfunnel.session import sized_shuffle, work_path
 from shopfunnel.sources.csv import first_rows, input_bytes, input_files, month_file, scan_bronze
 from shopfunnel.sources.tables import read_events
 
@@ -106,7 +106,7 @@ def test_from_files_to_checked_tables(spark, tmp_path, monkeypatch):
     write_csv(tmp_path / "2019-Oct.csv", OCTOBER)
     write_csv(tmp_path / "2019-Nov.csv", [line.replace("2019-10-0", "2019-11-0") for line in OCTOBER[:3]])
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
-    arguments = ["--raw", str(tmp_path), "--processed", str(tmp_path / "out"), "--database", "shop"]
+    arguments = ["--raw", str(tmp_path), "--processed", str(tmp_path / "out"), "--database", "shop", "--quarantine", str(tmp_path / "bad")]
     months = ["--month", "2019-10", "--month", "2019-11"]
     for _ in range(2):
         cli.main(arguments + months)
@@ -134,9 +134,65 @@ def test_from_files_to_checked_tables(spark, tmp_path, monkeypatch):
 def test_shuffle_width_follows_the_input(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    try:
-        assert size_shuffle(spark, 1) == int(before)
-        assert size_shuffle(spark, 5 * 1024**3) == 40
-        assert size_shuffle(spark, 100 * 1024**4) == 20_000
-    finally:
-        spark.conf.set(key, before)
+    with sized_shuffle(spark, 1) as width:
+        assert width == int(before) == int(spark.conf.get(key))
+    with sized_shuffle(spark, 5 * 1024**3) as width:
+        assert width == int(spark.conf.get(key)) == 40
+    with sized_shuffle(spark, 100 * 1024**4) as width:
+        assert width == 800 * 1024
+    assert spark.conf.get(key) == before
+
+
+def test_models_of_all_callers_get_the_width(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(warehouse, "sized_shuffle", lambda s, size: seen.append(size) or sized_shuffle(s, size))
+    root = str(tmp_path / "out")
+    load_month(spark, write_csv(tmp_path / "2019-Oct.csv", OCTOBER[:3]), root, "2019-10")
+    spark.sql("CREATE DATABASE IF NOT EXISTS widths")
+    warehouse.build_event_tables(spark, root, "widths")
+    warehouse.build_models(spark, "widths")
+    assert len(seen) == 1 and seen[0] > 0
+
+
+def rows_of(spark, root):
+    return sorted(map(str, read_events(spark, root).collect()))
+
+
+def test_strays_without_a_quarantine_are_refused(spark, tmp_path):
+    root = str(tmp_path / "out")
+    load_month(spark, write_csv(tmp_path / "good.csv", OCTOBER[:3]), root, "2019-10")
+    before = rows_of(spark, root)
+    with pytest.raises(LoadRefused, match="1 rows of another month and no quarantine"):
+        load_month(spark, write_csv(tmp_path / "mixed.csv", OCTOBER), root, "2019-10")
+    assert rows_of(spark, root) == before
+
+
+def test_a_delivery_of_another_month_leaves_the_month(spark, tmp_path):
+    root, quarantine = str(tmp_path / "out"), str(tmp_path / "bad")
+    load_month(spark, write_csv(tmp_path / "good.csv", OCTOBER[:3]), root, "2019-10", quarantine)
+    before = rows_of(spark, root)
+    wrong = write_csv(tmp_path / "wrong.csv", [line.replace("2019-10-0", "2019-11-0") for line in OCTOBER[:3]])
+    with pytest.raises(LoadRefused, match="none of 3 rows"):
+        load_month(spark, wrong, root, "2019-10", quarantine)
+    assert rows_of(spark, root) == before and len(before) == 3
+    load_month(spark, wrong, root, "2019-10", quarantine, may_empty=True)
+    assert rows_of(spark, root) == []
+    assert spark.read.parquet(f"{quarantine}/event_month=2019-10").count() == 3
+
+
+def test_a_month_from_several_files(spark, tmp_path):
+    halves = [write_csv(tmp_path / f"{k}.csv", lines) for k, lines in enumerate((OCTOBER[:1], OCTOBER[1:3]))]
+    out = str(tmp_path / "out")
+    cli.main(["--raw", "-", "--processed", out, "--load-only", "--month", "2019-10=" + ",".join(halves)])
+    assert read_events(spark, out).count() == 3
+
+
+def test_work_folder_without_a_checkpoint_folder():
+    class Session:
+        def __init__(self, settings):
+            self.conf = settings
+
+    shared = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
+    assert work_path(Session(shared), "x").startswith("hdfs://shared/warehouse/_work/shopfunnel/x-")
+    both = {**shared, "spark.checkpoint.dir": "hdfs://shared/scratch"}
+    assert work_path(Session(both), "x").startswith("hdfs://shared/scratch/shopfunnel/x-")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfunnel.session import work_path, written
+from shopfunnel.session import remove, work_path, written
 
 
 def fresh(df: DataFrame, stem: str) -> str:
@@ -17,8 +20,30 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables :func:`saved` inside the ``with`` block are deleted at its end."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read back: lineage ends there."""
+    path = work_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
+    return written(df, path)
+
+
+def result(df: DataFrame, name: str) -> DataFrame:
+    """:func:`saved` for what outlives a :func:`scratch` block."""
     return written(df, work_path(df.sparkSession, name))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import sketch
-from shopfunnel.llm.common import saved
+from shopfunnel.llm.common import result, saved, scratch
 from shopfunnel.llm.graph import components
 from shopfunnel.llm.words import grams, mix, text_chunks
 
@@ -229,6 +229,11 @@ def near_groups(
     null ids. Repeated rows are one document. An empty table gives an empty result. Other columns
     of ``docs`` are not read.
     """
+    with scratch(docs.sparkSession):
+        return result(_near_groups(docs, id_col, text_col, n, similarity), "near-groups")
+
+
+def _near_groups(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: Fraction) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     features = saved(_features(keyed, n, similarity, id_type), "features")

@@ -29,7 +29,7 @@ def contents(df):
     return sorted((r.event_month, str(r.event_date), r.brand) for r in df.collect())
 
 
-AFTER_RELOAD = [("2019-10", "2019-10-01", "new"), ("2019-11", "2019-11-01", "apple")]
+AFTER_RELOAD = [("2019-10", "2019-10-01", "new"), ("2019-11", "2019-11-01", "oakley")]
 
 
 def test_reloading_a_month_with_fewer_days(spark, tmp_path):
@@ -66,7 +66,7 @@ def test_reloading_a_month_with_nothing(spark, tmp_path):
     root = str(tmp_path / "events")
     layout.append_events(events(spark, *TWO_MONTHS), root)
     layout.replace_month(events(spark, *TWO_MONTHS).limit(0), root, "2019-10")
-    assert contents(read_events(spark, root)) == [("2019-11", "2019-11-01", "apple")]
+    assert contents(read_events(spark, root)) == [("2019-11", "2019-11-01", "oakley")]
 
 
 def test_rows_of_another_month_are_not_written(spark, tmp_path):
@@ -74,7 +74,7 @@ def test_rows_of_another_month_are_not_written(spark, tmp_path):
     rows = events(spark, *TWO_MONTHS)
     layout.replace_month(rows, root, "2019-10")
     assert {m for m, *_ in contents(read_events(spark, root))} == {"2019-10"}
-    assert contents(layout.misfiled(rows, "2019-10")) == [("2019-11", "2019-11-01", "apple")]
+    assert contents(layout.misfiled(rows, "2019-10")) == [("2019-11", "2019-11-01", "oakley")]
 
 
 def test_append_adds_and_overwrite_replaces(spark, tmp_path):

@@ -78,7 +78,7 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), apart=True)
 
 
 @query

@@ -55,3 +55,16 @@ def test_changed_notices_are_found_by_containment(spark):
 
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_versions_and_variants_are_told_apart(spark):
+    """Each whole notice gives its own license only, alone or beside another that has its version."""
+    fill = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, f"{fill} {notice} {fill}", name) for k, (name, notice) in enumerate(TEMPLATES)]
+    text = dict(TEMPLATES)
+    rows.append((100, f"{TEMPLATES[0][1]} {text['GPL-3.0']}", "Apache-2.0 GPL-3.0"))
+    rows.append((101, f"{text['GPL-2.0']} {text['GPL-3.0']}", "GPL-2.0 GPL-3.0"))
+    rows.append((102, f"{text['GPL-2.0'].replace('This', 'That')} {text['GPL-3.0']}", "GPL-2.0 GPL-3.0"))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {(r.doc_id, r.license) for r in scan_licenses(docs, apart=True).collect()}
+    assert found == {(k, name) for k, _, names in rows for name in names.split()}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ from shopfunnel.llm.common import fresh, same, saved
 
 #: Pages of a host, and share of its pages, that a subtree of the template is in at least.
 TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.3
+#: Pages of a host that make a subtree a template's whatever their share: large hosts have many layouts.
+TEMPLATE_ANYWAY = 500
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -30,8 +33,6 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _NAME_PARTS = re.compile(r"[a-z]+|[0-9]+")
-#: Open elements at most; what is nested deeper stands beside each other.
-_DEEPEST = 300
 #: Elements without content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end a run of text.
@@ -92,7 +93,13 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> _Node:
     """Tree of a page; end tags that are missing, misplaced or cut off are made up for."""
     root = _Node("#root", False)
-    stack, at, articles = [root], 0, 0
+    stack, at = [root], 0
+    open_tags: Counter[str] = Counter()
+
+    def close(k: int) -> None:
+        open_tags.subtract(n.tag for n in stack[k:])
+        del stack[k:]
+
     for token in _TOKEN.finditer(page):
         if token.start() > at:
             stack[-1].items.append(page[at : token.start()])
@@ -102,61 +109,59 @@ def parse(page: str) -> _Node:
             continue
         tag = tag.lower()
         if token[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    articles -= sum(n.tag == "article" for n in stack[k:])
-                    del stack[k:]
-                    break
+            if open_tags[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         kinds, until = _CLOSES.get(tag, ((), ()))
-        if kinds:
+        if any(open_tags[kind] > 0 for kind in kinds):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in kinds:
-                    del stack[k:]
+                    close(k)
                 elif stack[k].tag in until:
                     break
-        node = _Node(tag, _unwanted(tag, token[4], articles > 0))
+        node = _Node(tag, _unwanted(tag, token[4], open_tags["article"] > 0))
         stack[-1].items.append(node)
-        if tag not in _VOID and not token[4].endswith("/") and len(stack) < _DEEPEST:
+        if tag not in _VOID and not token[4].endswith("/"):
             stack.append(node)
-            articles += tag == "article"
+            open_tags[tag] += 1
     if at < len(page):
         stack[-1].items.append(page[at:])
     return root
 
 
-def _mark(node: _Node) -> str:
-    """Fill in the hashes of subtrees and where articles are; the node's tags and text."""
-    parts = [node.tag]
-    for item in node.items:
-        if isinstance(item, str):
-            words = item.split()
-            if words:
-                parts.append(" ".join(words))
-        else:
-            parts.append(_mark(item))
-            node.article |= item.article
-    node.article |= node.tag in ("article", "main")
-    text = "\x00".join(parts)
-    node.hash = xxhash.xxh64_intdigest(text) - (1 << 63)
-    return f"{node.tag}\x01{node.hash}" if len(parts) > 1 else node.tag
+def _nodes(root: _Node) -> Iterator[_Node]:
+    """The root and all below it, each before what it holds."""
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        waiting.extend(item for item in node.items if isinstance(item, _Node))
+
+
+def _mark(root: _Node) -> None:
+    """Fill in the hashes of subtrees, of their tags and text, and where articles are."""
+    spelled: dict[int, str] = {}
+    for node in reversed(list(_nodes(root))):
+        parts = [node.tag]
+        for item in node.items:
+            if isinstance(item, str):
+                words = item.split()
+                if words:
+                    parts.append(" ".join(words))
+            else:
+                parts.append(spelled.pop(id(item)))
+                node.article |= item.article
+        node.article |= node.tag in ("article", "main")
+        node.hash = xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
+        spelled[id(node)] = f"{node.tag}\x01{node.hash}" if len(parts) > 1 else node.tag
 
 
 def subtrees(page: str) -> set[int]:
     """Hashes of the subtrees that can be part of a template: containers that hold no article."""
     root = parse(page)
     _mark(root)
-    found: set[int] = set()
-
-    def walk(node: _Node) -> None:
-        for item in node.items:
-            if isinstance(item, _Node):
-                if item.tag not in _TEXT and item.items and not item.article:
-                    found.add(item.hash)
-                walk(item)
-
-    walk(root)
-    return found
+    below = (node for node in _nodes(root) if node is not root)
+    return {node.hash for node in below if node.tag not in _TEXT and node.items and not node.article}
 
 
 def main_text(page: str | None, template: set[int] | None = None) -> str:
@@ -172,29 +177,31 @@ def main_text(page: str | None, template: set[int] | None = None) -> str:
             blocks.append(" ".join(words))
         run.clear()
 
-    def write(node: _Node, run: list[str]) -> None:
-        if node.drop or (template and node.hash in template):
-            return
-        block = node.tag in _BLOCKS
-        if block:
-            flush(run)
-        elif node.tag == "br":
-            run.append(" ")
-        for item in node.items:
-            if isinstance(item, str):
-                run.append(item)
-            else:
-                write(item, run)
-        if block:
-            flush(run)
+    def write(top: _Node, run: list[str]) -> None:
+        waiting: list[_Node | str | None] = [top]  # nothing stands for the end of a block
+        while waiting:
+            node = waiting.pop()
+            if node is None:
+                flush(run)
+            elif isinstance(node, str):
+                run.append(node)
+            elif not (node.drop or (template and node.hash in template)):
+                if node.tag in _BLOCKS:
+                    flush(run)
+                    waiting.append(None)
+                elif node.tag == "br":
+                    run.append(" ")
+                waiting.extend(reversed(node.items))
 
     def roots(node: _Node, tag: str) -> Iterator[_Node]:
-        for item in node.items:
+        waiting = node.items[::-1]
+        while waiting:
+            item = waiting.pop()
             if isinstance(item, _Node) and not item.drop:
                 if item.tag == tag:
                     yield item
                 else:
-                    yield from roots(item, tag)
+                    waiting.extend(reversed(item.items))
 
     for top in [*roots(root, "article")] or [*roots(root, "main")] or [root]:
         run: list[str] = []
@@ -227,7 +234,9 @@ def template_subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "h
     each = parsed.select("host", "row", F.explode("hashes").alias("hash"))
     counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= TEMPLATE_PAGES)
     sizes = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    recurring = counts.join(sizes, "host").filter(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).select("host", "hash")
+    recurring = counts.join(sizes, "host").filter(
+        F.col("n") >= F.least(TEMPLATE_SHARE * F.col("pages"), F.lit(TEMPLATE_ANYWAY))
+    ).select("host", "hash")
     met = each.join(recurring, ["host", "hash"])
     return saved(met.groupBy("row").agg(F.collect_set("hash").alias("hashes")), "templates")
 

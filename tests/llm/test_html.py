@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shopfunnel.llm.html import extract, main_text
+from shopfunnel.llm.html import extract, main_text, subtrees
 
 
 def test_article_of_a_page():
@@ -50,3 +50,19 @@ def test_empty_table_and_long_page(spark):
     pages = spark.createDataFrame([(1, "http://h.example.com", "<article>" + "<p>word</p>" * 60_000)], "page_id long, url string, html string")
     assert extract(pages).select(F.length("text")).first()[0] == 5 * 60_000 - 1
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_deep_pages_are_parsed_whole():
+    deep = 5_000
+    page = f"<div><article><p>a</p>{'<div>' * deep}<nav>n</nav><p>in</p>{'</div>' * deep}<p>b</p></article></div>"
+    assert main_text(page) == "a\nin\nb"
+    assert main_text(page, template={1}) == "a\nin\nb"
+    held = f"<article>{'<div>' * deep}<form>{'<div>' * deep}f{'</div>' * deep}</form>{'</div>' * deep}<p>b</p></article>"
+    assert main_text(held) == "b" and len(subtrees(page)) > 0
+
+
+def test_template_of_one_of_many_layouts_goes(spark, monkeypatch):
+    monkeypatch.setattr("shopfunnel.llm.html.TEMPLATE_ANYWAY", 10)
+    rows = [(k, f"http://h.example.com/{k}", f"<div><div>Layout {k % 5}</div><p>Own {k}</p></div>") for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in extract(pages).collect()} == {f"Own {k}" for k in range(60)}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import quality
-from shopfunnel.llm.common import fresh, same, table
+from shopfunnel.llm.common import fresh, table
 from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.ngram_join import near_groups, row_key
 from shopfunnel.llm.packing import pack
@@ -32,17 +32,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds are cut out, and documents left without a word go."""
-    left = dedup_substrings(docs).filter("n_words > n_removed")
+    """Passages that an earlier document holds are cut out, and documents of which no word is left go."""
+    left = dedup_substrings(docs).filter("n_removed = 0 or n_words > n_removed")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left.select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaked = find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, same(docs["doc_id"], leaked["_leaked"]), "left_anti")
+    """Documents that hold a benchmark item go: rows by id and text, whatever others have their id."""
+    row = fresh(docs, "row")
+    keyed = docs.withColumn(row, row_key("doc_id", "text"))
+    leaked = find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=row).select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(leaked, row, "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,16 @@ def test_stages_on_odd_rows(spark):
         assert stage(spark, odd, SF).count() >= 0, name
     stages = dict(corpus_pipeline.STAGES)
     assert stages["ngram_jaccard_join"](spark, odd, SF).filter("doc_id = -3").count() == 1
+
+
+def test_stages_keep_rows_that_nothing_is_wrong_with(spark):
+    """Rows with the id of a leaked one, and rows that had no word before anything was cut."""
+    docs, stages = table(spark, SF, "documents"), dict(corpus_pipeline.STAGES)
+    item = table(spark, SF, "benchmark").filter("length(text) > 100").first().text
+    texts = [(None, item), (None, "kept without an id"), (None, None), (-1, item), (-1, "kept under the same id"), (-2, ""), (-3, "  ")]
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], docs.schema)
+    left = stages["benchmark_decontamination"](spark, odd, SF)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted((i or 0, t or "") for i, t in texts if t != item)
+    empty = odd.filter("doc_id < -1 or text is null")
+    assert stages["substring_dedup"](spark, empty, SF).count() == 3

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import quality
+from shopfunnel.llm.centroids import centroid_digest, cluster_vectors
 from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
 from shopfunnel.llm.html import extract
 from shopfunnel.llm.licenses import scan_licenses
 from shopfunnel.llm.lm import score_texts
+from shopfunnel.llm.negatives import mine
 from shopfunnel.llm.ngram_join import near_groups
 from shopfunnel.llm.packing import pack
 from shopfunnel.llm.shards import read_shards, write_shards
@@ -95,6 +97,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    found = found.withColumn("centroid_sha256", centroid_digest())
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
 #: Words of each document, in DuckDB.
 _WORDS = r"""
 words AS (SELECT doc_id, list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)
@@ -132,7 +147,58 @@ SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, coalesce(min(b), doc_
 FROM grams LEFT JOIN reach ON doc_id = a GROUP BY doc_id, g
 """
 
-ORACLE = {"op9_ngram_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
+
+
+def _op12(clusters: int = 8, rounds: int = 10) -> str:
+    """One group of expressions a round: distances, assignment, means."""
+    parts = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x FROM kept
+  ORDER BY sha256('3:' || vec_id) LIMIT {clusters})""",
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(k.x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(k.x, c{k}.x),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, c := c)) AS best
+  FROM kept k CROSS JOIN c{k} GROUP BY vec_id)""")
+        if k < rounds:
+            parts.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m, c{k}.x) AS x FROM c{k} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM (
+      SELECT c, i, sum(v) AS s, count(*) AS n FROM (
+        SELECT best.c AS c, unnest(x) AS v, unnest(range(1, 65)) AS i FROM a{k}) GROUP BY c, i) GROUP BY c) USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+       (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.c = c{rounds}.c
+"""
+
+
+_OP13 = """
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+         list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE = {"op12_centroid_clustering": _op12(), "op13_hard_negatives": _OP13, "op9_ngram_jaccard_join": _OP9, "op10_substring_dedup": _OP10}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import quality
+from shopfunnel.llm.best_fit import best_fit_pack
 from shopfunnel.llm.centroids import centroid_digest, cluster_vectors
 from shopfunnel.llm.common import table
 from shopfunnel.llm.decontaminate import find_leaks
@@ -97,6 +98,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ids")
+
+
 @query
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))

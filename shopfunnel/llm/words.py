@@ -113,6 +113,15 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, plain:
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends, data)
 
 
+def hashes_of(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes that follow each other, the last ending at ``places[-1]``."""
+    n = len(data)
+    up, down = _POWERS.upto(n)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[:n], out=sums[1:])
+    return mix((sums[places[1:]] - sums[places[:-1]]) * down[places[:-1]])
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words; run i begins at word i, across text bounds too."""
     count = len(hashes) - n + 1

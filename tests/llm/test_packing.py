@@ -7,6 +7,7 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
+from shopfunnel.llm import tokens
 from shopfunnel.llm.packing import lengths_of, pack
 from shopfunnel.llm.tokens import Encoder, vocabulary_path
 
@@ -15,7 +16,6 @@ def whole(texts):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(vocabulary_path())
-    library.encode_special_tokens = True
     return [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -59,3 +59,13 @@ def test_every_id_lies_in_one_piece(spark):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_forgotten_and_colliding_pieces(monkeypatch):
+    """Neither a full memory nor pieces of one hash change any id."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["ab", "abc", "x1", "né", "12 34"]) + str(rng.randrange(30)) for _ in range(40)) for _ in range(60)]
+    for name, value in (("MEMO_PIECES", 40), ("hashes_of", lambda data, places: np.zeros(len(places) - 1, np.uint64))):
+        monkeypatch.setattr(tokens, name, value)
+        encoder = Encoder(vocabulary_path())
+        assert [np.frombuffer(ids, "<u4").tolist() for k in range(0, 60, 7) for ids in encoder.encode(texts[k : k + 7])] == whole(texts)

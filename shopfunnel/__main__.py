@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--database", default="default", help="database of the tables")
     parser.add_argument("--load-only", action="store_true", help="stop after the processed dataset")
     parser.add_argument("--may-empty", action="store_true", help="accept a delivery without rows of its month")
+    parser.add_argument("--versioned", action="store_true", help="publish each month in one step")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="{asctime} [{levelname}] {message}", style="{")
@@ -30,7 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     for delivery in args.month:
         month, _, paths = delivery.partition("=")
         files = paths.split(",") if paths else month_file(args.raw, month)
-        load_month(spark, files, args.processed, month, args.quarantine, args.may_empty)
+        load_month(spark, files, args.processed, month, args.quarantine, args.may_empty, args.versioned)
     if not args.load_only:
         build_event_tables(spark, args.processed, args.database)
         for model, column, name, failures in build_models(spark, args.database):

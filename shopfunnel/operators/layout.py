@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopfunnel.operators import versions
+from shopfunnel.operators.files import by_day, write_by_day
 from shopfunnel.schemas import EVENTS
-
-
-def by_day(events: DataFrame) -> DataFrame:
-    """Rows of one day brought together, so a day becomes a few files and not one per task.
-
-    ``rebalance`` rather than ``repartition``: AQE splits a day that outgrows the
-    advisory size over as many tasks as it needs and merges small ones.
-    """
-    return events.hint("rebalance", F.col("event_date"))
+from shopfunnel.sources.versions import is_versioned
 
 
 def append_events(events: DataFrame, root: str) -> None:
     """Add rows to the dataset, each under the month and day of its own time."""
-    _write(events, root, "append", "event_month", "event_date")
+    if is_versioned(events.sparkSession, root):
+        versions.append_batch(events, root, uuid.uuid4().hex)
+    else:
+        write_by_day(events, root, "append", "event_month", "event_date")
 
 
 def overwrite_events(events: DataFrame, root: str) -> None:
     """Replace the whole dataset."""
-    _write(events, root, "overwrite", "event_month", "event_date")
+    write_by_day(events, root, "overwrite", "event_month", "event_date")
 
 
 def replace_month(events: DataFrame, root: str, month: str) -> None:
@@ -36,10 +34,14 @@ def replace_month(events: DataFrame, root: str, month: str) -> None:
     Writing to the month's own folder in static mode removes days that the new load no
     longer has and leaves other months alone; loading again changes nothing. Rows of
     other months are not written: see :func:`misfiled`. As with any plain file layout
-    the swap is not atomic: an aborted load is put right by running it again.
+    the swap is not atomic: an aborted load is put right by running it again. Datasets
+    with published versions are replaced by :func:`versions.replace_month`, which is.
     """
+    if is_versioned(events.sparkSession, root):
+        versions.replace_month(events, root, month)
+        return
     rows = events.filter(F.col("event_month") == month).drop("event_month")
-    _write(rows, f"{root.rstrip('/')}/event_month={month}", "overwrite", "event_date")
+    write_by_day(rows, f"{root.rstrip('/')}/event_month={month}", "overwrite", "event_date")
 
 
 def astray(month_of_row: Column, month: str) -> Column:
@@ -52,27 +54,6 @@ def misfiled(events: DataFrame, month: str) -> DataFrame:
     return events.filter(astray(F.col("event_month"), month))
 
 
-def append_batch(events: DataFrame, root: str, batch: str) -> None:
-    """Add the rows of a named batch under the month and day of each; again adds nothing.
-
-    The batch is written beside the dataset and its files are then moved into the days'
-    folders, named after the batch; files that an earlier attempt moved go first.
-    """
-    spark, staged = events.sparkSession, f"{root.rstrip('/')}/_batches/{batch}"
-    _write(events, staged, "overwrite", "event_month", "event_date")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for earlier in fs.globStatus(path(f"{root}/event_month=*/event_date=*/{batch}-*")) or []:
-        fs.delete(earlier.getPath(), False)
-    for number, new in enumerate(fs.globStatus(path(f"{staged}/event_month=*/event_date=*/part-*")) or []):
-        day = new.getPath().getParent()
-        folder = path(f"{root}/{day.getParent().getName()}/{day.getName()}")
-        fs.mkdirs(folder)
-        if not fs.rename(new.getPath(), path(folder, f"{batch}-{number:05d}.snappy.parquet")):
-            raise OSError(f"could not move {new.getPath()} to {folder}")
-    fs.delete(path(staged), True)
-
-
 def replace_month_in_table(events: DataFrame, table: str, month: str) -> None:
     """:func:`replace_month` for a catalog table partitioned by month and day."""
     spark = events.sparkSession
@@ -133,17 +114,6 @@ def model_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame
     return df.sparkSession.table(table)
 
 
-def _write(events: DataFrame, path: str, mode: str, *keys: str) -> None:
-    (
-        by_day(events)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "static")
-        .option("compression", "snappy")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-
-
 def _save_table(rows: DataFrame, table: str, path: str | None) -> DataFrame:
     writer = rows.write.mode("overwrite").format("parquet").partitionBy("event_date")
     (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.functions.events import parse_event_time
-from shopfunnel.operators import checks, gate, layout, profile
-from shopfunnel.plans import behaviour, models, reports, warehouse
+from shopfunnel.operators import checks, gate, layout, profile, versions
+from shopfunnel.plans import behaviour, models, refresh, reports, warehouse
 from shopfunnel.plans.load import load_month
 from shopfunnel.schemas import EVENTS, GATED, PROCESSED
 from shopfunnel.session import pin_utc, remove, work_path, written
 from shopfunnel.sources.csv import input_files, month_file, scan_bronze
-from shopfunnel.sources.tables import read_events, register_external
+from shopfunnel.sources.tables import read_events, refresh_external, register_external
 from shopfunnel.sources.testlog import event_log, raw_log
 from shopfunnel.streaming import clean
 
@@ -147,20 +147,76 @@ def append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, root)
 
 
-@query
-def month_replace_keeps_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days after the 15th belong to the next month; the first month is reloaded with ten days."""
-    log, root = event_log(spark, sf_dir), work_path(spark, "two-months")
+def _two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with the days after the 15th moved to the next month."""
+    log = event_log(spark, sf_dir)
     late = F.dayofmonth("event_time") > 15
     shifted = F.when(late, F.col("event_time") + F.expr("interval 1 month")).otherwise(F.col("event_time"))
     both = gate.with_partition_columns(log.withColumn("event_time", shifted).select(*PROCESSED.names))
-    both = written(both.select(*EVENTS.names), work_path(spark, "two-months-log"))
+    return written(both.select(*EVENTS.names), work_path(spark, "two-months-log"))
+
+
+def _ten_days(both: DataFrame) -> DataFrame:
+    """A delivery of the first month that lacks its last days."""
+    return both.filter((F.col("event_month") == MONTH) & (F.dayofmonth("event_time") <= 10))
+
+
+@query
+def month_replace_keeps_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days after the 15th belong to the next month; the first month is reloaded with ten days."""
+    both, root = _two_months(spark, sf_dir), work_path(spark, "two-months")
     layout.overwrite_events(both, root)
     for _ in range(2):
         layout.replace_month(both.filter(F.dayofmonth("event_time") <= 10), root, MONTH)
     return read_events(spark, root)
 
 
+def _published(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Two months published as versions, and their dataset."""
+    both, root = _two_months(spark, sf_dir), work_path(spark, "published")
+    for r in both.select("event_month").distinct().collect():
+        versions.replace_month(both, root, r.event_month)
+    return both, root
+
+
+@query
+def aborted_replace_keeps_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that wrote its rows and stopped before it published them."""
+    both, root = _published(spark, sf_dir)
+    versions.write_version(_ten_days(both), root, "aborted")
+    return read_events(spark, root)
+
+
+@query
+def published_replace_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table that follows a month's replacement, and outlives the old version's files."""
+    both, root = _published(spark, sf_dir)
+
+    def build(database: str) -> DataFrame:
+        table = f"{database}.events_published"
+        register_external(spark, table, root)
+        versions.write_version(both, root, "aborted")
+        versions.replace_month(_ten_days(both), root, MONTH)
+        refresh_external(spark, table, root, [MONTH])
+        versions.remove_superseded(spark, root, older_than=-60)
+        return spark.table(table).select(*EVENTS.names)
+
+    return _in_database(spark, build)
+
+
+@query
+def published_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches appended to published months, some twice, around the reload of one of them."""
+    both, root = _two_months(spark, sf_dir), work_path(spark, "batches")
+    odd = F.col("product_id") % 2 == 1
+    for batch in ("batch-1", "batch-1"):
+        versions.append_batch(both.filter(odd), root, batch)
+    versions.replace_month(_ten_days(both).filter(odd), root, MONTH)
+    for batch in ("batch-1", "batch-2", "batch-2"):
+        versions.append_batch(both.filter(~odd & ((F.col("event_month") != MONTH) | (F.dayofmonth("event_time") <= 10))), root, batch)
+    return read_events(spark, root)
+
+
 @query
 def month_replace_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "replaced")
@@ -215,6 +271,46 @@ def _from_warehouse(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _in_database(spark, build)
 
 
+def _refreshed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of a warehouse built from two months, after one was reloaded and refreshed."""
+    both, root = _published(spark, sf_dir)
+
+    def build(database: str) -> DataFrame:
+        refresh.refresh(spark, root, database)
+        versions.replace_month(_ten_days(both), root, MONTH)
+        refresh.refresh(spark, root, database, [MONTH])
+        if table == refresh.CHECKS_TABLE:
+            return refresh.merged_checks(spark, database)
+        return spark.table(f"{database}.{table}").select(*refresh.TABLES[table][0].names)
+
+    return _in_database(spark, build)
+
+
+@query
+def refreshed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, warehouse.CLUSTERED)
+
+
+@query
+def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, warehouse.FACT_TABLE)
+
+
+@query
+def refreshed_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, warehouse.MONTHLY_TABLE)
+
+
+@query
+def refreshed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, warehouse.DAILY_TABLE)
+
+
+@query
+def refreshed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, refresh.CHECKS_TABLE)
+
+
 @query
 def warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.daily_in_order(_from_warehouse(spark, sf_dir, warehouse.DAILY_TABLE))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.functions import events as E
-from shopfunnel.operators import gate, layout
+from shopfunnel.operators import gate, layout, versions
 from shopfunnel.schemas import BRONZE, EVENTS, GATED
 from shopfunnel.session import pin_utc, work_table
 from shopfunnel.sources.csv import Paths, first_day, input_bytes, scan_bronze
@@ -78,6 +78,7 @@ def load_month(
     month: str,
     quarantine_root: str | None = None,
     may_empty: bool = False,
+    versioned: bool = False,
 ) -> LoadMetrics:
     """Load the CSV files of one month; loading it again leaves the same rows.
 
@@ -85,6 +86,9 @@ def load_month(
     along and there is no quarantine to keep them, or if none of the rows delivered belongs
     to the month, unless it ``may_empty`` the month. A delivery without rows empties it.
 
+    A ``versioned`` load publishes the month in one step: readers see the old rows or the new
+    ones, also when it is aborted. Once a dataset has a version, all later loads work so.
+
     The CSV is parsed once, into a work table the counts, the quarantine and the
     processed rows are then read from. Counting on the side of a write would be free but
     a task repeated after losing an executor counts its rows again.
@@ -100,7 +104,8 @@ def load_month(
             failed = routed.filter(F.col("failure_reason").isNotNull()).select(*gate.QUARANTINE_COLUMNS)
             layout.write_quarantine(failed, quarantine_root, month, metrics.cast_failed + metrics.misfiled)
         kept = gate.with_partition_columns(routed.filter("keep").select(*BRONZE.names))
-        layout.replace_month(kept.select(*EVENTS.names), root, month)
+        replace = versions.replace_month if versioned else layout.replace_month
+        replace(kept.select(*EVENTS.names), root, month)
     return metrics
 
 

@@ -51,6 +51,14 @@ DATED = """,
 
 LOG = f"{KEYED}, log AS (SELECT {LOG_COLUMNS}{DATED} FROM keyed_log)"
 
+_MOVED = f"""{KEYED}, moved AS (
+  SELECT * REPLACE (CASE WHEN day(event_time) > 15 THEN event_time + INTERVAL 1 MONTH ELSE event_time END AS event_time)
+  FROM keyed_log
+), log AS (SELECT {LOG_COLUMNS}{DATED} FROM moved"""
+#: Days after the 15th in the next month; and with the first month loaded again, with ten days.
+TWO_MONTHS = f"{_MOVED})"
+RELOADED = f"{_MOVED} WHERE day(event_time) <= 10 OR day(event_time) > 15)"
+
 RAW = f"""{KEYED}, raw AS (
   SELECT {_defective("event_time", "strftime(event_time, '%Y-%m-%d %H:%M:%S') || ' UTC'")},
     event_type,
@@ -209,13 +217,10 @@ FROM typed""",
         "csv_month_files": _with(RAW, "SELECT count(*) > 0 AS all_have_bytes, count(*) AS row_count FROM raw"),
         "append_events": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),
         "partitioned_table_by_day": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),
-        "month_replace_keeps_other_months": _with(
-            f"""{KEYED}, moved AS (
-  SELECT * REPLACE (CASE WHEN day(event_time) > 15 THEN event_time + INTERVAL 1 MONTH ELSE event_time END AS event_time)
-  FROM keyed_log
-), log AS (SELECT {LOG_COLUMNS}{DATED} FROM moved)""",
-            f"SELECT {EVENT_COLUMNS} FROM log WHERE day(event_time) <= 10 OR day(event_time) > 15",
-        ),
+        "month_replace_keeps_other_months": _with(RELOADED, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "published_replace_in_table": _with(RELOADED, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "published_batches": _with(RELOADED, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "aborted_replace_keeps_month": _with(TWO_MONTHS, f"SELECT {EVENT_COLUMNS} FROM log"),
         "external_table_by_day": _with(
             LOG, "SELECT event_month, event_date, count(*) AS events FROM log GROUP BY ALL"
         ),
@@ -241,6 +246,12 @@ def _checks(table: str, model: str, not_null, accepted: str | None, contract: bo
 def _models() -> dict[str, str]:
     ids = ("user_id", "user_session", "product_id")
     daily = "SELECT * FROM daily ORDER BY event_date, overall_conversion_rate DESC NULLS LAST"
+    all_checks = _union(
+        _checks("staged", "staged_events", ids, "event_type", False)
+        + _checks("fact", "funnel_fact", ("event_date",), "funnel_stage", True)
+        + _checks("monthly", "funnel_monthly", (), None, True)
+        + _checks("daily", "funnel_daily", ("event_date", "view_sessions", "cart_sessions"), None, True)
+    )
     return {
         "staging": _with(LOG + MODELS, "SELECT * FROM staged"),
         "fact_funnel": _with(LOG + MODELS, "SELECT * FROM fact"),
@@ -250,18 +261,15 @@ def _models() -> dict[str, str]:
         ),
         "funnel_daily": _with(LOG + MARTS, daily),
         "funnel_daily_from_raw": _with(GATED_ROWS + MARTS, daily),
+        "refreshed_events": _with(RELOADED, f"SELECT {EVENT_COLUMNS} FROM log"),
+        "refreshed_fact": _with(RELOADED + MODELS, "SELECT * FROM fact"),
+        "refreshed_monthly": _with(RELOADED + MARTS, "SELECT * FROM monthly"),
+        "refreshed_daily": _with(RELOADED + MARTS, "SELECT * FROM daily"),
+        "refreshed_checks": _with(RELOADED + MARTS, all_checks),
         "warehouse_daily": _with(LOG + MARTS, daily),
         "warehouse_fact": _with(LOG + MODELS, "SELECT * FROM fact"),
         "warehouse_monthly": _with(LOG + MARTS, "SELECT * FROM monthly"),
-        "check_results": _with(
-            LOG + MARTS,
-            _union(
-                _checks("staged", "staged_events", ids, "event_type", False)
-                + _checks("fact", "funnel_fact", ("event_date",), "funnel_stage", True)
-                + _checks("monthly", "funnel_monthly", (), None, True)
-                + _checks("daily", "funnel_daily", ("event_date", "view_sessions", "cart_sessions"), None, True)
-            ),
-        ),
+        "check_results": _with(LOG + MARTS, all_checks),
         "check_results_on_raw_events": _with(
             LOG, _union(_checks("log", "event_log", ids, "event_type", True))
         ),

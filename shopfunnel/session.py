@@ -61,10 +61,40 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/shopfunnel/{name}-{uuid.uuid4().hex}"
 
 
+def _stored(spark: SparkSession, path: str):
+    """A path and the file system it is stored on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it is stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    fs, folder = _stored(spark, path)
+    fs.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _stored(spark, path)
+    return fs.exists(place)
+
+
+def entries(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names in a folder with the times they were changed, in ms; none where there is no folder."""
+    fs, place = _stored(spark, folder)
+    if not fs.exists(place):
+        return {}
+    return {e.getPath().getName(): e.getModificationTime() for e in fs.listStatus(place)}
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _stored(spark, path)
+    fs.mkdirs(folder)
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file; one that exists already stays."""
+    fs, place = _stored(spark, path)
+    fs.createNewFile(place)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """The cleaning step on a stream of CSV files, into the layout of the batch side.
 
-Each batch of files is parsed once and goes to both outputs through writers that replace
-what an earlier attempt of the same batch has written, so a restarted query neither loses
-nor repeats rows. Nothing but event files lies in the dataset: it can be registered as a
-table, and months can be reloaded, like one that was loaded by month.
+Each batch of files is parsed once and goes to both outputs through writers that know what
+an earlier attempt of the same batch has written, so a restarted query neither loses nor
+repeats rows. A batch is published as a version of its months: the dataset can be registered
+as a table, and months can be reloaded, like one that was loaded by month.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shopfunnel.operators import gate, layout
+from shopfunnel.operators import gate, versions
 from shopfunnel.schemas import BRONZE, EVENTS
 
 #: Files of a batch at most: what a failure has to repeat.
@@ -36,7 +36,7 @@ def start(
         typed = gate.with_typed(rows).persist()
         try:
             processed = gate.with_partition_columns(gate.processed(typed)).select(*EVENTS.names)
-            layout.append_batch(processed, root, f"batch-{number:012d}")
+            versions.append_batch(processed, root, f"batch-{number:012d}")
             if quarantine_root:
                 failed = gate.quarantined(typed).hint("rebalance")
                 failed.write.mode("overwrite").parquet(f"{quarantine_root.rstrip('/')}/batch={number}")

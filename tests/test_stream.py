@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from shopfunnel.operators import gate, layout
+from shopfunnel.operators import gate, layout, versions
 from shopfunnel.session import written
 from shopfunnel.sources.csv import scan_bronze
 from shopfunnel.sources.tables import read_events, register_external
@@ -47,7 +47,7 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     rows = gate.with_partition_columns(gate.processed(gate.with_typed(scan_bronze(spark, write_csv(tmp_path / "x.csv", OCTOBER)))))
     root = str(tmp_path / "out")
     for batch in ("batch-1", "batch-1", "batch-2", "batch-2"):
-        layout.append_batch(rows, root, batch)
+        versions.append_batch(rows, root, batch)
     assert read_events(spark, root).count() == 2 * rows.count()
     days = {tuple(p.parent.parts[-2:]) for p in (tmp_path / "out").rglob("*.parquet")}
     assert len(list((tmp_path / "out").rglob("*.parquet"))) == 2 * len(days)

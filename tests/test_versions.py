@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import threading
+
+import pytest
+
+from shopfunnel.operators import layout, versions
+from shopfunnel.plans.load import load_month
+from shopfunnel.sources.tables import read_events, refresh_external, register_external
+from shopfunnel.sources.versions import markers, visible
+from tests.rows import events
+from tests.test_layout import AFTER_RELOAD, RELOAD, TWO_MONTHS, contents
+from tests.test_load import OCTOBER, write_csv
+
+BEFORE = [(f"2019-{m}", f"2019-{m}-{d}", "oakley") for m, d in (("10", "01"), ("10", "02"), ("11", "01"))]
+
+
+@pytest.fixture(params=["plain", "published"])
+def root(spark, tmp_path, request):
+    """Two months, in folders of their own or as versions."""
+    root = str(tmp_path / "events")
+    if request.param == "plain":
+        layout.append_events(events(spark, *TWO_MONTHS), root)
+    else:
+        for month in ("2019-10", "2019-11"):
+            versions.replace_month(events(spark, *TWO_MONTHS), root, month)
+    return root
+
+
+class Stop(Exception):
+    pass
+
+
+def stopped(*_, **__):
+    raise Stop
+
+
+@pytest.mark.parametrize(
+    ("where", "after"), [("write_version", BEFORE), ("publish", BEFORE), ("create_empty", BEFORE), (None, AFTER_RELOAD)]
+)
+def test_a_load_that_stops_leaves_the_old_month_or_the_new_one(spark, root, monkeypatch, where, after):
+    if where:
+        monkeypatch.setattr(versions, where, stopped)
+        with pytest.raises(Stop):
+            versions.replace_month(events(spark, *RELOAD), root, "2019-10")
+        monkeypatch.undo()
+    else:
+        versions.replace_month(events(spark, *RELOAD), root, "2019-10")
+    assert contents(read_events(spark, root)) == after
+    versions.replace_month(events(spark, *RELOAD), root, "2019-10")  # run again
+    assert contents(read_events(spark, root)) == AFTER_RELOAD
+    assert contents(read_events(spark, root, "event_month=2019-11")) == AFTER_RELOAD[1:]
+
+
+def test_a_write_that_stops_halfway_is_not_seen(spark, root):
+    """Files of some days are there, the marker is not."""
+    versions.write_version(events(spark, *RELOAD), root, "halfway")
+    assert contents(read_events(spark, root)) == BEFORE
+
+
+def test_of_two_loads_at_once_one_stands_whole(spark, root):
+    days = [{"event_time": f"2019-10-{d:02} 01:00:00"} for d in range(1, 6)]
+    loads = [[{**day, "brand": brand} for day in days] for brand in ("a", "b")]
+    gate = threading.Barrier(2)
+
+    def load(rows):
+        gate.wait()
+        versions.replace_month(events(spark, *rows), root, "2019-10")
+
+    threads = [threading.Thread(target=load, args=(rows,)) for rows in loads]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    october = contents(read_events(spark, root, "event_month=2019-10"))
+    assert len(october) == 5 and len({brand for *_, brand in october}) == 1
+
+
+def test_equal_numbers_are_ordered_by_version(spark, root, monkeypatch):
+    """Both loads saw the same last marker."""
+    seen = markers(spark, root, "2019-10")
+    monkeypatch.setattr(versions, "markers", lambda *_: seen)
+    for _ in range(2):
+        versions.replace_month(events(spark, *RELOAD), root, "2019-10")
+    monkeypatch.undo()
+    last = markers(spark, root, "2019-10")[-2:]
+    assert last[0].number == last[1].number and visible(spark, root, "2019-10") == [last[1]]
+    assert contents(read_events(spark, root)) == AFTER_RELOAD
+
+
+def test_emptying_a_month(spark, root):
+    versions.replace_month(events(spark, *TWO_MONTHS).limit(0), root, "2019-10")
+    assert contents(read_events(spark, root)) == AFTER_RELOAD[1:]
+    versions.replace_month(events(spark, *TWO_MONTHS).limit(0), root, "2019-11")
+    assert read_events(spark, root).count() == 0
+
+
+def test_batches_add_and_a_reload_hides_what_came_before(spark, root):
+    more = events(spark, {"event_time": "2019-10-05 01:00:00"}, {"event_time": "2019-12-01 01:00:00"})
+    for batch in ("batch-1", "batch-1", "batch-2"):
+        versions.append_batch(more, root, batch)
+    assert read_events(spark, root).count() == 3 + 2 * 2
+    versions.replace_month(events(spark, *RELOAD), root, "2019-10")
+    versions.append_batch(more, root, "batch-1")
+    assert contents(read_events(spark, root, "event_month=2019-10")) == AFTER_RELOAD[:1]
+    layout.append_events(more, root)
+    layout.replace_month(events(spark, *TWO_MONTHS), root, "2019-11")
+    assert read_events(spark, root).count() == 2 + 1 + 3
+
+
+def test_a_batch_that_stopped_between_months_is_completed(spark, root, monkeypatch):
+    more = events(spark, {"event_time": "2019-10-05 01:00:00"}, {"event_time": "2019-11-05 01:00:00"})
+    made, create = [], versions.create_empty
+
+    def once(*args):
+        if made:
+            raise Stop
+        made.append(create(*args))
+
+    monkeypatch.setattr(versions, "create_empty", once)
+    with pytest.raises(Stop):
+        versions.append_batch(more, root, "batch-1")
+    monkeypatch.undo()
+    assert read_events(spark, root).count() == 4
+    monkeypatch.setattr(versions, "write_version", stopped)  # what was written whole isn't written again
+    versions.append_batch(more, root, "batch-1")
+    assert read_events(spark, root).count() == 5
+
+
+def test_superseded_versions_are_removed(spark, root):
+    table = register_external(spark, "followed", root)
+    assert table.count() == 3
+    old = {m.version for m in markers(spark, root, "2019-10")}
+    versions.write_version(events(spark, *RELOAD), root, "aborted")
+    for _ in range(2):
+        versions.replace_month(events(spark, *RELOAD), root, "2019-10")
+    register_external(spark, "followed", root)
+    versions.append_batch(events(spark, *RELOAD), root, "late")
+    refresh_external(spark, "followed", root, ["2019-10"])
+    assert versions.remove_superseded(spark, root) == []  # all are too young
+    gone = versions.remove_superseded(spark, root, older_than=-60)
+    assert {*old, "aborted"} <= set(gone) and len(gone) == len(old) + 2
+    expected = sorted([*AFTER_RELOAD, AFTER_RELOAD[0]])
+    assert contents(read_events(spark, root)) == contents(spark.table("followed")) == expected
+    assert [m.version for m in markers(spark, root, "2019-10")][-1] == "late"
+    spark.sql("DROP TABLE followed")
+
+
+def test_a_table_follows_its_dataset(spark, root):
+    register_external(spark, "following", root)
+    layout.replace_month(events(spark, *RELOAD), root, "2019-10")
+    refresh_external(spark, "following", root, ["2019-10"])
+    assert contents(spark.table("following")) == AFTER_RELOAD
+    assert spark.table("following").columns[-2:] == ["event_month", "event_date"]
+    filtered = spark.table("following").filter("event_month = '2019-11'")
+    assert all("2019-11" in f for f in filtered.inputFiles())
+    spark.sql("DROP TABLE following")
+
+
+def test_versioned_loads(spark, tmp_path):
+    path, root = write_csv(tmp_path / "x.csv", OCTOBER), str(tmp_path / "processed")
+    for versioned in (True, True, False):
+        metrics = load_month(spark, path, root, "2019-10", str(tmp_path / "bad"), versioned=versioned)
+        assert read_events(spark, root).count() == metrics.processed == 4
+    assert len(markers(spark, root, "2019-10")) == 3

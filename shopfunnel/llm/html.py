@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 import xxhash
@@ -26,11 +28,10 @@ TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.3
 #: Pages of a host that make a subtree a template's whatever their share: large hosts have many layouts.
 TEMPLATE_ANYWAY = 500
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_SIGNS = re.compile("[>\"']")
+#: Elements whose content is no text, whatever it holds.
+_RAW = frozenset("script style noscript template textarea svg iframe object math".split())
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _NAME_PARTS = re.compile(r"[a-z]+|[0-9]+")
 #: Elements without content.
@@ -50,6 +51,8 @@ _CLOSES = {
 #: Elements that never hold main text, and those that hold it inside an article only.
 _NEVER = frozenset("head title nav footer aside form button select option input label dialog menu audio video canvas".split())
 _IN_ARTICLE = frozenset(["header"])
+#: Elements that mark the main text.
+_ARTICLES = ("article", "main")
 #: Parts of class names and ids of what isn't main text.
 _NAMES = frozenset(
     "nav navbar navigation menu sidebar footer header masthead ad ads advert adverts advertisement sponsor sponsored promo "
@@ -90,6 +93,66 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` outside quotes. All ends of a page are found in one pass."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last = page, page.rfind(">")
+        self.places = [m.start() for m in _SIGNS.finditer(page)]
+        n = len(self.places)
+        self.ends, following = [-1] * (n + 1), {}
+        for k in reversed(range(n)):
+            sign = page[self.places[k]]
+            if sign == ">":
+                self.ends[k] = self.places[k]
+            elif sign in following:
+                self.ends[k] = self.ends[following[sign] + 1]
+            following[sign] = k
+
+    def first(self, at: int) -> int:
+        """The first ``>`` from ``at`` on, quoted or not; -1 if there is none."""
+        return self.page.find(">", at) if at <= self.last else -1
+
+    def after(self, at: int) -> int:
+        """End of a tag whose name ends at ``at``; the first ``>`` if a quote is left open."""
+        end = self.ends[bisect_left(self.places, at)]
+        return end if end >= 0 else self.first(at)
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """``start, end, slash, name, attributes`` of tags, comments and the like; only tags have a name.
+
+    Time is in proportion to the page, also where tags, quotes and comments are left open.
+    """
+    ends, at = _Ends(page), 0
+    while found := _START.search(page, at):
+        start, at = found.span()
+        slash, name = found[1] or "", (found[2] or "").lower()
+        if page.startswith("<!--", start):
+            end = page.find("-->", at)
+            end, name = (end + 3 if end >= 0 else len(page)), ""
+        elif not name:
+            if (end := ends.first(at)) < 0:
+                continue
+            end += 1
+        elif name in _RAW and not slash:
+            if (end := ends.first(at)) < 0:
+                continue
+            closed = _closing(name).search(page, end + 1)
+            end, name = (closed.end() if closed else len(page)), ""
+        else:
+            if (end := ends.after(at)) < 0:
+                continue
+            end += 1
+        yield start, end, slash, name, page[at : end - 1] if name else ""
+        at = end
+
+
+@cache
+def _closing(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\s*>", re.I)
+
+
 def parse(page: str) -> _Node:
     """Tree of a page; end tags that are missing, misplaced or cut off are made up for."""
     root = _Node("#root", False)
@@ -100,15 +163,13 @@ def parse(page: str) -> _Node:
         open_tags.subtract(n.tag for n in stack[k:])
         del stack[k:]
 
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            stack[-1].items.append(page[at : token.start()])
-        at = token.end()
-        tag = token[3]
-        if tag is None:
+    for start, end, slash, tag, attributes in _tokens(page):
+        if start > at:
+            stack[-1].items.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if token[2]:
+        if slash:
             if open_tags[tag] > 0:
                 close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
@@ -119,9 +180,9 @@ def parse(page: str) -> _Node:
                     close(k)
                 elif stack[k].tag in until:
                     break
-        node = _Node(tag, _unwanted(tag, token[4], open_tags["article"] > 0))
+        node = _Node(tag, _unwanted(tag, attributes, open_tags["article"] > 0))
         stack[-1].items.append(node)
-        if tag not in _VOID and not token[4].endswith("/"):
+        if tag not in _VOID and not attributes.endswith("/"):
             stack.append(node)
             open_tags[tag] += 1
     if at < len(page):
@@ -151,24 +212,36 @@ def _mark(root: _Node) -> None:
             else:
                 parts.append(spelled.pop(id(item)))
                 node.article |= item.article
-        node.article |= node.tag in ("article", "main")
+        node.article |= node.tag in _ARTICLES
         node.hash = xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
         spelled[id(node)] = f"{node.tag}\x01{node.hash}" if len(parts) > 1 else node.tag
 
 
 def subtrees(page: str) -> set[int]:
-    """Hashes of the subtrees that can be part of a template: containers that hold no article."""
+    """Hashes of the subtrees that can be part of a template.
+
+    Those are containers that neither hold an article nor lie in one: what copies of an article
+    share is theirs and not the site's.
+    """
     root = parse(page)
     _mark(root)
-    below = (node for node in _nodes(root) if node is not root)
-    return {node.hash for node in below if node.tag not in _TEXT and node.items and not node.article}
+    found, waiting = set(), [item for item in root.items if isinstance(item, _Node)]
+    while waiting:
+        node = waiting.pop()
+        if node.tag in _ARTICLES:
+            continue
+        if node.tag not in _TEXT and node.items and not node.article:
+            found.add(node.hash)
+        waiting.extend(item for item in node.items if isinstance(item, _Node))
+    return found
 
 
 def main_text(page: str | None, template: set[int] | None = None) -> str:
-    """Blocks of the article, one a line, or of the whole body if no article is marked."""
+    """Blocks of the article, one a line, or of the whole body if no article is marked.
+
+    A ``template`` is taken out of whole bodies only, and only if that leaves some text.
+    """
     root = parse(page or "")
-    if template:
-        _mark(root)
     blocks: list[str] = []
 
     def flush(run: list[str]) -> None:
@@ -203,10 +276,17 @@ def main_text(page: str | None, template: set[int] | None = None) -> str:
                 else:
                     waiting.extend(reversed(item.items))
 
-    for top in [*roots(root, "article")] or [*roots(root, "main")] or [root]:
+    marked = [*roots(root, "article")] or [*roots(root, "main")]
+    if template and not marked:
+        _mark(root)
+    else:
+        template = None
+    for top in marked or [root]:
         run: list[str] = []
         write(top, run)
         flush(run)
+    if template and not blocks:
+        return main_text(page)
     return "\n".join(blocks)
 
 
@@ -250,10 +330,10 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     """
     if html_col != "text":
         pages = pages.drop("text")
-    row, hashes = fresh(pages, "row"), fresh(pages, "hashes")
-    found = template_subtrees(pages, url_col, html_col).select(F.col("row").alias("_template_row"), F.col("hashes").alias(hashes))
+    row, hashes, met = fresh(pages, "row"), fresh(pages, "hashes"), fresh(pages, "template_row")
+    found = template_subtrees(pages, url_col, html_col).select(F.col("row").alias(met), F.col("hashes").alias(hashes))
     keyed = pages.withColumn(row, F.xxhash64(url_col, html_col))
-    joined = keyed.join(found, same(keyed[row], found["_template_row"]), "left").drop(row, "_template_row")
+    joined = keyed.join(found, same(keyed[row], found[met]), "left").drop(row, met)
     kept = [f for f in pages.schema.fields if f.name != html_col]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import argparse
 import logging
 
 from shopfunnel.plans.load import load_month
+from shopfunnel.plans.refresh import refresh
 from shopfunnel.plans.warehouse import build_event_tables, build_models
 from shopfunnel.session import build_session
 from shopfunnel.sources.csv import month_file
@@ -24,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--load-only", action="store_true", help="stop after the processed dataset")
     parser.add_argument("--may-empty", action="store_true", help="accept a delivery without rows of its month")
     parser.add_argument("--versioned", action="store_true", help="publish each month in one step")
+    parser.add_argument("--refresh", action="store_true", help="build only the loaded months of the tables anew")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="{asctime} [{levelname}] {message}", style="{")
@@ -33,8 +35,12 @@ def main(argv: list[str] | None = None) -> None:
         files = paths.split(",") if paths else month_file(args.raw, month)
         load_month(spark, files, args.processed, month, args.quarantine, args.may_empty, args.versioned)
     if not args.load_only:
-        build_event_tables(spark, args.processed, args.database)
-        for model, column, name, failures in build_models(spark, args.database):
+        if args.refresh:
+            results = refresh(spark, args.processed, args.database, [m.partition("=")[0] for m in args.month])
+        else:
+            build_event_tables(spark, args.processed, args.database)
+            results = build_models(spark, args.database)
+        for model, column, name, failures in results:
             logging.info("check %s.%s %s: %s failing rows", model, column, name, failures)
 
 

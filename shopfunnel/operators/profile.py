@@ -26,7 +26,7 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def sample(df: DataFrame, n: int = 100_000) -> DataFrame:
-    """The first ``n`` rows in reading order, for a quick look."""
+    """Some ``n`` rows, for a quick look; :func:`~shopfunnel.sources.csv.first_rows` gives a file's first."""
     return df.limit(n)
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopfunnel.operators.files import write_by_day
 from shopfunnel.session import create_empty, entries, exists, make_folder, remove
@@ -19,6 +20,7 @@ from shopfunnel.sources.versions import (
     markers,
     months_in,
     published_folder,
+    rows_folder,
     version_folder,
     visible,
 )
@@ -30,7 +32,35 @@ def write_version(events: DataFrame, root: str, version: str) -> None:
     The dataset counts as versioned from here on, so that readers tell the rows from others.
     """
     make_folder(events.sparkSession, published_folder(root))
-    write_by_day(events, version_folder(root, version), "overwrite", "event_month", "event_date")
+    write_by_day(events, rows_folder(root, version), "overwrite", "event_month", "event_date")
+
+
+def write_routed(rows: DataFrame, root: str, version: str) -> dict[str, int]:
+    """Write rows of several kinds, told by ``rows``, in one go; returns how many each kind has.
+
+    The counts come from the footers of the files the commit has left, so they are right however
+    often a task was repeated, and no row is read again.
+    """
+    spark, folder = rows.sparkSession, version_folder(root, version)
+    make_folder(spark, published_folder(root))
+    write_by_day(rows, folder, "overwrite", "rows", "event_month", "event_date")
+    kinds = spark.read.schema("rows string, event_month string, event_date date").parquet(folder).groupBy("rows")
+    return {r["rows"]: r["count"] for r in kinds.count().collect()}
+
+
+def routed(spark: SparkSession, root: str, version: str, schema: T.StructType, kinds: Sequence[str]) -> DataFrame:
+    """Rows of some kinds that :func:`write_routed` has written."""
+    folder = version_folder(root, version)
+    found = [path for kind in kinds if exists(spark, path := rows_folder(root, version, kind))]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", folder).parquet(*found).select(*schema.names)
+
+
+def discard(spark: SparkSession, root: str, version: str, kinds: Sequence[str] = ()) -> None:
+    """Delete some kinds of a version's rows, or all of them; not for what is published."""
+    for folder in [rows_folder(root, version, kind) for kind in kinds] or [version_folder(root, version)]:
+        remove(spark, folder)
 
 
 def publish(spark: SparkSession, root: str, version: str, kind: str, months: Iterable[str]) -> None:
@@ -63,7 +93,7 @@ def append_batch(events: DataFrame, root: str, batch: str) -> None:
     A batch that was written whole is not written again, so files readers may have open stay. A
     batch touches its own folder and the markers of its own months, however large the dataset is.
     """
-    spark, folder = events.sparkSession, version_folder(root, batch)
+    spark, folder = events.sparkSession, rows_folder(root, batch)
     if not exists(spark, f"{folder}/_SUCCESS"):
         write_version(events, root, batch)
     publish(spark, root, batch, APPEND, months_in(spark, folder))

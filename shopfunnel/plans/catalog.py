@@ -13,9 +13,9 @@ from shopfunnel.functions.events import parse_event_time
 from shopfunnel.operators import checks, gate, layout, profile, versions
 from shopfunnel.plans import behaviour, models, refresh, reports, warehouse
 from shopfunnel.plans.load import load_month
-from shopfunnel.schemas import EVENTS, GATED, PROCESSED
+from shopfunnel.schemas import BRONZE, EVENTS, GATED, PROCESSED
 from shopfunnel.session import pin_utc, remove, work_path, written
-from shopfunnel.sources.csv import input_files, month_file, scan_bronze
+from shopfunnel.sources.csv import first_rows, input_files, month_file, scan_bronze
 from shopfunnel.sources.tables import read_events, refresh_external, register_external
 from shopfunnel.sources.testlog import event_log, raw_log
 from shopfunnel.streaming import clean
@@ -94,6 +94,14 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_bronze(spark, _as_csv(spark, sf_dir))
 
 
+@query
+def csv_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of the raw log written in order over many files; it ends inside one."""
+    folder = work_path(spark, "csv")
+    raw_log(spark, sf_dir).orderBy(*BRONZE.names).write.csv(folder, header=True)
+    return first_rows(spark, folder, 5_000)
+
+
 @query
 def csv_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "processed")
@@ -116,6 +124,31 @@ def csv_month_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in fields.items()])
 
 
+@query
+def csv_month_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month loaded twice as versions, and what is not shown removed."""
+    root = work_path(spark, "published")
+    for _ in range(2):
+        load_month(spark, _as_csv(spark, sf_dir), root, MONTH, versioned=True)
+    versions.remove_superseded(spark, root, older_than=-60)
+    return read_events(spark, root)
+
+
+@query
+def csv_month_published_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quarantine = work_path(spark, "quarantine")
+    load_month(spark, _as_csv(spark, sf_dir), work_path(spark, "published"), MONTH, quarantine, versioned=True)
+    return spark.read.parquet(f"{quarantine}/event_month={MONTH}")
+
+
+@query
+def csv_month_published_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a load, counted from the footers of what it wrote."""
+    metrics = load_month(spark, _as_csv(spark, sf_dir), work_path(spark, "published"), MONTH, versioned=True)
+    fields = {name: int(value) for name, value in asdict(metrics).items()}
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in fields.items()])
+
+
 @query
 def csv_month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log under the path of its month, listed and read back."""

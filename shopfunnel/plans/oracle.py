@@ -179,6 +179,13 @@ def _gate() -> dict[str, str]:
     quarantine = _with(
         RAW, f"SELECT {QUARANTINE_COLUMNS}, {REASON} AS failure_reason FROM typed WHERE {ANY_FAILED}"
     )
+    load_metrics = _with(
+        RAW,
+        f"""
+SELECT count(*) AS total, {_count(ANY_FAILED)} AS cast_failed, {_count(HAS_KEYS)} AS processed,
+  {_count(f"NOT {HAS_KEYS}")} AS dropped, CAST(0 AS BIGINT) AS misfiled
+FROM typed""",
+    )
     return {
         "bronze_typed": _with(RAW, "SELECT * FROM typed"),
         "cast_failures_labeled": quarantine,
@@ -203,17 +210,19 @@ FROM (
         ),
         "processed": processed,
         "csv_scan": _with(RAW, f"SELECT {', '.join(BRONZE.names)} FROM raw"),
+        "csv_first_rows": _with(
+            RAW,
+            f"SELECT {', '.join(BRONZE.names)} FROM raw ORDER BY "
+            + ", ".join(f"{c} NULLS FIRST" for c in BRONZE.names) + " LIMIT 5000",
+        ),
         "csv_month_load": processed,
         "month_replace_roundtrip": processed,
         "month_replace_in_table": processed,
         "stream_processed": processed,
-        "csv_month_metrics": _with(
-            RAW,
-            f"""
-SELECT count(*) AS total, {_count(ANY_FAILED)} AS cast_failed, {_count(HAS_KEYS)} AS processed,
-  {_count(f"NOT {HAS_KEYS}")} AS dropped, CAST(0 AS BIGINT) AS misfiled
-FROM typed""",
-        ),
+        "csv_month_published": processed,
+        "csv_month_published_quarantine": quarantine,
+        "csv_month_published_metrics": load_metrics,
+        "csv_month_metrics": load_metrics,
         "csv_month_files": _with(RAW, "SELECT count(*) > 0 AS all_have_bytes, count(*) AS row_count FROM raw"),
         "append_events": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),
         "partitioned_table_by_day": _with(LOG, f"SELECT {EVENT_COLUMNS} FROM log"),

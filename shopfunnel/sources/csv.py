@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +41,39 @@ def scan_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def first_rows(spark: SparkSession, paths: Paths, n: int = 100_000) -> DataFrame:
-    """A sample: the first ``n`` rows in reading order."""
-    return scan_bronze(spark, paths).limit(n)
+    """A sample: the first ``n`` rows, files in the order of their paths.
+
+    Rows are counted by split, file by file until the sample is full, so later files are never
+    opened. What is returned reads the files before the last whole, of the last the splits that
+    lie before the sample's end, and of one split its first rows. Nothing is sorted, and only
+    those last rows pass through one task. Splits of one file alone do not depend on other files.
+    """
+    files = [r.path for r in input_files(spark, paths).select("path").orderBy("path").collect()]
+    parts, left = [], n
+    for path in files:
+        if left <= 0:
+            break
+        file = scan_bronze(spark, path)
+        splits = _rows_by_split(file)
+        count = sum(splits.values())
+        parts += [file] if count <= left else _first_of(file, splits, left)
+        left -= count
+    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], BRONZE)
+
+
+def _rows_by_split(file: DataFrame) -> dict[int, int]:
+    counted = file.groupBy(F.col("_metadata.file_block_start").alias("start")).count()
+    return {r["start"]: r["count"] for r in counted.collect()}
+
+
+def _first_of(file: DataFrame, splits: dict[int, int], n: int) -> list[DataFrame]:
+    """The first ``n`` rows of a file that has more: whole splits, and the first rows of one."""
+    start = F.col("_metadata.file_block_start")
+    for at in sorted(splits):
+        if splits[at] >= n:
+            return [file.filter(start < at), file.filter(start == at).limit(n)]
+        n -= splits[at]
+    raise ValueError("the file has fewer rows")
 
 
 def input_files(spark: SparkSession, paths: Paths) -> DataFrame:

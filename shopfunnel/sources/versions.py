@@ -1,13 +1,14 @@
 """Which versions of a dataset's months readers see.
 
-    <root>/version=<name>/event_month=<month>/event_date=<day>/part-...   rows, written once
-    <root>/_published/event_month=<month>/<number>.<kind>.<name>         empty marker files
+    <root>/version=<name>/rows=<kind>/event_month=<month>/event_date=<day>/part-...   written once
+    <root>/_published/event_month=<month>/<number>.<replace or append>.<name>          empty marker files
 
 Rows count once a marker of their month names their version. A ``replace`` marker hides all that
 its month held before, an ``append`` marker adds to it; markers count in the order of their names.
 Creating one empty file is the whole commit, atomic on any store, so an aborted load leaves the
 month as it was, and of two loads at once the one with the later name stands, whole. Folders of
-months beside the versions are what those months held before the first marker.
+months beside the versions are what those months held before the first marker. Of the kinds of
+rows a load tells apart, readers see those that belong to the month, :data:`SHOWN`.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from shopfunnel.session import entries, exists
 
 PUBLISHED = "_published"
 REPLACE, APPEND = "replace", "append"
+#: Rows without a fault, and with one that does not keep them from being used.
+SHOWN = CLEAN, FAILED = "clean", "failed"
 _MONTH = "event_month="
 
 
@@ -43,8 +46,12 @@ def published_folder(root: str, month: str = "") -> str:
     return f"{folder}/{_MONTH}{month}" if month else folder
 
 
-def version_folder(root: str, version: str, month: str = "") -> str:
-    folder = f"{root.rstrip('/')}/version={version}"
+def version_folder(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/version={version}"
+
+
+def rows_folder(root: str, version: str, kind: str = CLEAN, month: str = "") -> str:
+    folder = f"{version_folder(root, version)}/rows={kind}"
     return f"{folder}/{_MONTH}{month}" if month else folder
 
 
@@ -70,9 +77,9 @@ def visible(spark: SparkSession, root: str, month: str) -> list[Marker]:
 
 
 def month_folders(spark: SparkSession, root: str, month: str) -> dict[str, str]:
-    """Folders that hold a month's rows, by version; the empty name is the month's own folder."""
+    """Folders that hold a month's rows, by version and kind; the empty name is the month's own folder."""
     seen = visible(spark, root, month)
-    folders = {m.version: version_folder(root, m.version, month) for m in seen}
+    folders = {f"{m.version}.{kind}": rows_folder(root, m.version, kind, month) for m in seen for kind in SHOWN}
     if not any(m.kind == REPLACE for m in seen):
         folders[""] = f"{root.rstrip('/')}/{_MONTH}{month}"
     return {version: folder for version, folder in folders.items() if exists(spark, folder)}

@@ -14,6 +14,7 @@ All of it is built-in functions; minima are taken in generated code, row by row
 
 from __future__ import annotations
 
+from functools import reduce
 from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,21 +57,28 @@ def _words(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
-def _with_values(windows: DataFrame, words: str) -> DataFrame:
-    """A row for each band of each window of ``words`` from ``start`` on, with its ``value``.
+_HASHES = [f"_shingle{k}" for k in range(WINDOW - SHINGLE + 1)]
+
+
+def _with_hashes(windows: DataFrame, words: str) -> DataFrame:
+    """Each window of ``words`` from ``start`` on with the hashes of its shingles, null beyond the end."""
+    word = [F.get(words, F.col("start") + k) for k in range(WINDOW)]
+    hashes = [
+        F.when(word[k + SHINGLE - 1].isNotNull(), F.xxhash64(*word[k : k + SHINGLE])).alias(name)
+        for k, name in enumerate(_HASHES)
+    ]
+    return windows.select(*windows.columns, *hashes)
+
+
+def _with_values(hashed: DataFrame) -> DataFrame:
+    """A row for each band of each window, with its ``value``.
 
     A band orders the shingles' hashes by their distance from a constant of its own, and its value
     is the least. Hashes are columns first, so that all bands use them.
     """
-    word = [F.get(words, F.col("start") + k) for k in range(WINDOW)]
-    hashes = {
-        f"_shingle{k}": F.when(word[k + SHINGLE - 1].isNotNull(), F.xxhash64(*word[k : k + SHINGLE]))
-        for k in range(WINDOW - SHINGLE + 1)
-    }
     constants = [hash_constant(band) for band in range(BANDS)]
-    hashed = windows.select(*windows.columns, *(h.alias(name) for name, h in hashes.items()))
-    values = [F.least(*[F.col(h).bitwiseXOR(F.lit(c)) for h in hashes]) for c in constants]
-    return hashed.select(*windows.columns, F.posexplode(F.array(*values)).alias("band", "value"))
+    values = [F.least(*[F.col(h).bitwiseXOR(F.lit(c)) for h in _HASHES]) for c in constants]
+    return hashed.select("*", F.posexplode(F.array(*values)).alias("band", "value")).drop(*_HASHES)
 
 
 def hash_constant(number: int) -> int:
@@ -85,8 +93,8 @@ def _shingles(words: Column, size: int = SHINGLE) -> Column:
     return F.array_distinct(F.transform(places, lambda k: F.concat_ws(" ", *[F.get(words, k + i) for i in range(size)])))
 
 
-def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    """Templates with their shingles, and the band values of their windows at every word."""
+def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Templates with their shingles, the hashes of these, and the band values of their windows at every word."""
     rows = [(number, name, text) for number, (name, text) in enumerate(templates)]
     known = spark.createDataFrame(rows, "template int, license string, notice string")
     known = known.withColumn("notice_words", _words(F.col("notice"))).filter(F.size("notice_words") >= SHINGLE)
@@ -96,8 +104,10 @@ def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[D
     )
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("notice_words") - WINDOW))
     windows = known.select("template", "notice_words", F.explode(starts).alias("start"))
-    bands = _with_values(windows, "notice_words").select("template", "band", "value").distinct()
-    return _telling(known.drop("notice_words")), bands
+    hashed = _with_hashes(windows, "notice_words")
+    bands = _with_values(hashed).select("template", "band", "value").distinct()
+    hashes = hashed.select(F.explode(F.array(*_HASHES)).alias("hash")).filter("hash is not null").distinct()
+    return _telling(known.drop("notice_words")), hashes, bands
 
 
 def _telling(known: DataFrame) -> DataFrame:
@@ -130,13 +140,16 @@ def scan_licenses(
     """
     spark = docs.sparkSession
     # a fixed list of notices: a few values for each of their words
-    known, bands = _templates(spark, templates or TEMPLATES)
+    known, hashes, bands = _templates(spark, templates or TEMPLATES)
+    known_hashes = [row["hash"] for row in hashes.collect()]
     known_values = [row["value"] for row in bands.select("value").distinct().collect()]
     read = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
     read = read.filter(F.size("words") >= SHINGLE)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - SHINGLE), F.lit(STEP))
     windows = read.select("doc_id", "words", F.explode(starts).alias("start"))
-    each = _with_values(windows, "words").filter(F.col("value").isin(known_values))
+    # a band's value is one of the window's shingles: without any of a template's, no band can meet
+    hashed = _with_hashes(windows, "words").filter(reduce(Column.__or__, [F.col(h).isin(known_hashes) for h in _HASHES]))
+    each = _with_values(hashed).filter(F.col("value").isin(known_values))
     each = each.join(F.broadcast(bands), ["band", "value"]).join(F.broadcast(known), "template")
     low = F.greatest(F.lit(0), F.col("start") - F.col("notice_size"))
     around = F.slice("words", low + 1, 2 * F.col("notice_size") + WINDOW)

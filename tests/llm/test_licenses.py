@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 import re
 
-from shopfunnel.llm.licenses import CONTAINED, SHINGLE, TEMPLATES, scan_licenses
+from shopfunnel.llm.licenses import CONTAINED, RUN, SHINGLE, TEMPLATES, scan_licenses
 
 
 def words(text):
@@ -30,6 +30,26 @@ def brute(rows):
     return found
 
 
+def runs(w):
+    return {tuple(w[k : k + RUN]) for k in range(len(w) - RUN + 1)}
+
+
+def brute_apart(rows):
+    """As above, but a stretch must hold a run that each other license's like notice lacks."""
+    found = set()
+    for name, notice in TEMPLATES:
+        n = words(notice)
+        others = [words(t) for other, t in TEMPLATES if other != name]
+        like = [o for o in others if len(shingles(o) & shingles(n)) >= CONTAINED * len(shingles(n))]
+        telling = [own for own in (runs(n) - runs(o) for o in like) if own]
+        for i, text in rows:
+            w = words(text)
+            stretches = (w[s : s + 2 * len(n) + 8] for s in range(max(1, len(w) - 2)))
+            if any(len(shingles(x) & shingles(n)) >= CONTAINED * len(shingles(n)) and all(own & runs(x) for own in telling) for x in stretches):
+                found.add((i, name))
+    return found
+
+
 def test_all_notices_at_all_places(spark):
     rng = random.Random(2)
     vocabulary = [f"w{k}" for k in range(200)] + ["the", "license", "under", "public"]
@@ -44,6 +64,8 @@ def test_all_notices_at_all_places(spark):
     found = {(r.doc_id, r.license) for r in got}
     assert len(found) == len(got) and found == brute(rows)
     assert all(CONTAINED <= r.containment <= 1 for r in got)
+    apart = [(r.doc_id, r.license) for r in scan_licenses(docs, apart=True).collect()]
+    assert len(set(apart)) == len(apart) and set(apart) == brute_apart(rows) != found
 
 
 def test_changed_notices_are_found_by_containment(spark):

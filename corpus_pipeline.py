@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shopfunnel.llm import stages
-from shopfunnel.session import work_path
+from shopfunnel.session import remove, work_path
 
 STAGES = [
     ("quality_classifier", stages.drop_low_quality),
@@ -20,10 +20,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the ``documents`` of ``sf_dir``; what a stage wrote goes when the next is done.
+
+    Null and empty texts, repeated rows and null ids go through as each stage states; a table
+    without rows gives none.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = work_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

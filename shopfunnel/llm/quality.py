@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,15 +32,16 @@ LEAST_PROBABILITY = 0.5
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 #: Letters of the word beginnings that are features beside whole words.
 _BEGINNINGS = (4, 5)
-_MEMO_WORDS = 300_000
-_memo: dict[str, tuple[int, ...]] = {}
+#: Words whose features a worker remembers, each as 32-bit integers one after the other.
+_MEMO_WORDS = 150_000
+_memo: dict[str, bytes] = {}
 
 
 def _bucket(feature: str) -> int:
     return zlib.crc32(feature.encode()) >> (32 - BUCKET_BITS)
 
 
-def _word_features(word: str) -> tuple[int, ...]:
+def _word_features(word: str) -> bytes:
     names = []
     for part in _PARTS.findall(word):
         if part[0].isalpha():
@@ -51,24 +53,24 @@ def _word_features(word: str) -> tuple[int, ...]:
             names.append("s " + part[:3])
     if word.isupper() and len(word) > 2:
         names.append("upper")
-    return tuple({_bucket(n) for n in names})
+    return array("i", {_bucket(n) for n in names}).tobytes()
 
 
 def features(text: str | None) -> np.ndarray:
     """Sorted distinct buckets of a text's words, word beginnings, signs and repetitions."""
     words = (text or "").split()
-    found: set[int] = set()
+    found: list[bytes] = []
     for word in set(words):
         known = _memo.get(word)
         if known is None:
             if len(_memo) >= _MEMO_WORDS:
                 _memo.clear()
             known = _memo[word] = _word_features(word if word.isupper() and len(word) > 2 else word.lower())
-        found.update(known)
+        found.append(known)
     again = sum(map(str.__eq__, words, words[1:]))
     if again:
-        found.add(_bucket(f"again {min(int(np.log2(again)), 4)}"))
-    return np.fromiter(sorted(found), np.int32, len(found))
+        found.append(array("i", [_bucket(f"again {min(int(np.log2(again)), 4)}")]).tobytes())
+    return np.unique(np.frombuffer(b"".join(found), np.int32))
 
 
 @dataclass(frozen=True)
@@ -138,22 +140,23 @@ def train(
     """Fit on at most ``most`` ratings, drawn by a hash of the id; None if none has a document.
 
     Ratings with a null id or a grade outside 0..``top`` don't count. A document rated twice
-    counts twice.
+    counts twice. Of several texts under one id the one whose features come first counts, so
+    there is one row for each rating at most, whatever repeats.
     """
     usable = ratings.filter(F.col(grade_col).between(0, top) & F.col(id_col).isNotNull())
     drawn = usable.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade"))
     drawn = drawn.orderBy(F.xxhash64("id"), "id", "grade").limit(most)
-    rated = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")
+    ids = drawn.select("id").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("grade"), pa.array(rows, pa.list_(pa.int32()))], ["id", "grade", "x"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int32()))], ["id", "x"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    sample = rated.mapInArrow(hashed, f"id {id_type}, grade int, x array<int>").toArrow().sort_by("id")
+    rated = texts.mapInArrow(hashed, f"id {id_type}, x array<int>").groupBy("id").agg(F.min("x").alias("x"))
+    sample = rated.join(F.broadcast(drawn), "id").toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
     if not len(sample):
         return None
     lists = sample["x"].combine_chunks()

@@ -86,3 +86,19 @@ def test_without_ratings_all_stay(spark):
     assert quality.train(docs, none, top=2) is None
     assert quality.select(docs, None, wanted=2).count() == 2
     assert quality.select(docs.limit(0), None, wanted=2).count() == 0
+
+
+def test_the_bound_on_the_fit_holds(spark, monkeypatch):
+    """Three ratings fit on three rows, whatever ids repeat, and in the same order each time."""
+    rows = [(7, f"word {k % 5}") for k in range(400)] + [(i, f"other {i}") for i in range(20, 25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(7, 0), (7, 2), (7, 2), (20, 1), (21, 2)], "doc_id long, grade int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda rows, grades, top: fitted.append(([r.tolist() for r in rows], grades.tolist())))
+    for parts in (1, 5):
+        quality.train(docs.repartition(parts), ratings, top=2, most=3)
+        quality.train(docs.repartition(parts), ratings, top=2)
+    assert [len(x) for x, _ in fitted] == [3, 5, 3, 5] and fitted[:2] == fitted[2:]
+    first = min(quality.features(f"word {k}").tolist() for k in range(5))
+    assert fitted[1][0] == [first] * 3 + [quality.features(f"other {i}").tolist() for i in (20, 21)]
+    assert fitted[1][1] == [0, 2, 2, 1, 2]

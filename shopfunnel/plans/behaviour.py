@@ -6,6 +6,9 @@ function states its one. All take staged events or the funnel fact.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,31 +27,28 @@ def session_lengths(staged: DataFrame) -> DataFrame:
 def views_before_purchase(staged: DataFrame) -> DataFrame:
     """Per category: users' products bought, and the mean number of views before the first purchase.
 
-    A user's events on a product are first merged per second, the resolution of the log,
-    on the map side too. However many events one user makes on one product, the window
-    then gets at most one row per second of the period. Joining the views to the purchases
-    would shuffle less, but AQE does not split a skewed join whose one side is aggregated.
+    Purchases are few: they are merged by user and product first, and views meet them in one
+    shuffle, or in none where Spark finds the pairs small enough to broadcast. Views of products
+    the user never bought end there. Compared null-safely, the pairs don't count as laid out by the
+    join's keys yet and are shuffled once more. Both sides of the join are shuffle stages then, and
+    AQE splits the views of a user who hammers one product over several tasks, which it does not
+    where one side is an aggregate.
     """
     pair = ["user_id", "product_id"]
-    bought = F.col("purchases") > 0
-    over_pair = Window.partitionBy(*pair)
+    kind, bought = F.col("event_type"), F.col("category").alias("category_main")
+    pairs = (
+        staged.filter(kind == "purchase")
+        .groupBy(*pair)
+        .agg(F.min("event_time").alias("bought_at"), F.min("category_main").alias("category"))
+    )
+    views = staged.filter(kind == "view").select(*pair, "event_time")
+    same_pair = reduce(and_, [views[c].eqNullSafe(pairs[c]) for c in pair])
+    before = views.join(pairs, same_pair).filter("event_time < bought_at")
     return (
-        staged.groupBy(*pair, "category_main", "event_time")
-        .agg(
-            F.count_if(F.col("event_type") == "view").alias("views"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        )
-        .withColumns(
-            {
-                "bought_at": F.min(F.when(bought, F.col("event_time"))).over(over_pair),
-                "category": F.min(F.when(bought, F.col("category_main"))).over(over_pair),
-            }
-        )
-        .filter(F.col("bought_at").isNotNull())
-        .groupBy(*pair, "category")
-        .agg(F.sum(F.when(F.col("event_time") < F.col("bought_at"), F.col("views")).otherwise(0)).alias("views"))
-        .groupBy(F.col("category").alias("category_main"))
-        .agg(F.count(F.lit(1)).alias("products_bought"), F.sum("views").alias("views_before"))
+        pairs.select(bought, F.lit(1).alias("product"), F.lit(0).alias("view"))
+        .unionAll(before.select(bought, F.lit(0), F.lit(1)))
+        .groupBy("category_main")
+        .agg(F.sum("product").alias("products_bought"), F.sum("view").alias("views_before"))
         .withColumn("mean_views", F.round(F.try_divide("views_before", "products_bought"), 4))
     )
 

@@ -57,11 +57,42 @@ def test_the_marts_shuffle_twice_and_never_the_raw_events(stored):
         assert "HashAggregate" in exchange.split("\n")[1] and "partial_" in exchange.split("\n")[1]
 
 
-def test_events_are_merged_before_they_are_grouped_by_user_and_product(stored):
-    text = plan(behaviour.views_before_purchase(models.staging(stored)))
-    assert "Join" not in text
-    first = text.rsplit("Exchange hashpartitioning", 1)[1]
-    assert "event_time" in first.split("\n")[0] and "partial_count" in first.split("\n")[1]
+def test_views_are_shuffled_once_to_the_pairs_bought(stored):
+    text = plan(behaviour.views_before_purchase(models.staging(stored)), "formatted")
+    scans = re.findall(r"PushedFilters: \[(.*?)\]\n", text)
+    assert sum("EqualTo(event_type,view)" in s for s in scans) == 1
+    assert not re.search("Window|Python", text)
+
+
+def test_views_of_one_hot_pair_are_split(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        hot = spark.range(0, 400_000, 1, 16).selectExpr(
+            "if(id % 3 = 0, 1, id % 5000) as user_id",
+            "if(id % 3 = 0, 1, id % 7) as product_id",
+            "timestamp_seconds(1700000000 + xxhash64(id) % 1000000) as event_time",
+            "if(id % 50 = 3, 'purchase', 'view') as event_type",
+            "'main' as category_main",
+        )
+        found = behaviour.views_before_purchase(hot)
+        row = found.collect()
+        assert "skew=true" in plan(found)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert row == behaviour.views_before_purchase(hot).collect()
+    first = hot.filter("event_type = 'purchase'").groupBy("user_id", "product_id").agg(F.min("event_time").alias("at"))
+    views = hot.filter("event_type = 'view'").join(F.broadcast(first), ["user_id", "product_id"]).filter("event_time < at")
+    assert [(r.products_bought, r.views_before) for r in row] == [(first.count(), views.count())]
 
 
 def test_statistics_shuffle_the_data_once(spark, stored):

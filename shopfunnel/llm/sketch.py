@@ -3,8 +3,9 @@
 Tasks turn keys into cells; Spark adds the cells up with map-side combining, so merging the
 partitions' sketches is an ordinary aggregate. A lookup only asks whether a key can have been
 counted twice, so what the tasks of the second pass get is one bit per cell: ``DEPTH`` rows of
-``2 ** width_bits`` bits, whatever the size of the input. On inputs with more keys than cells
-bits fill up and more keys pass; none that was counted twice is ever refused.
+``2 ** width_bits`` bits. ``width_for`` lets the width follow the number of keys, up to what a
+task can hold. With more keys than cells bits fill up and more keys pass; none that was counted
+twice is ever refused.
 """
 
 from __future__ import annotations
@@ -21,10 +22,17 @@ from pyspark.sql import functions as F
 DEPTH = 2
 #: Cells of a row as a power of two; the bitmap takes ``DEPTH * 2 ** (WIDTH_BITS - 3)`` bytes.
 WIDTH_BITS = 26
+#: The same at most where the width follows the input: 256 MB of bits.
+MOST_BITS = 30
 #: Cells whose bits are packed together.
 _SLICE_BITS = 16
 
 
+def width_for(keys: int) -> int:
+    """The width that gives each of so many keys four to eight cells, up to ``MOST_BITS``."""
+    return min(max(keys.bit_length() + 2, _SLICE_BITS), MOST_BITS)
+
+
 def cells(keys: np.ndarray, width_bits: int = WIDTH_BITS) -> np.ndarray:
     """The cell of each key in each row of the sketch, rows numbered on."""
     shift = np.uint64(64 - width_bits)

@@ -59,14 +59,25 @@ def _representatives(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[n
                 yield least[new]
 
 
+def _most_representatives(texts: DataFrame, size: int) -> int:
+    """About how many representatives the windows of all texts have, rather too many.
+
+    The least of so many consecutive grams changes twice in as many words, of three bytes or more.
+    """
+    n_bytes = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return 2 * n_bytes // (3 * (size - max(1, size // _GRAM_SHARE) + 2))
+
+
 def _repeated_windows(
-    docs: DataFrame, id_col: str, text_col: str, size: int, wide: bool, width_bits: int
+    docs: DataFrame, id_col: str, text_col: str, size: int, wide: bool, width_bits: int | None
 ) -> DataFrame:
     """``id, doc, start, h0[, h1]`` of the windows that the sketch estimates to be repeated.
 
     ``doc`` is a hash of the text, which tells rows of the same id apart.
     """
     texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
+    if width_bits is None:
+        width_bits = sketch.width_for(_most_representatives(texts, size))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return sketch.batches_of(_representatives(batches, size), width_bits)
@@ -109,7 +120,7 @@ def removable_windows(
     text_col: str = "text",
     size: int = WINDOW,
     wide: bool = False,
-    width_bits: int = sketch.WIDTH_BITS,
+    width_bits: int | None = None,
 ) -> DataFrame:
     """``id, doc, starts``: where the windows begin that a document with a smaller id also holds.
 
@@ -130,12 +141,13 @@ def dedup_substrings(
     size: int = WINDOW,
     join_all: bool = False,
     wide: bool = False,
-    width_bits: int = sketch.WIDTH_BITS,
+    width_bits: int | None = None,
 ) -> DataFrame:
     """``docs`` with repeated words cut from the text, and ``n_words``, ``n_removed``.
 
     What is left of a changed text is its kept words joined by one space; unchanged texts stay as
-    they are, or are joined so too with ``join_all``. A null text stays null, or becomes empty with
+    they are, or are joined so too with ``join_all``. The sketch's width follows the length of all texts
+    unless ``width_bits`` states it. A null text stays null, or becomes empty with
     ``join_all``, and has no words. Texts of fewer than ``size`` words lose nothing. An empty table
     gives an empty result. Columns of ``docs`` named like the two counts are replaced.
     """

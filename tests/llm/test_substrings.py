@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shopfunnel.llm import sketch, substrings
 from shopfunnel.llm.substrings import dedup_substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +85,20 @@ def test_full_sketch_loses_nothing(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = dedup_substrings(docs, join_all=True, width_bits=3)
     assert got.agg(F.sum("n_removed")).first()[0] == sum(r[2] for r in brute(rows, 50))
+
+
+def test_the_sketch_grows_with_the_texts(spark):
+    """Few distinct windows pass, whatever the number of texts, and the count of keys is no less than there are."""
+    rng = random.Random(5)
+    for count in (20, 400):
+        texts = [" ".join(f"{rng.getrandbits(20):x}" for _ in range(200)) for _ in range(count)]
+        docs = spark.createDataFrame(list(enumerate(texts + texts[:2])), "doc_id long, text string")
+        most = substrings._most_representatives(docs, 50)
+        column = pa.array(texts)
+        keys = np.concatenate(list(substrings._representatives(iter([pa.record_batch([column], ["text"])]), 50)))
+        assert len(keys) <= most <= 20 * len(keys)
+        width = sketch.width_for(most)
+        assert width == sketch.MOST_BITS or 1 << width >= 4 * most
+        passed = substrings._repeated_windows(docs, "doc_id", "text", 50, False, width)
+        assert passed.filter("id > 1 and id < " + str(count)).count() < 0.1 * count * 151
+    assert sketch.width_for(10**13) == sketch.MOST_BITS and sketch.width_for(0) > 0

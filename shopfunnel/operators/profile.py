@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfunnel.functions.events import rate
-from shopfunnel.operators.quantiles import numeric_stats, value_frequencies
+from shopfunnel.operators.quantiles import exact_columns, exact_stats, numeric_stats, value_frequencies
 from shopfunnel.operators.reshape import rows_of
 from shopfunnel.schemas import STAGES
 
@@ -70,15 +70,21 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     NaN counts as missing.
     """
     stats = numeric_stats(df, list(columns or columns_of(df, T.NumericType)), QUARTILES)
-    return stats.select(
-        "column_name",
-        "count",
-        "mean",
-        "std",
-        "min",
-        *[F.col("quantiles")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(QUARTILES)],
-        "max",
-    )
+    return stats.select("column_name", "count", "mean", "std", "min", *_quartiles(), "max")
+
+
+def exact_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, minimum, quartiles and maximum of whole and decimal columns, digit by digit.
+
+    :func:`numeric_summary` goes through double, which rounds ids above 2^53.
+    """
+    numeric = columns_of(df, T.NumericType)
+    stats = exact_stats(df, list(columns or exact_columns(df, numeric)[0]), QUARTILES)
+    return stats.select("column_name", "count", "min", *_quartiles(), "max")
+
+
+def _quartiles() -> list[Column]:
+    return [F.col("quantiles")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(QUARTILES)]
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import math
+import random
+from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -9,7 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from shopfunnel.operators import profile
-from shopfunnel.operators.quantiles import numeric_stats
+from shopfunnel.operators.quantiles import column_statistics, exact_stats, numeric_stats
 
 ROWS = [
     (1, 2.0, "a", "x"),
@@ -136,3 +139,76 @@ def test_a_value_that_fills_the_column(spark):
     row = numeric_stats(df, ["v"], (0.25, 0.5, 0.9)).first()
     values = np.array([i if i % 3 == 0 else 5 for i in range(30_000)], dtype=float)
     assert row["quantiles"] == list(np.quantile(values, (0.25, 0.5, 0.9)))
+
+
+def exactly(values, probability):
+    """The quantile by rational numbers."""
+    at = Fraction(str(probability)) * (len(values) - 1)
+    low, high = (sorted(values)[f(at)] for f in (math.floor, math.ceil))
+    return Fraction(low) + (Fraction(high) - Fraction(low)) * (at - math.floor(at))
+
+
+def neighbours_near(start, n):
+    """Whole numbers that no double tells from their neighbours, and a few far away."""
+    draw = random.Random(start)
+    return [start + draw.randrange(3 * n) for _ in range(n)] + [-(2**63), 2**63 - 1, 0, 0, 0]
+
+
+@pytest.mark.parametrize("buckets, most", [(2, 1), (2, 3), (5, 10), (256, 10**6)])
+def test_long_ids_come_back_intact_whatever_one_task_may_sort(spark, buckets, most):
+    ids = neighbours_near(10**18 + 1, 120)
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    row = exact_stats(df, ["id"], (0.0, 0.25, 0.5, 0.75, 1.0), buckets, most).first()
+    assert (row["count"], row["min"], row["max"]) == (len(ids), min(ids), max(ids))
+    assert [Fraction(q) for q in row["quantiles"]] == [exactly(ids, p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]
+
+
+@pytest.mark.parametrize("most", [1, 7, 10**6])
+def test_decimals_keep_their_digits(spark, most):
+    draw = random.Random(3)
+    values = [Decimal(draw.randrange(10**6)).scaleb(-9) + Decimal("123456789012345678901") for _ in range(90)]
+    df = spark.createDataFrame([(v, i % 5) for i, v in enumerate(values)], "v decimal(31,9), i int")
+    found = {r.column_name: r for r in exact_stats(df, ["v", "i"], (0.25, 0.5), 4, most).collect()}
+    assert [Fraction(q) for q in found["v"]["quantiles"]] == [exactly(values, p) for p in (0.25, 0.5)]
+    assert [Fraction(q) for q in found["i"]["quantiles"]] == [exactly([i % 5 for i in range(90)], p) for p in (0.25, 0.5)]
+
+
+def test_no_task_sorts_more_values_than_allowed(spark, monkeypatch):
+    """Of 4,000 distinct values, a tenth of them too close for doubles, leaves hold 20 at most."""
+    from shopfunnel.operators import quantiles
+
+    leaves = []
+    kept = quantiles._sorted_out
+    monkeypatch.setattr(quantiles, "_sorted_out", lambda f, found: leaves.extend(found) or kept(f, found))
+    ids = [i * 10**14 for i in range(3_600)] + [9 * 10**18 + i for i in range(400)]
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    (stats,) = column_statistics(df, ["id"], (0.1, 0.5, 0.95, 0.999), 8, 20)
+    assert leaves and all(1 < leaf.rows <= 20 for leaf in leaves)
+    assert [n[1] for n in stats.neighbours] == [sorted(ids)[math.floor(Fraction(p) * 3999)] for p in ("0.1", "0.5", "0.95", "0.999")]
+
+
+def test_exact_summary_of_odd_tables(spark):
+    empty = spark.createDataFrame([(None, None)], "n bigint, d decimal(10,2)")
+    for table in (empty, empty.limit(0)):
+        assert [tuple(r) for r in profile.exact_summary(table).collect()] == [(c, 0, *[None] * 5) for c in "nd"]
+    with pytest.raises(ValueError, match="price"):
+        exact_stats(spark.createDataFrame([(1.5,)], "price double"), ["price"], (0.5,))
+    assert profile.exact_summary(spark.createDataFrame([("a",)], "s string")).count() == 0
+    wide = spark.createDataFrame([(Decimal("1.5"), 2)], "d decimal(38,18), n bigint")
+    assert [r.column_name for r in profile.exact_summary(wide).collect()] == ["n"]
+    assert {r.column_name: r.p50 for r in profile.numeric_summary(wide).collect()} == {"d": 1.5, "n": 2.0}
+
+
+def test_infinite_values(spark):
+    df = spark.createDataFrame([(float(v),) for v in ("-inf", "inf", "1", "2", "3")], "v double")
+    row = numeric_stats(df, ["v"], (0.0, 0.5, 1.0)).first()
+    assert (row["min"], row["quantiles"], row["max"]) == (-math.inf, [-math.inf, 2.0, math.inf], math.inf)
+
+
+def test_work_tables_of_statistics_are_deleted(spark):
+    from shopfunnel.session import entries, work_path
+
+    folder = work_path(spark, "x").rsplit("/", 1)[0]
+    before = set(entries(spark, folder))
+    profile.numeric_summary(spark.range(50).toDF("v")).collect()
+    assert set(entries(spark, folder)) == before

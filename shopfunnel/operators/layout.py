@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.operators import versions
+from shopfunnel.operators.clustering import interleaved
 from shopfunnel.operators.files import by_day, write_by_day
 from shopfunnel.schemas import EVENTS
 from shopfunnel.sources.versions import is_versioned
@@ -97,14 +98,25 @@ def clustered_table(
     table: str,
     cluster_by: Sequence[str] = ("event_type",),
     path: str | None = None,
+    interleave: bool = False,
 ) -> DataFrame:
     """:func:`partitioned_table` with each file sorted by the cluster columns.
 
-    A filter on them then skips row groups by their min/max. The partition column has
-    to lead the sort: the writer wants rows by day and would sort them again otherwise.
+    A filter on the first of them then skips row groups by their min/max; with ``interleave``
+    a filter on any does, and whole files too.
     """
-    rows = by_day(events.select(*EVENTS.names)).sortWithinPartitions("event_date", *cluster_by)
-    return _save_table(rows, table, path)
+    return _save_table(clustered(events.select(*EVENTS.names), cluster_by, interleave), table, path)
+
+
+def clustered(events: DataFrame, cluster_by: Sequence[str], interleave: bool = False) -> DataFrame:
+    """Rows dealt over tasks and sorted as a clustered table is written.
+
+    The partition column has to lead the sort: the writer wants rows by day and would sort
+    them again otherwise.
+    """
+    if interleave:
+        return interleaved(events, cluster_by, leading=("event_date",))
+    return by_day(events).sortWithinPartitions("event_date", *cluster_by)
 
 
 def model_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:

@@ -87,15 +87,15 @@ def _quartiles() -> list[Column]:
     return [F.col("quantiles")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(QUARTILES)]
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, value, n)``, values as text, missing ones included.
+def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """``(column_name, value, n)``, values as text, missing ones included; by ``keys``, if any.
 
     Each row is split into one short row per column, and equal values are merged before
     the shuffle, so one frequent value never lands on one task row by row.
     """
-    text = df.select(*[_text(df, c) for c in columns])
-    long = text.unpivot([], list(columns), "column_name", "value")
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    text = df.select(*keys, *[_text(df, c) for c in columns])
+    long = text.unpivot(list(keys), list(columns), "column_name", "value")
+    return long.groupBy(*keys, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:

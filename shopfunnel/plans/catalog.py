@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfunnel.functions.events import parse_event_time
-from shopfunnel.operators import checks, gate, layout, profile, versions
+from shopfunnel.operators import checks, gate, layout, profile, sketches, versions
 from shopfunnel.plans import behaviour, models, refresh, reports, warehouse
 from shopfunnel.plans.load import load_month
 from shopfunnel.schemas import BRONZE, EVENTS, GATED, PROCESSED
@@ -291,6 +292,26 @@ def clustered_table_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_database(spark, lambda db: _events_per(keys, layout.clustered_table(log, f"{db}.events_by_type")))
 
 
+@query
+def interleaved_table_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day under a filter on each of the columns a table is clustered by at once."""
+    log = event_log(spark, sf_dir)
+    cluster_by = ("event_type", "category_code", "brand")
+
+    def build(database: str) -> DataFrame:
+        table = layout.clustered_table(log, f"{database}.events_interleaved", cluster_by, interleave=True)
+        least = table.agg(*[F.min(c).alias(c) for c in cluster_by])
+        parts = [
+            _events_per(["event_date", c], table.filter(F.col(c) == least.select(c).scalar())).select(
+                F.lit(c).alias("filtered"), F.col(c).alias("value"), "event_date", "events"
+            )
+            for c in cluster_by
+        ]
+        return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+    return _in_database(spark, build)
+
+
 def _from_warehouse(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table of a warehouse built from the log."""
     root = work_path(spark, "processed")
@@ -344,6 +365,39 @@ def refreshed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, refresh.CHECKS_TABLE)
 
 
+#: Ranges of days that overlap, span the two months, or hold one day.
+RANGES = [
+    (date(2024, 1, 1), date(2024, 1, 10)),
+    (date(2024, 1, 8), date(2024, 2, 20)),
+    (date(2024, 2, 25), date(2024, 2, 25)),
+]
+
+
+@query
+def refreshed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values of ranges of days, and whether the sketches kept by a refresh tell them within their bound."""
+    both, root = _published(spark, sf_dir)
+
+    def build(database: str) -> DataFrame:
+        refresh.refresh(spark, root, database)
+        versions.replace_month(_ten_days(both), root, MONTH)
+        refresh.refresh(spark, root, database, [MONTH])
+        keys = ["first_day", "last_day", "column_name"]
+        kept = spark.table(f"{database}.{refresh.DISTINCT_TABLE}")
+        told = sketches.distinct_in_ranges(kept, RANGES).withColumnRenamed("distinct_values", "told")
+        log = sketches.in_ranges(spark.table(f"{database}.{warehouse.CLUSTERED}"), RANGES)
+        counts = profile.value_counts(log, PROCESSED.names, keys[:2])
+        exact = counts.groupBy(*keys).agg(F.count("value").alias("distinct_values"))
+        off = F.abs(F.col("told") - F.col("distinct_values"))
+        return exact.join(told, keys, "left").select(
+            *keys,
+            "distinct_values",
+            (off <= sketches.error_bound() * F.col("distinct_values")).alias("within_bound"),
+        )
+
+    return _in_database(spark, build)
+
+
 @query
 def warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.daily_in_order(_from_warehouse(spark, sf_dir, warehouse.DAILY_TABLE))
@@ -453,6 +507,20 @@ def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumns(inexact)
 
 
+@query
+def profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers, among them ids of 19 digits that no double tells apart, as text."""
+    log = _log(spark, sf_dir).withColumns(
+        {
+            "listing_id": 2053013555631882655 + F.col("product_id"),
+            "account_id": -9223372036854775807 + 3 * F.col("user_id"),
+        }
+    )
+    columns = ["product_id", "category_id", "user_id", "listing_id", "account_id"]
+    summary = profile.exact_summary(log, columns)
+    return summary.withColumns({c: F.col(c).cast("string") for c in ("min", "p25", "p50", "p75", "max")})
+
+
 @query
 def profile_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.text_summary(_log(spark, sf_dir))

@@ -233,6 +233,25 @@ FROM (
         "external_table_by_day": _with(
             LOG, "SELECT event_month, event_date, count(*) AS events FROM log GROUP BY ALL"
         ),
+        "interleaved_table_filters": _with(
+            LOG,
+            _union(
+                f"""
+SELECT '{c}' AS filtered, {c} AS value, event_date, count(*) AS events FROM log
+WHERE {c} = (SELECT min({c}) FROM log) GROUP BY ALL"""
+                for c in ("event_type", "category_code", "brand")
+            ),
+        ),
+        "refreshed_distinct": _with(
+            f"""{RELOADED}, ranges(first_day, last_day) AS (VALUES
+  (DATE '2024-01-01', DATE '2024-01-10'), (DATE '2024-01-08', DATE '2024-02-20'), (DATE '2024-02-25', DATE '2024-02-25'))""",
+            _union(
+                f"""
+SELECT first_day, last_day, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, TRUE AS within_bound
+FROM ranges JOIN log ON event_date BETWEEN first_day AND last_day GROUP BY ALL"""
+                for c in PROCESSED.names
+            ),
+        ),
         "clustered_table_by_type": _with(
             LOG, "SELECT event_date, event_type, count(*) AS events FROM log GROUP BY ALL"
         ),
@@ -292,6 +311,24 @@ SELECT '{column}' AS column_name, CAST(sum(n) AS BIGINT) AS count, count(*) AS u
   first(value ORDER BY n DESC, value) AS top, max(n) AS freq
 FROM (SELECT {column} AS value, count(*) AS n FROM log WHERE {column} IS NOT NULL GROUP BY ALL)"""
 
+    def exact(column: str) -> str:
+        def quartile(k: int) -> str:
+            low = f"max(CASE WHEN place = (n - 1) * {k} // 4 THEN v END)"
+            high = f"max(CASE WHEN place = ((n - 1) * {k} + 3) // 4 THEN v END)"
+            part = f"({high} - {low}) * max((n - 1) * {k} % 4)"
+            return (
+                f"CAST(CAST({low} + {part} // 4 AS DECIMAL(38,6)) "
+                f"+ CAST(CAST({part} % 4 AS DOUBLE) / 4 AS DECIMAL(38,6)) AS VARCHAR) AS p{25 * k}"
+            )
+
+        def end(f: str) -> str:
+            return f"CAST(CAST({f}(v) AS DECIMAL(38,6)) AS VARCHAR) AS {f}"
+
+        return f"""
+SELECT '{column}' AS column_name, count(*) AS count, {end("min")}, {", ".join(map(quartile, (1, 2, 3)))}, {end("max")}
+FROM (SELECT v, n, row_number() OVER (ORDER BY v) - 1 AS place
+  FROM (SELECT CAST({column} AS HUGEINT) AS v, count({column}) OVER () AS n FROM ids WHERE {column} IS NOT NULL))"""
+
     info = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(PROCESSED.fields)]
     first = ", ".join(f"{c} ASC NULLS FIRST" for c in ORDER)
     last = ", ".join(f"{c} DESC NULLS LAST" for c in ORDER)
@@ -323,6 +360,13 @@ FROM log"""
                 for c in NUMERIC
             ),
         ),
+        "profile_exact": _with(
+            f"""{LOG}, ids AS (
+  SELECT product_id, category_id, user_id, 2053013555631882655 + product_id AS listing_id,
+    -9223372036854775807 + 3 * user_id AS account_id
+  FROM log)""",
+            _union(map(exact, ("product_id", "category_id", "user_id", "listing_id", "account_id"))),
+        ),
         "profile_strings": _with(LOG, _union(map(stats, TEXT))),
         "profile_duplicate_rows": _with(
             f"""{LOG}, doubled AS (

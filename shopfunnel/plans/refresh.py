@@ -4,7 +4,8 @@ The copies of the events, the fact and the marts are partitioned by month first.
 row, and month and day are part of every key behind it, so a month of each table follows from the
 same month of the table before. A refresh overwrites those partitions one table after the other, in
 the order of their dependency, each in one static ``INSERT OVERWRITE``: days the month no longer has
-go, and other months are neither read nor written. Check results are kept by month too.
+go, and other months are neither read nor written. Check results are kept by month too, and sketches
+of each day's values, from which :mod:`shopfunnel.operators.sketches` counts distinct ones.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopfunnel.operators import checks
+from shopfunnel.operators import checks, layout, sketches
 from shopfunnel.operators.files import by_day
 from shopfunnel.plans import models
 from shopfunnel.plans.warehouse import (
@@ -27,13 +28,14 @@ from shopfunnel.plans.warehouse import (
     PARTITIONED,
     check_models,
 )
-from shopfunnel.schemas import DAILY, EVENTS, FACT, MONTHLY, assert_contract
+from shopfunnel.schemas import DAILY, EVENTS, FACT, MONTHLY, PROCESSED, assert_contract
 from shopfunnel.session import sized_shuffle
 from shopfunnel.sources import versions
 from shopfunnel.sources.csv import input_bytes
 from shopfunnel.sources.tables import refresh_external, register_external, source
 
 CHECKS_TABLE = "check_failures"
+DISTINCT_TABLE = "distinct_by_day"
 MONTH = "event_month"
 _CHECKS = T.StructType(
     [
@@ -44,6 +46,14 @@ _CHECKS = T.StructType(
         T.StructField(MONTH, T.StringType()),
     ]
 )
+_DISTINCT = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("sketch", T.BinaryType()),
+        T.StructField(MONTH, T.StringType()),
+    ]
+)
 #: Contract of each table, and its partition keys.
 TABLES = {
     PARTITIONED: (EVENTS, (MONTH, "event_date")),
@@ -52,6 +62,7 @@ TABLES = {
     MONTHLY_TABLE: (MONTHLY, (MONTH,)),
     DAILY_TABLE: (DAILY, (MONTH,)),
     CHECKS_TABLE: (_CHECKS, (MONTH,)),
+    DISTINCT_TABLE: (_DISTINCT, (MONTH,)),
 }
 
 
@@ -62,6 +73,7 @@ def refresh(
     months: Sequence[str] = (),
     cluster_by: Sequence[str] = ("event_type",),
     location: str | None = None,
+    interleave: bool = False,
 ) -> list[tuple[str, str, str, int]]:
     """Build the given months of every table anew from the dataset under ``root``, or all of them.
 
@@ -79,15 +91,27 @@ def refresh(
     for month in months or versions.all_months(spark, root):
         folders = versions.month_folders(spark, root, month).values()
         with sized_shuffle(spark, sum(input_bytes(spark, folder) for folder in folders)):
-            refresh_month(spark, database, month, cluster_by)
+            refresh_month(spark, database, month, cluster_by, interleave)
     return checks.enforce([merged_checks(spark, database)])
 
 
-def refresh_month(spark: SparkSession, database: str, month: str, cluster_by: Sequence[str] = ("event_type",)) -> None:
+def refresh_month(
+    spark: SparkSession,
+    database: str,
+    month: str,
+    cluster_by: Sequence[str] = ("event_type",),
+    interleave: bool = False,
+) -> None:
     """One month of every table behind the external one."""
-    events = by_day(of_month(spark, database, EXTERNAL, month).select(*EVENTS.names))
-    _overwrite(events, database, PARTITIONED, month)
-    _overwrite(events.sortWithinPartitions("event_date", *cluster_by), database, CLUSTERED, month)
+    events = of_month(spark, database, EXTERNAL, month).select(*EVENTS.names)
+    _overwrite(by_day(events), database, PARTITIONED, month)
+    _overwrite(layout.clustered(events, cluster_by, interleave), database, CLUSTERED, month)
+    _overwrite(
+        sketches.day_sketches(of_month(spark, database, CLUSTERED, month), PROCESSED.names).hint("rebalance"),
+        database,
+        DISTINCT_TABLE,
+        month,
+    )
     staged = models.staging(of_month(spark, database, CLUSTERED, month))
     _overwrite(models.funnel_fact(staged), database, FACT_TABLE, month)
     fact = of_month(spark, database, FACT_TABLE, month)

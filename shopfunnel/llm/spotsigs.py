@@ -51,11 +51,9 @@ def signatures(text: Column) -> Column:
     """
     chains = F.regexp_extract_all(_marked(text), F.lit(f"·(?=([^ ]+(?: [^ ]+){{0,{CHAIN - 1}}}))"), 1)
     spots = F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.hash(c))))
-    return (
-        F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<int>"))
-        .when(F.size(spots) == 0, F.array(F.hash(text)))
-        .otherwise(spots)
-    )
+    # a variable of a lambda is worked out once, an expression in two branches twice
+    any_spots = F.transform(F.array(spots), lambda found: F.when(F.size(found) == 0, F.array(F.hash(text))).otherwise(found))
+    return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<int>")).otherwise(any_spots[0])
 
 
 def to_string(spots: Column) -> Column:
@@ -71,12 +69,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, 1.0).otherwise(both / either)
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """``docs`` with a struct ``next`` of ``columns`` of the row after each by descending id.
+def with_next(docs: DataFrame, id_col: str, columns: list[str], derived: dict[str, Column]) -> DataFrame:
+    """``docs`` with ``derived`` columns and a struct ``next`` of ``columns`` of the row after each by descending id.
 
     After the last row comes the first; rows of one id follow each other by text, null ids come
     last. The order is cut into parts at sampled ids; each part also gets the first row of the
-    part after it, so that no row has to look beyond its own part.
+    part after it, so that no row has to look beyond its own part. Columns are derived behind that,
+    once a row.
     """
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     ids = docs.select(order.alias("k"))
@@ -96,7 +95,7 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     # the ids are at most as many as the parts
     ghosts = keyed.join(F.broadcast(lent), "k").withColumnRenamed("to_part", "part").withColumn("ghost", F.lit(True))
     line = Window.partitionBy("part").orderBy("ghost", F.desc("k"), "text")
-    both = own.unionByName(ghosts).withColumn("next", F.lead(F.struct(*columns)).over(line))
+    both = own.unionByName(ghosts).withColumns(derived).withColumn("next", F.lead(F.struct(*columns)).over(line))
     return both.filter(~F.col("ghost")).drop("k", "part", "ghost")
 
 
@@ -109,8 +108,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty result. Other columns are not read.
     """
     read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    read = read.withColumn("spots", signatures(F.col("text")))
-    paired = with_next(read, "doc_id", ["text", "spots"])
+    paired = with_next(read, "doc_id", ["text", "spots"], {"spots": signatures(F.col("text"))})
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next.text", half))
     paired = paired.withColumn("edited", edited).withColumn("edited_spots", signatures(F.col("edited")))

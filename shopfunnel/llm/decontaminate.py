@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents and benchmark items are cut into overlapping passages, described by TF-IDF over hashed
-words. A randomised SVD over a sample of the distinct passages gives a latent space, scaled so that each of
+words. A randomised SVD over all distinct passages gives a latent space, scaled so that each of
 its directions varies alike; passages whose cosine to one of an item's is high are candidates. A
 candidate counts as a leak if the longest common subsequence of the item's words and those around
 the passage covers most of the item, or, for a paraphrase, a good part of it and nearly all its
@@ -31,7 +31,9 @@ STRIDE, ITEM_STRIDE = 12, 4
 RARITY = 4
 #: Hashed words as a power of two, latent dimensions, and directions drawn beyond them.
 FEATURE_BITS, DIMENSIONS, EXTRA = 15, 64, 8
-#: Distinct passages the latent space is fitted on, about; document frequencies are those of all.
+#: Columns of a passage's features.
+_PACKED = [f"words{k}" for k in range(STRIDE // 4)]
+#: Distinct passages of a :func:`fit_sample`, about. The queries fit on all.
 FIT_PASSAGES = 120_000
 #: One in so many passages, by hash, is looked at to tell how many are distinct.
 _COUNTED = 1024
@@ -54,6 +56,8 @@ _CANDIDATES = 8_000
 _SEGMENTS = 2_000
 #: Words of an item whose places fit a machine word; longer ones are confirmed one at a time.
 _PLACES = 64
+#: Passages of a batch from which on a feature's are summed by themselves.
+_OFTEN = 24
 #: Items whose words are counted side by side, and the words of a text counted at once.
 _GROUP, _RUN = 256, 32_768
 
@@ -105,26 +109,49 @@ def _segment_sums(words: Words, starts: np.ndarray, table: np.ndarray) -> np.nda
     return out
 
 
+def _add_by_feature(out: np.ndarray, features: np.ndarray, rows: np.ndarray) -> None:
+    """Add each passage's row to those of its features in ``out``.
+
+    Features met often are summed one by one, the others side by side, their k-th passages at once.
+    """
+    order = np.argsort(features.astype(np.uint16), axis=None, kind="stable")
+    owner, feature = order // features.shape[1], features.ravel()[order]
+    low = np.flatnonzero(np.diff(feature, prepend=-1))
+    n = np.diff(np.append(low, len(feature)))
+    often = n > _OFTEN
+    for a, count in zip(low[often], n[often]):
+        out[feature[a]] += rows.take(owner[a : a + count], axis=0).sum(axis=0)
+    low, n = low[~often], n[~often]
+    by_count = np.argsort(-n, kind="stable")
+    low, n = low[by_count], n[by_count]
+    sums = rows.take(owner[low], axis=0)
+    for k in range(1, n.max(initial=0)):
+        more = np.searchsorted(-n, -k)
+        sums[:more] += rows.take(owner[low[:more] + k], axis=0)
+    out[feature[low]] += sums
+
+
 def _idf(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Weights of the hashed words by how rare they are in all passages, and how many there are."""
+    return _rarity(passages(texts))
+
+
+def _rarity(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """:func:`_idf` of ``rows``, those of :func:`passages`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, passages = np.zeros(_FEATURES, dtype=np.int64), 0
+        found, total = np.zeros(_FEATURES + 1), 0
         for batch in batches:
-            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
-                starts, _, _ = _segments(words)
-                if len(starts):
-                    at = starts[:, None] + np.arange(STRIDE)
-                    end = np.append(starts, len(words.hashes))[1:, None]
-                    row = np.sort(_feature(words)[np.minimum(at, end - 1)], axis=1)  # repeats the last word
-                    new = np.diff(row, axis=1, prepend=-1) > 0
-                    found += np.bincount(row[new], minlength=_FEATURES)
-                passages += len(starts)
+            n = batch.column("n").to_numpy()
+            row = np.sort(_unpacked(batch), axis=1)
+            new = np.diff(row, axis=1, prepend=0) > 0
+            found += np.bincount(row[new], np.repeat(n, new.sum(axis=1)), minlength=len(found))
+            total += int(n.sum())
         at = np.flatnonzero(found)
-        columns = [pa.array(np.append(at, -1)), pa.array(np.append(found[at], passages))]
+        columns = [pa.array(np.append(at - 1, -1)), pa.array(np.append(found[at], total).astype(np.int64))]
         yield pa.RecordBatch.from_arrays(columns, ["feature", "n"])
 
-    counts = texts.mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     feature, n = counts["feature"].to_numpy(), counts["n"].to_numpy()
     total = int(n[feature < 0].sum())
     frequency = np.zeros(_FEATURES)
@@ -133,6 +160,46 @@ def _idf(texts: DataFrame) -> tuple[np.ndarray, int]:
     return (np.maximum(idf, LEAST_IDF) ** RARITY).astype(np.float32), total
 
 
+def passages(texts: DataFrame) -> DataFrame:
+    """Distinct passages of all texts, each once with the number ``n`` of its occurrences.
+
+    The features of its words, from 1 on, stand in ``_PACKED``, four to a number; 0 is no word.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
+                starts, _, _ = _segments(words)
+                sizes = np.diff(np.append(starts, len(words.hashes)))
+                row = np.repeat(np.arange(len(starts)), sizes)
+                features = np.zeros((len(starts), STRIDE), np.uint16)
+                features[row, np.arange(len(row)) - starts[row]] = _feature(words) + 1
+                packed = features.view(np.int64)
+                columns = [_segment_hashes(words, starts).view(np.int64), *np.ascontiguousarray(packed.T)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", *_PACKED])
+
+    schema = ", ".join(f"{c} long" for c in ["hash", *_PACKED])
+    return texts.mapInArrow(cut, schema).groupBy("hash", *_PACKED).agg(F.count(F.lit(1)).alias("n")).drop("hash")
+
+
+def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
+    """Features of each passage's words, from 1 on, and 0 where it has no more."""
+    packed = np.stack([batch.column(c).to_numpy() for c in _PACKED], axis=1)
+    return packed.view(np.uint16).astype(np.int64)
+
+
+def _feature_sums(features: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the rows of ``table`` over each passage's features, some thousand passages at a time."""
+    out = np.empty((len(features), table.shape[1]), table.dtype)
+    for low in range(0, len(features), _SEGMENTS):
+        some = features[low : low + _SEGMENTS]
+        sums = table[some[:, 0]]
+        for place in range(1, STRIDE):
+            sums += table[some[:, place]]
+        out[low : low + len(some)] = sums
+    return out
+
+
 def _segment_hashes(words: Words, starts: np.ndarray) -> np.ndarray:
     """A hash of the words of each segment in their order."""
     lengths = np.diff(np.append(starts, len(words.hashes)))
@@ -145,7 +212,8 @@ def fit_sample(texts: DataFrame) -> DataFrame:
     """``text`` of distinct passages, about ``FIT_PASSAGES`` or all if they are fewer.
 
     Passages are drawn by hash, so that each counts once however often it occurs and whatever text
-    it is in. The share comes from the number of distinct ones, told by those of one residue.
+    it is in. The share comes from the number of distinct ones, told by those of one residue. A
+    caller may give it to :func:`latent_space`; :func:`find_leaks` fits on all passages.
     """
 
     def drawn(every: int, spelled: bool):
@@ -170,51 +238,48 @@ def fit_sample(texts: DataFrame) -> DataFrame:
     return drawn(every, True).groupBy("hash").agg(F.min("text").alias("text")).select("text")
 
 
-def latent_space(texts: DataFrame) -> np.ndarray:
+def latent_space(texts: DataFrame, fitted: DataFrame | None = None) -> np.ndarray:
     """Latent coordinates of each hashed word, weighted by IDF: a passage's are the sum over its words.
 
     Randomised SVD of the passages' TF-IDF matrix A in two distributed products: ``A'(A R)`` for a
-    random R spans the space, and the small ``(A Q)'(A Q)`` in it gives directions and lengths.
-    Passages too few to tell so many directions are projected on random ones.
+    random R spans the space, and the small ``(A Q)'(A Q)`` in it gives directions and lengths. A has
+    a row for each distinct passage of ``texts``, or of the ``fitted`` texts, such as a
+    :func:`fit_sample`, if a caller gives them. Passages too few to tell so many directions are
+    projected on random ones.
     """
-    idf, _ = _idf(texts)
-    sample = saved(fit_sample(texts).repartition(8), "fit-sample")
+    found = saved(passages(texts), "passages")
+    idf, _ = _rarity(found)
+    if fitted is not None:
+        found = saved(passages(fitted), "fitted-passages")
     width = DIMENSIONS + EXTRA
     drawn = np.random.default_rng(11).standard_normal((_FEATURES, width)).astype(np.float32)
-    if sample.count() < 4 * width:
+    if found.count() < 4 * width:
         return drawn * idf[:, None]
 
     def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, out = drawn * idf[:, None], np.zeros((_FEATURES, width), np.float32)
+        table, out = _after_none(drawn * idf[:, None]), np.zeros((_FEATURES + 1, width), np.float32)
         for batch in batches:
-            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
-                starts, _, _ = _segments(words)
-                y = _segment_sums(words, starts, table)
-                owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words.hashes))))
-                feature = _feature(words)
-                order = np.argsort(feature, kind="stable")
-                if len(order):
-                    edges = np.flatnonzero(np.diff(feature[order], prepend=-1))
-                    out[feature[order][edges]] += np.add.reduceat(y[owner[order]], edges, axis=0)
-        out *= idf[:, None]
+            features = _unpacked(batch)
+            y = _feature_sums(features, table)
+            _add_by_feature(out, features, y)
+        out = out[1:] * idf[:, None]
         pieces = [p.tobytes() for p in np.split(out, _SLICES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int64()), pa.array(pieces)], ["slice", "part"])
 
-    parts = sample.mapInArrow(span, "slice long, part binary").groupBy("slice").applyInArrow(_added, "slice long, part binary")
+    parts = found.mapInArrow(span, "slice long, part binary").groupBy("slice").applyInArrow(_added, "slice long, part binary")
     spanned = np.concatenate([np.frombuffer(p, np.float32) for p in parts.toArrow().sort_by("slice")["part"].to_pylist()])
     basis, _ = np.linalg.qr(spanned.reshape(_FEATURES, width).astype(np.float64))
     weighted = (basis * idf[:, None]).astype(np.float32)
-    held = texts.sparkSession.sparkContext.broadcast(weighted)
+    held = texts.sparkSession.sparkContext.broadcast(_after_none(weighted))
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((width, width))
         for batch in batches:
-            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
-                z = _segment_sums(words, _segments(words)[0], held.value)
-                out += z.T @ z
+            z = _feature_sums(_unpacked(batch), held.value)
+            out += z.T @ z
         yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([out.astype(np.float32).tobytes()])], ["slice", "part"])
 
-    small = sample.mapInArrow(inner, "slice long, part binary").toArrow()["part"].to_pylist()
+    small = found.mapInArrow(inner, "slice long, part binary").toArrow()["part"].to_pylist()
     gram = sum((np.frombuffer(p, np.float32).reshape(width, width) for p in small), np.zeros((width, width)))
     squares, turn = np.linalg.eigh(gram)
     best = np.argsort(squares)[::-1][1 : DIMENSIONS + 1]  # the first is what all passages share
@@ -222,6 +287,11 @@ def latent_space(texts: DataFrame) -> np.ndarray:
     return (weighted @ (turn[:, best] / lengths)).astype(np.float32)
 
 
+def _after_none(table: np.ndarray) -> np.ndarray:
+    """``table`` with a first row of zeros, for features that begin at 1."""
+    return np.concatenate([np.zeros((1, table.shape[1]), table.dtype), table])
+
+
 def _added(key: tuple[pa.Scalar, ...], parts: pa.Table) -> pa.Table:
     total = np.sum([np.frombuffer(p, np.float32) for p in parts["part"].to_pylist()], axis=0, dtype=np.float64)
     return pa.table({"slice": pa.array([key[0].as_py()]), "part": pa.array([total.astype(np.float32).tobytes()])})

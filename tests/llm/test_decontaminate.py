@@ -133,3 +133,36 @@ def test_counts_and_subsequences_are_those_of_the_plain_way():
     for k, part in enumerate(parts):
         item = items[number[k]]
         assert few[k] == (shared.fits[number[k]] and sum(w in item.pattern for w in part) < D.PART * len(item.words))
+
+
+def test_latent_space_is_fitted_on_all_passages(spark, monkeypatch):
+    """Passages beyond any sample's size count, each distinct one once."""
+    rng = random.Random(12)
+    texts = [" ".join(w) for w in corpus(rng, 200, 125)]
+    docs = spark.createDataFrame([(t,) for t in texts + texts[:2] * 3], "text string").repartition(3)
+    cut = [(words[k : k + D.STRIDE]) for t in texts + texts[:2] * 3 for words in [t.split()] for k in range(0, 125, D.STRIDE)]
+    count: dict = {}
+    for p in map(tuple, cut):
+        count[p] = count.get(p, 0) + 1
+    rows = D.passages(docs).collect()
+    feature = lambda w: int(D._hashes(w)[0] >> np.uint64(64 - D.FEATURE_BITS)) + 1
+    packed = lambda r: tuple(np.array([r[c] for c in D._PACKED]).view(np.uint16).tolist())
+    expected = {tuple(map(feature, p)) + (0,) * (D.STRIDE - len(p)): n for p, n in count.items()}
+    assert {packed(r): r.n for r in rows} == expected and len(rows) == len(count) > 2000
+    whole = D.latent_space(docs)
+    monkeypatch.setattr(D, "_COUNTED", 1)
+    monkeypatch.setattr(D, "FIT_PASSAGES", 300)  # would leave one passage in seven
+    again = D.latent_space(docs)
+    assert np.allclose(np.abs(whole), np.abs(again), rtol=0.05, atol=1e-3 * np.abs(whole).max())
+    sampled = D.latent_space(docs, D.fit_sample(docs))
+    assert not np.allclose(np.abs(whole), np.abs(sampled), rtol=0.05, atol=1e-3 * np.abs(whole).max())
+
+
+def test_sums_by_feature():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 700):
+        features, rows = np.minimum(rng.zipf(1.3, (n, D.STRIDE)), 500), rng.standard_normal((n, 5)).astype(np.float32)
+        got, expected = np.zeros((501, 5), np.float32), np.zeros((501, 5), np.float32)
+        D._add_by_feature(got, features, rows)
+        np.add.at(expected, features.ravel(), np.repeat(rows, D.STRIDE, axis=0))
+        assert np.allclose(got, expected, atol=1e-3)

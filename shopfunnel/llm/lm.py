@@ -1,9 +1,10 @@
 """Scoring texts with a small causal self-attention model over subword ids.
 
 Texts are lower-cased words joined by spaces, as the library's byte-level BPE cuts them. The most
-frequent subwords are classes of their own; the rest share one, inside which a subword has its
-share of the corpus' count. One attention layer over a window of classes, added to the log odds of
-class pairs, gives each class' probability. Windows overlap: each but the first scores only what
+frequent subwords are classes of their own; the rest share one, inside which a binary tree over all
+of its ids, each node a logistic function of the attention layer's output, gives each id its own
+probability. Every id is an input of its own, too. One attention layer over a window of ids, added
+to the log odds of class pairs, gives each class' probability. Windows overlap: each but the first scores only what
 the one before it didn't, so every token is scored once and has some context. A word's probability
 is the product of its subwords', which knows no unknown.
 
@@ -15,11 +16,15 @@ Spark adds up what the tasks arrive at for the next round, weighted by their win
 
 from __future__ import annotations
 
+import copy
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +40,14 @@ TAIL, END, START = CLASSES - 2, CLASSES - 1, CLASSES
 WINDOW, SCORED, WIDTH = 32, 24, 16
 #: Passes over windows given at once, windows of a step, its length.
 EPOCHS, STEP_WINDOWS, STEP = 3, 128, 0.004
+#: Length of the first step of a rare id's embedding and of a tree node; later ones are shorter.
+RARE_STEP = 0.05
 #: Rounds of training, windows of a task over all rounds, about, and windows trained on at least: fewer are repeated.
 ROUNDS, TASK_WINDOWS, LEAST_WINDOWS = 4, 100_000, 90_000
 #: Words whose counts for the base score the tasks hold; the others' counts are joined.
 FREQUENT = 200_000
-#: Windows computed at once.
-_WINDOWS = 512
+#: Windows computed at once: few, so that their arrays stay in a core's cache.
+_WINDOWS = 16
 #: Subwords whose windows are held at once in training.
 _SUBWORDS = 1 << 18
 
@@ -134,17 +141,113 @@ class Classes:
         """Classes of a text's ids with the end."""
         return np.append(self.of[np.frombuffer(data, "<u4")], END)
 
+    def members(self, data: bytes) -> np.ndarray:
+        """Numbers of a text's rare ids among all rare ones, in their order."""
+        ids = np.frombuffer(data, "<u4")
+        return self._number[ids[self.of[ids] == TAIL]]
+
+    @cached_property
+    def _number(self) -> np.ndarray:
+        return np.cumsum(self.of == TAIL) - 1
+
+
+def codes(sequence: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """``sequence`` with the numbers of its rare ids, counted on from the start's, in their places."""
+    out = sequence.astype(np.int64)
+    out[out == TAIL] = START + 1 + members
+    return out
+
+
+def _row_sums(at: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """Sums of the ``rows`` of each place ``at``."""
+    width = rows.shape[1]
+    places = (at.reshape(-1, 1) * width + np.arange(width)).ravel()
+    return np.bincount(places, rows.ravel(), minlength=count * width).reshape(count, width).astype(rows.dtype)
+
+
+class Members:
+    """The rare ids: an embedding of each, and a Huffman tree that tells them apart.
+
+    A node's logit is linear in the attention layer's output. Untrained, an id's probability is its
+    share of the counts, one added to each.
+    """
+
+    def __init__(self, counts: np.ndarray) -> None:
+        n = len(counts)
+        heap = list(zip((counts + 1).tolist(), range(n)))
+        heapq.heapify(heap)
+        above, bit = np.full(2 * n, -1), np.zeros(2 * n, bool)
+        bias = np.zeros(max(n - 1, 1))
+        while len(heap) > 1:
+            (a, left), (b, right) = heapq.heappop(heap), heapq.heappop(heap)
+            node = 2 * n - len(heap) - 2  # inner nodes come after the ids
+            above[left], above[right], bit[right] = node, node, True
+            bias[node - n] = np.log(b / a)
+            heapq.heappush(heap, (a + b, node))
+        owners, nodes, bits = [], [], []
+        at, owner = np.arange(n), np.arange(n)
+        while len(at):
+            on = above[at] >= 0
+            owner, bits_here, at = owner[on], bit[at[on]], above[at[on]]
+            owners.append(owner)
+            nodes.append(at - n)
+            bits.append(bits_here)
+        owner = np.concatenate(owners) if owners else np.empty(0, np.int64)
+        order = np.argsort(owner, kind="stable")
+        self.nodes, self.bits = np.concatenate(nodes)[order].astype(np.int32), np.concatenate(bits)[order]
+        self.sizes = np.bincount(owner, minlength=n)
+        self.low = np.cumsum(self.sizes) - self.sizes
+        self.tree = np.zeros((len(bias), WIDTH + 1), np.float32)
+        self.tree[:, WIDTH] = bias
+        self.embed = np.zeros((n, WIDTH), np.float32)
+
+    def _paths(self, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes on the ways to some members, which turn is taken there, and whose way it is."""
+        place = tokens._ragged(self.low[member], self.sizes[member])
+        return self.nodes[place], self.bits[place], np.repeat(np.arange(len(member)), self.sizes[member])
+
+    def log_probabilities(self, hidden: np.ndarray, member: np.ndarray) -> np.ndarray:
+        node, bit, owner = self._paths(member)
+        weights = self.tree[node]
+        logit = np.einsum("ij,ij->i", hidden[owner], weights[:, :WIDTH]) + weights[:, WIDTH]
+        return -np.bincount(owner, np.logaddexp(0, np.where(bit, -logit, logit)), minlength=len(member))
+
+    def slopes(self, hidden: np.ndarray, member: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Derivatives of the loss of ``n`` positions by ``hidden``, the nodes met, and those by them."""
+        node, bit, owner = self._paths(member)
+        weights, met = self.tree[node], hidden[owner]
+        logit = np.einsum("ij,ij->i", met, weights[:, :WIDTH]) + weights[:, WIDTH]
+        slope = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - bit) / n).astype(np.float32)[:, None]
+        by_hidden = _row_sums(owner, slope * weights[:, :WIDTH], len(member))
+        at, number = np.unique(node, return_inverse=True)
+        return by_hidden, at, _row_sums(number, np.concatenate([slope * met, slope], axis=1), len(at))
+
+
+class Rare:
+    """AdaGrad steps of :class:`Members`' rows, and how often each was met."""
+
+    def __init__(self, members: Members) -> None:
+        self.tables = {"tree": members.tree, "embed": members.embed}
+        self.squares = {k: np.full_like(t, 1e-10) for k, t in self.tables.items()}
+        self.met = {k: np.zeros(len(t), np.int64) for k, t in self.tables.items()}
+
+    def step(self, name: str, at: np.ndarray, slopes: np.ndarray, share: float) -> None:
+        squares = self.squares[name]
+        squares[at] += slopes**2
+        self.tables[name][at] -= RARE_STEP * share * slopes / np.sqrt(squares[at])
+        self.met[name][at] += 1
+
 
 class Attention:
     """Log probabilities of classes: pair log odds plus one layer of masked self-attention."""
 
-    def __init__(self, pairs: np.ndarray, seed: int = 5) -> None:
+    def __init__(self, pairs: np.ndarray, members: Members | None = None, seed: int = 5) -> None:
         random = np.random.default_rng(seed)
 
         def drawn(*shape: int) -> np.ndarray:
             return (random.standard_normal(shape) / np.sqrt(WIDTH)).astype(np.float32)
 
-        self.pairs = pairs.astype(np.float32)
+        self.pairs, self.members = pairs.astype(np.float32), members
         self.weights = {
             "embed": drawn(CLASSES + 1, WIDTH), "place": 0.1 * drawn(WINDOW, WIDTH), "query": drawn(WIDTH, WIDTH),
             "key": drawn(WIDTH, WIDTH), "value": drawn(WIDTH, WIDTH), "out": drawn(WIDTH, WIDTH),
@@ -152,61 +255,96 @@ class Attention:
         }
         self.future = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
+    def _sides(self) -> np.ndarray:
+        return np.concatenate([self.weights[k] for k in ("query", "key", "value")], axis=1)
+
     def hidden(self, inputs: np.ndarray) -> tuple[np.ndarray, tuple]:
         w = self.weights
-        x = w["embed"][inputs] + w["place"]
-        q, k, v = x @ w["query"], x @ w["key"], x @ w["value"]
-        seen = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + self.future
+        x = w["embed"].take(_classes(inputs), axis=0) + w["place"]
+        if self.members:
+            rare = inputs > START
+            x[rare] += self.members.embed[inputs[rare] - START - 1]
+        both = (x.reshape(-1, WIDTH) @ self._sides()).reshape(*inputs.shape, 3 * WIDTH)
+        q, k, v = both[..., :WIDTH], both[..., WIDTH : 2 * WIDTH], both[..., 2 * WIDTH :]
+        seen = q @ k.transpose(0, 2, 1)
+        seen *= np.float32(WIDTH**-0.5)
+        seen += self.future
         seen -= seen.max(axis=2, keepdims=True)
         np.exp(seen, out=seen)
         seen /= seen.sum(axis=2, keepdims=True)
         met = seen @ v
-        return x + met @ w["out"], (x, q, k, v, seen, met)
+        return x + (met.reshape(-1, WIDTH) @ w["out"]).reshape(x.shape), (x, q, k, v, seen, met)
 
-    def logits(self, hidden: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+    def _logits(self, hidden: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+        """Logits of the classes at some positions, the largest of each 0."""
         z = hidden @ self.weights["score"]
-        z += self.pairs[inputs]
-        z += self.weights["bias"]
+        z += (self.pairs + self.weights["bias"]).take(_classes(inputs), axis=0)
+        z -= z.max(axis=1, keepdims=True)
         return z
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Natural logarithms at the ``wanted`` positions of windows, in their order."""
-        hidden, _ = self.hidden(inputs)
-        z = self.logits(hidden[wanted], inputs[wanted])
-        z -= z.max(axis=1, keepdims=True)
-        chosen = z[np.arange(len(z)), targets[wanted]]
-        return chosen - np.log(np.exp(z, out=z).sum(axis=1))
-
-    def slopes(self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss of windows and its derivatives by the weights."""
-        w, n = self.weights, int(wanted.sum())
+        hidden, target = self.hidden(inputs)[0][wanted], targets[wanted]
+        z = self._logits(hidden, inputs[wanted])
+        chosen = z[np.arange(len(z)), _classes(target)]
+        out = chosen - np.log(np.exp(z, out=z) @ np.ones(CLASSES, z.dtype))
+        rare = np.flatnonzero(target > START)
+        if self.members and len(rare):
+            out[rare] += self.members.log_probabilities(hidden[rare], target[rare] - START - 1)
+        return out
+
+    def slopes(
+        self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray, rare: Rare | None = None, share: float = 1.0, of: int = 0
+    ) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean loss of the classes in windows and its derivatives by the weights; a part of it if ``of`` positions.
+
+        With ``rare``, the loss of the rare ids inside their class adds to the derivatives, and
+        their tree and embeddings make their step.
+        """
+        w = self.weights
         hidden, (x, q, k, v, seen, met) = self.hidden(inputs)
-        z = self.logits(hidden, inputs)
-        z -= z.max(axis=2, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=2, keepdims=True)
-        b, t = np.indices(targets.shape)
-        loss = -np.log(np.maximum(p[b, t, targets], 1e-30))[wanted].mean()
-        p[b, t, targets] -= 1
-        p *= wanted[:, :, None] / np.float32(n)
+        mine, target = hidden[wanted], targets[wanted]
+        p = self._logits(mine, inputs[wanted])
+        n = of or len(mine)
+        rows, classes = np.arange(len(mine)), _classes(target)
+        chosen = p[rows, classes]
+        total = np.exp(p, out=p) @ np.ones(CLASSES, p.dtype)
+        loss = (np.log(total) - chosen).sum() / n
+        p *= (1 / (total * p.dtype.type(n)))[:, None]
+        p[rows, classes] -= p.dtype.type(1 / n)
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        out = {"score": flat(hidden).T @ flat(p), "bias": flat(p).sum(axis=0)}
-        dh = p @ w["score"].T
+        out = {"score": mine.T @ p, "bias": np.ones(len(mine), p.dtype) @ p}
+        dmine = p @ w["score"].T
+        if rare:
+            tail = np.flatnonzero(target > START)
+            by_hidden, nodes, by_node = self.members.slopes(mine[tail], target[tail] - START - 1, n)
+            dmine[tail] += by_hidden
+            rare.step("tree", nodes, by_node, share)
+        dh = np.zeros(hidden.shape, dmine.dtype)
+        dh[wanted] = dmine
         out["out"] = flat(met).T @ flat(dh)
-        dmet = dh @ w["out"].T
-        dseen = dmet @ v.transpose(0, 2, 1)
-        dv = seen.transpose(0, 2, 1) @ dmet
-        ds = seen * (dseen - (dseen * seen).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        for name, d in (("query", dq), ("key", dk), ("value", dv)):
-            out[name] = flat(x).T @ flat(d)
-        dx = dh + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
+        dmet = (flat(dh) @ w["out"].T).reshape(dh.shape)
+        ds = dmet @ v.transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", ds, seen)[:, :, None]
+        ds *= seen
+        ds *= np.float32(WIDTH**-0.5)
+        sides = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, seen.transpose(0, 2, 1) @ dmet], axis=2)
+        by_side = flat(x).T @ flat(sides)
+        for number, name in enumerate(("query", "key", "value")):
+            out[name] = by_side[:, number * WIDTH : (number + 1) * WIDTH]
+        dx = dh + (flat(sides) @ self._sides().T).reshape(dh.shape)
         out["place"] = dx.sum(axis=0)
-        out["embed"] = np.zeros_like(w["embed"])
-        np.add.at(out["embed"], inputs.reshape(-1), flat(dx))
+        out["embed"] = _row_sums(_classes(inputs), flat(dx), CLASSES + 1)
+        if rare:
+            own = inputs > START
+            at, number = np.unique(inputs[own] - START - 1, return_inverse=True)
+            rare.step("embed", at, _row_sums(number, dx[own], len(at)), share)
         return float(loss), out
 
-    def train(self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray, adam: Adam | None = None, passes: int = EPOCHS, fall: float = 0.9) -> None:
+    def train(
+        self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray, adam: Adam | None = None, passes: int = EPOCHS,
+        fall: float = 0.9, rare: Rare | None = None,
+    ) -> None:
         """Adam over shuffled windows; the step's length falls by a share of it until the end."""
         adam = adam or Adam(self.weights)
         random, step = np.random.default_rng(9), 0
@@ -215,11 +353,18 @@ class Attention:
             order = random.permutation(len(inputs))
             for low in range(0, len(order), STEP_WINDOWS):
                 at = order[low : low + STEP_WINDOWS]
-                _, slopes = self.slopes(inputs[at], targets[at], wanted[at])
+                n, slopes = int(wanted[at].sum()), None
+                for few in np.split(at, range(_WINDOWS, len(at), _WINDOWS)):
+                    _, part = self.slopes(inputs[few], targets[few], wanted[few], rare, adam.rate / STEP, n)
+                    slopes = {k: slopes[k] + d for k, d in part.items()} if slopes else part
                 step += 1
                 adam.step(slopes, 1 - fall * step / steps)
 
 
+def _classes(codes: np.ndarray) -> np.ndarray:
+    return np.where(codes > START, TAIL, codes)
+
+
 class Adam:
     """Steps of weights down their slopes, by running means of these and of their squares."""
 
@@ -269,7 +414,10 @@ class Model:
         encoder = tokens.encoder(self.vocabulary)
         spelled = encoder.encode(_normal_texts(words))
         ids = np.frombuffer(b"".join(spelled), "<u4")
-        inputs, targets, wanted, _ = windows_of([self.classes.sequence(data) for data in spelled])
+        sequences = [self.classes.sequence(data) for data in spelled]
+        if self.attention.members:
+            sequences = [codes(cut, self.classes.members(data)) for cut, data in zip(sequences, spelled)]
+        inputs, targets, wanted, _ = windows_of(sequences)
         found = [
             self.attention.log_probabilities(inputs[low : low + _WINDOWS], targets[low : low + _WINDOWS], wanted[low : low + _WINDOWS])
             for low in range(0, len(inputs), _WINDOWS)
@@ -277,13 +425,17 @@ class Model:
         by_position = np.concatenate(found)  # those of each text's ids and its end, text after text
         sizes = np.array([len(data) // 4 for data in spelled])
         total = np.concatenate([[0.0], np.cumsum(by_position, dtype=np.float64)])
-        inside = np.concatenate([[0.0], np.cumsum(self.classes.share[ids])])
+        share = 0 if self.attention.members else self.classes.share[ids]
+        inside = np.concatenate([[0.0], np.cumsum(np.zeros(len(ids)) + share)])
         ends, last = np.cumsum(sizes + 1), np.cumsum(sizes)
         return total[ends] - total[ends - sizes - 1] + inside[last] - inside[last - sizes]
 
 
 def class_sequences(training: DataFrame, classes: Classes, vocabulary: str) -> DataFrame:
-    """``place, classes`` of every text, a byte each; ``place`` is a hash of the row."""
+    """``place, classes, members`` of every text: classes a byte each, and the rare ids' numbers.
+
+    ``place`` is a hash of the row.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,18 +443,21 @@ def class_sequences(training: DataFrame, classes: Classes, vocabulary: str) -> D
                 spelled = tokens.encoder(vocabulary).encode(_normal_texts(words))
                 cut = [classes.sequence(d).astype(np.uint8).tobytes() for d in spelled]
                 places = batch.column("place").slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([places, pa.array(cut, pa.binary())], ["place", "classes"])
+                members = [classes.members(d).astype("<u4").tobytes() for d in spelled]
+                columns = [places, pa.array(cut, pa.binary()), pa.array(members, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["place", "classes", "members"])
 
-    return training.select(F.xxhash64("id", "text").alias("place"), "text").mapInArrow(cut, "place long, classes binary")
+    return training.select(F.xxhash64("id", "text").alias("place"), "text").mapInArrow(cut, "place long, classes binary, members binary")
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Sequences of the rows, about as many at a time as may be held."""
+def _grouped(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[list[np.ndarray]]:
+    """Sequences of the rows, about as many at a time as may be held; ``whole`` ones tell rare ids apart."""
     group: list[np.ndarray] = []
     size = 0
     for batch in batches:
-        for data in batch.column("classes"):
-            group.append(np.frombuffer(data.as_py(), np.uint8).astype(np.int64))
+        for row, data in enumerate(batch.column("classes")):
+            cut = np.frombuffer(data.as_py(), np.uint8).astype(np.int64)
+            group.append(codes(cut, np.frombuffer(batch.column("members")[row].as_py(), "<u4")) if whole else cut)
             size += len(group[-1])
             if size >= _SUBWORDS:
                 yield group
@@ -337,7 +492,8 @@ def train_attention(sequences: DataFrame, attention: Attention, windows: int) ->
     """Train on every window of the sequences, once if they are many.
 
     Each round takes the sequences of one residue, or all of a small table several times. The tasks
-    go on from the same weights, and the next round begins with the mean of what they arrive at.
+    go on from the same weights, and the next round begins with the mean of what they arrive at; what
+    belongs to a rare id counts by how often a task met it.
     """
     tasks, small = max(1, windows // TASK_WINDOWS), windows < LEAST_WINDOWS
     passes = -(-LEAST_WINDOWS // (ROUNDS * windows)) if small else 1
@@ -347,39 +503,64 @@ def train_attention(sequences: DataFrame, attention: Attention, windows: int) ->
         rate = STEP * (1 - 0.9 * number / ROUNDS)
 
         def learn(batches: Iterator[pa.RecordBatch], held=held, rate=rate) -> Iterator[pa.RecordBatch]:
-            own = Attention(held.value.pairs)
-            own.weights = {k: v.copy() for k, v in held.value.weights.items()}
-            adam, seen = Adam(own.weights, rate), 0
-            for group in _grouped(batches) if passes == 1 else [[s for g in _grouped(batches) for s in g]]:
+            own = copy.deepcopy(held.value)
+            adam, seen, whole = Adam(own.weights, rate), 0, own.members is not None
+            rare = Rare(own.members) if whole else None
+            for group in _grouped(batches, whole) if passes == 1 else [[s for g in _grouped(batches, whole) for s in g]]:
                 if group:
                     inputs, targets, wanted, _ = windows_of(group)
-                    own.train(inputs, targets, wanted, adam, passes, fall=0)
+                    own.train(inputs, targets, wanted, adam, passes, fall=0, rare=rare)
                     seen += len(inputs)
             if seen:
-                flat = np.append(np.concatenate([own.weights[k].ravel() for k in names]).astype(np.float64), 1) * seen
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "x"])
+                flat = np.concatenate([own.weights[k].ravel() for k in names])
+                yield _reported("weights", np.arange(len(flat)), seen, flat.reshape(-1, 1))
+            for name in rare.tables if rare else ():
+                at = np.flatnonzero(rare.met[name])
+                moved = rare.tables[name][at] - getattr(held.value.members, name)[at]
+                yield _reported(name, at, rare.met[name][at], moved)
 
         mine = sequences if small else sequences.filter(F.pmod("place", F.lit(ROUNDS)) == number)
-        dealt = mine.repartition(tasks, "place").sortWithinPartitions("place", "classes")
-        rows = dealt.mapInArrow(learn, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+        dealt = mine.repartition(tasks, "place").sortWithinPartitions("place", "classes", "members")
+        sums = [F.sum(c).alias(c) for c in ("n", *_REPORTED)]
+        rows = dealt.mapInArrow(learn, _REPORT).groupBy("name", "at").agg(*sums).toArrow().sort_by("at")
         held.unpersist()
-        if not len(rows):
-            continue
-        flat = rows["x"].to_numpy()[np.argsort(rows["at"].to_numpy())]
-        flat, low = flat[:-1] / flat[-1], 0
-        for name, old in attention.weights.items():
-            attention.weights[name] = flat[low : low + old.size].reshape(old.shape).astype(np.float32)
-            low += old.size
+        found = {name: rows.filter(pc.equal(rows["name"], name)) for name in ("weights", "tree", "embed")}
+        if len(found["weights"]):
+            flat, low = _means(found["weights"], 1).ravel(), 0
+            for name, old in attention.weights.items():
+                attention.weights[name] = flat[low : low + old.size].reshape(old.shape).astype(np.float32)
+                low += old.size
+        for name in ("tree", "embed") if attention.members else ():
+            table = getattr(attention.members, name)
+            table[found[name]["at"].to_numpy()] += _means(found[name], table.shape[1]).astype(np.float32)
+
+
+#: What a task arrives at: rows of a table, times how much they count.
+_REPORTED = [f"x{k}" for k in range(WIDTH + 1)]
+_REPORT = "name string, at long, n long, " + ", ".join(f"{c} double" for c in _REPORTED)
+
+
+def _reported(name: str, at: np.ndarray, n: np.ndarray | int, rows: np.ndarray) -> pa.RecordBatch:
+    n = np.broadcast_to(np.asarray(n, np.int64), at.shape)
+    filled = np.zeros((len(at), len(_REPORTED)))
+    filled[:, : rows.shape[1]] = rows * n[:, None]
+    columns = [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int64)), pa.array(n), *map(pa.array, filled.T.copy())]
+    return pa.RecordBatch.from_arrays(columns, ["name", "at", "n", *_REPORTED])
+
+
+def _means(rows: pa.Table, width: int) -> np.ndarray:
+    return np.stack([rows[c].to_numpy() for c in _REPORTED[:width]], axis=1) / rows["n"].to_numpy()[:, None]
 
 
 def train_model(training: DataFrame, counts: DataFrame, vocabulary: str) -> Model:
     """Classes, their pairs and the weights, from all training documents."""
-    classes = Classes.from_counts(subword_counts(counts, vocabulary))
+    each = subword_counts(counts, vocabulary)
+    classes = Classes.from_counts(each)
     with scratch(training.sparkSession):
         sequences = saved(class_sequences(training, classes, vocabulary), "class-sequences")
         found, windows = pair_counts(sequences)
         pairs = found + 1.0 / CLASSES
-        attention = Attention(np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+        attention = Attention(np.log(pairs / pairs.sum(axis=1, keepdims=True)), Members(each[classes.of == TAIL]))
         if windows:
             train_attention(sequences, attention, windows)
     return Model(classes, attention, vocabulary)

@@ -146,3 +146,40 @@ def test_score_is_the_attention_models(spark):
         inputs, targets, wanted, _ = lm.windows_of([classes.sequence(data)])
         expected = model.attention.log_probabilities(inputs, targets, wanted).sum() + classes.share[np.frombuffer(data, "<u4")].sum()
         assert score == pytest.approx(expected, rel=1e-5)
+
+
+def test_every_rare_id_has_its_own_probability():
+    """Untrained it is its share of the counts; trained, the context tells rare ids apart."""
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 60, 700)
+    classes = lm.Classes.from_counts(counts)
+    members = lm.Members(counts[classes.of == lm.TAIL])
+    n = len(members.embed)
+    hidden = rng.standard_normal((n, lm.WIDTH)).astype(np.float32)
+    assert np.allclose(members.log_probabilities(hidden, np.arange(n)), classes.share[classes.of == lm.TAIL], atol=1e-4)
+    members.tree = rng.standard_normal(members.tree.shape).astype(np.float32)
+    one = np.repeat(hidden[:1], n, axis=0)
+    assert np.exp(members.log_probabilities(one, np.arange(n))).sum() == pytest.approx(1, rel=1e-4)
+    by_hidden, nodes, by_node = members.slopes(hidden[:5], np.arange(5), 1)
+    for table, at, slope in ((hidden, (2, 3), by_hidden[2, 3]), (members.tree, (nodes[0], 1), by_node[0, 1])):
+        kept, sides = table[at], []
+        for sign in (1, -1):
+            table[at] = kept + sign * 1e-2
+            sides.append(-members.log_probabilities(hidden[:5], np.arange(5)).sum())
+        table[at] = kept
+        assert (sides[0] - sides[1]) / 2e-2 == pytest.approx(slope, rel=0.02, abs=1e-3)
+
+
+def test_rare_ids_are_learnt_in_context(spark, monkeypatch):
+    """Each rare id is followed by one other, which shares of the counts can't tell."""
+    monkeypatch.setattr(lm, "LEAST_WINDOWS", 6_000)
+    rng = np.random.default_rng(6)
+    cut = [np.repeat(rng.integers(0, 40, 20), 2) for _ in range(600)]  # rare ids 0 to 39, each twice
+    rows = [(k, bytes([lm.TAIL] * 40 + [lm.END]), c.astype("<u4").tobytes()) for k, c in enumerate(cut)]
+    sequences = spark.createDataFrame(rows, "place long, classes binary, members binary")
+    attention = lm.Attention(np.zeros((lm.CLASSES + 1, lm.CLASSES)), lm.Members(np.bincount(np.concatenate(cut))))
+    whole = [lm.codes(np.append(np.full(40, lm.TAIL), lm.END), c) for c in cut[:100]]
+    inputs, targets, wanted, _ = lm.windows_of(whole)
+    before = attention.members.log_probabilities(np.zeros((4000, lm.WIDTH)), np.concatenate(cut[:100])).mean()
+    lm.train_attention(sequences, attention, 1200)
+    assert attention.log_probabilities(inputs, targets, wanted).mean() > before + 0.5

@@ -32,7 +32,7 @@ LEAST_PROBABILITY = 0.5
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 #: Letters of the word beginnings that are features beside whole words.
 _BEGINNINGS = (4, 5)
-#: Words whose features a worker remembers, each as 32-bit integers one after the other.
+#: Words whose features a task remembers, each as 32-bit integers one after the other.
 _MEMO_WORDS = 150_000
 _memo: dict[str, bytes] = {}
 
@@ -153,6 +153,7 @@ def train(
         for batch in batches:
             rows = [features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int32()))], ["id", "x"])
+        _memo.clear()  # the worker goes on with other work
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rated = texts.mapInArrow(hashed, f"id {id_type}, x array<int>").groupBy("id").agg(F.min("x").alias("x"))
@@ -188,6 +189,7 @@ def score(
             over = held.value.at_least(scores.reshape(-1))
             new = [pa.array(over.sum(axis=0)), pa.array(over[wanted - 1])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *(f.name for f in added)])
+        _memo.clear()
 
     return docs.mapInArrow(apply, T.StructType([*docs.schema.fields, *added]))
 

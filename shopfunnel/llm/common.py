@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What tasks leave in their worker for the next ones, by whose it is: how to forget it.
+_kept: dict[str, Callable[[], object]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], object]) -> None:
+    """``owner``'s tasks leave something in their worker; ``forget`` drops it."""
+    _kept[owner] = forget
+
+
+def only(owner: str = "") -> None:
+    """Called by a task: drops what others' tasks have left in this worker, which goes on from stage to stage."""
+    for name, forget in _kept.items():
+        if name != owner:
+            forget()
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system, where its C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopfunnel.llm.common import saved, scratch
+from shopfunnel.llm.common import only, saved, scratch
 from shopfunnel.llm.words import Words, mix, text_chunks
 
 #: Words of a passage are two strides; item passages begin at every ``ITEM_STRIDE`` words.
@@ -167,6 +167,7 @@ def passages(texts: DataFrame) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in batches:
             for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
                 starts, _, _ = _segments(words)
@@ -257,6 +258,7 @@ def latent_space(texts: DataFrame, fitted: DataFrame | None = None) -> np.ndarra
         return drawn * idf[:, None]
 
     def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         table, out = _after_none(drawn * idf[:, None]), np.zeros((_FEATURES + 1, width), np.float32)
         for batch in batches:
             features = _unpacked(batch)
@@ -392,6 +394,7 @@ def find_leaks(
         held = spark.sparkContext.broadcast((latent, items, _Shared(items), *_queries(items, latent)))
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            only()
             for batch in batches:
                 rows = list(_search(batch, *held.value))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), _arrow_types(batch, item_type))] if rows else []

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import sketch
-from shopfunnel.llm.common import result, saved, scratch
+from shopfunnel.llm.common import only, result, saved, scratch
 from shopfunnel.llm.graph import components
 from shopfunnel.llm.words import grams, mix, text_chunks
 
@@ -74,6 +74,7 @@ def _common(texts: DataFrame, n: int) -> Broadcast:
     """
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         held: list[np.ndarray] = []
         size = 0
 
@@ -151,6 +152,7 @@ def _features(keyed: DataFrame, n: int, similarity: Fraction, id_type: str) -> D
     common = _common(keyed.select("text"), n)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for rows, sets in _sets(batches, n):
             nodes = mix(np.array([np.sum(mix(s), dtype=np.uint64) + np.uint64(len(s)) for s in sets], np.uint64))
             sizes = [len(s) for s in sets]
@@ -193,6 +195,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int, similar
     bits = sketch.marked(wanted.select("row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in batches:
             keys = batch.column("row").to_numpy(zero_copy_only=False).view(np.uint64)
             batch = batch.filter(pa.array(sketch.holds(keys, bits.value)))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import tokens
-from shopfunnel.llm.common import saved
+from shopfunnel.llm.common import give_back, only, saved
 
 #: Longest sequence, a power of two.
 LONGEST = 2048
@@ -51,6 +51,7 @@ def pack(
     path = vocabulary or tokens.vocabulary_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("tokens")
         part, met = TaskContext.get().partitionId(), dict.fromkeys((1 << b for b in range(longest.bit_length())), 0)
         for batch in batches:
             rows: list[tuple] = []
@@ -68,6 +69,7 @@ def pack(
                     rows, size = [], 0
             if rows:
                 yield _batch(rows, batch.schema.field(0).type)
+        give_back()
 
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopfunnel.llm.common import keeps, only
+
 #: Feature buckets as a power of two: the broadcast weights take four bytes each.
 BUCKET_BITS = 18
 #: Rated documents the model is fitted on at most, drawn by a hash of their ids.
@@ -35,6 +37,7 @@ _BEGINNINGS = (4, 5)
 #: Words whose features a task remembers, each as 32-bit integers one after the other.
 _MEMO_WORDS = 150_000
 _memo: dict[str, bytes] = {}
+keeps("quality", _memo.clear)
 
 
 def _bucket(feature: str) -> int:
@@ -182,6 +185,7 @@ def score(
     added = [T.StructField(c, T.DoubleType()) for c in ("expected_grade", "tail_probability")]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("quality")
         weights = held.value.weights
         for batch in batches:
             texts = batch.column(text_col)

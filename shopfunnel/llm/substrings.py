@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfunnel.llm import sketch
-from shopfunnel.llm.common import fresh, same
+from shopfunnel.llm.common import fresh, only, same
 from shopfunnel.llm.words import Words, grams, mix, sliding_min, text_chunks
 
 #: Words of a window.
@@ -80,12 +80,14 @@ def _repeated_windows(
         width_bits = sketch.width_for(_most_representatives(texts, size))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         return sketch.batches_of(_representatives(batches, size), width_bits)
 
     bits = sketch.repeated(texts.mapInArrow(count, "cell long, n long"), width_bits)
     names = ["h0", "h1"] if wide else ["h0"]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for batch in batches:
             for first, last, words in text_chunks(batch.column("text")):
                 starts, text, least = _windows(words, size)

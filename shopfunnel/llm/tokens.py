@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from shopfunnel.llm.common import keeps
 from shopfunnel.llm.words import chunks, hashes_of, utf8
 
 #: Pieces a worker remembers; beyond that it forgets all and starts again.
@@ -22,6 +23,8 @@ MEMO_PIECES = 2_000_000
 #: Bytes of texts looked up together, and of new pieces the library is given as one text.
 _CHUNK_BYTES = 4 << 20
 _JOINED_BYTES = 1 << 16
+#: Bytes of texts the library is given at once: what it returns takes some hundred times as much until it is read.
+_CALL_BYTES = 1 << 18
 #: White space of one byte. Fixed values.
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -136,8 +139,17 @@ class Encoder:
         return np.array(sum(each, []), np.uint32), np.array([len(x) for x in each])
 
     def _call(self, texts: list[bytes]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+        found, some, size = [], [], 0
+        for text in texts:
+            some.append(text.decode())
+            size += len(text)
+            if size >= _CALL_BYTES:
+                found += self._ids(some)
+                some, size = [], 0
+        return found + self._ids(some)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class _Memo:
@@ -228,6 +240,7 @@ def _ragged(low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 _encoders: dict[str, Encoder] = {}
+keeps("tokens", _encoders.clear)
 
 
 def encoder(path: str) -> Encoder:

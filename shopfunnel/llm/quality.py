@@ -2,8 +2,9 @@
 
 Ratings are grades 0, 1, 2, ... One weight per hashed feature is shared by all grades; ordered
 thresholds cut the score: ``P(grade >= k) = sigmoid(score - threshold[k])``. From these come the
-expected grade and the probability of the grades wanted. The model is fitted by numpy on a
-bounded sample of rated documents and broadcast; every document is scored.
+expected grade and the probability of the grades wanted. Models are fitted by numpy, each on as
+many ratings as a task holds, side by side until all ratings are in one; their mean is broadcast
+and every document scored.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopfunnel.llm import sketch
 from shopfunnel.llm.common import keeps, only
 
 #: Feature buckets as a power of two: the broadcast weights take four bytes each.
 BUCKET_BITS = 18
-#: Rated documents the model is fitted on at most, drawn by a hash of their ids.
+#: Ratings that one model is fitted on, about; more are dealt to several by a hash of their ids.
 MOST_RATED = 12_000
 #: Passes over the sample and steps, at least; rows of a step, its length, and the L1 penalty.
 EPOCHS, STEPS, STEP_ROWS, STEP, PENALTY = 25, 1200, 250, 0.15, 5e-5
@@ -36,6 +38,8 @@ _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _BEGINNINGS = (4, 5)
 #: Words whose features a task remembers, each as 32-bit integers one after the other.
 _MEMO_WORDS = 150_000
+#: Weights are added up as whole multiples of a power of two, so that their order doesn't count.
+_SCALE = 1 << 30
 _memo: dict[str, bytes] = {}
 keeps("quality", _memo.clear)
 
@@ -163,11 +167,70 @@ def train(
     sample = rated.join(F.broadcast(drawn), "id").toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
     if not len(sample):
         return None
-    lists = sample["x"].combine_chunks()
+    return fit(_rows(sample), sample["grade"].to_numpy(), top)
+
+
+def train_on_all(
+    docs: DataFrame, ratings: DataFrame, top: int, id_col: str = "doc_id", text_col: str = "text",
+    grade_col: str = "grade", each: int = MOST_RATED,
+) -> OrdinalModel | None:
+    """:func:`train` on every rating, however many: the mean of models of about ``each`` ratings.
+
+    A feature's weight in a model counts by how many of the model's ratings have it.
+    """
+    usable = ratings.filter(F.col(grade_col).between(0, top) & F.col(id_col).isNotNull())
+    usable = usable.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade"))
+    count = usable.count()
+    if count <= each:
+        return train(docs, ratings, top, id_col, text_col, grade_col, each)
+    parts = -(-count // each)
+    times = usable.groupBy("id", "grade").agg(F.count(F.lit(1)).alias("times"))
+    dealt = times.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select(
+        "id", "grade", F.pmod(F.xxhash64("id", "grade", "time"), F.lit(parts)).alias("part")
+    )
+    bits = sketch.marked(usable.select(F.xxhash64("id").alias("key")), width := sketch.width_for(count))
+    texts = docs.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast(usable.schema["id"].dataType)).alias("key"), F.col(text_col).alias("text")
+    )
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("quality")
+        for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            mine = batch.filter(pa.array(sketch.holds(keys, bits.value, width)))
+            rows = [features(t.as_py()) for t in mine.column("text")]
+            yield pa.RecordBatch.from_arrays([mine.column("id"), pa.array(rows, pa.list_(pa.int32()))], ["id", "x"])
+        _memo.clear()
+
+    def fitted(key: tuple[pa.Scalar, ...], rated: pa.Table) -> pa.Table:
+        rated = rated.sort_by([("id", "ascending"), ("grade", "ascending")])
+        rows, grades = _rows(rated), rated["grade"].to_numpy()
+        model = fit(rows, grades, top)
+        met = np.bincount(np.concatenate(rows), minlength=1 << BUCKET_BITS)
+        at = np.flatnonzero(met)
+        values = np.concatenate([model.weights[at].astype(np.float64), model.thresholds])
+        met = np.concatenate([met[at], np.full(top, len(rows))])
+        at = np.concatenate([at, (1 << BUCKET_BITS) + np.arange(top)])
+        return pa.table({"at": at, "value": np.rint(values * _SCALE).astype(np.int64) * met, "met": met})
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rated = texts.mapInArrow(hashed, f"id {id_type}, x array<int>").groupBy("id").agg(F.min("x").alias("x")).join(dealt, "id")
+    models = rated.groupBy("part").applyInArrow(fitted, "at long, value long, met long")
+    found = models.groupBy("at").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"), F.sum("met").alias("met"))
+    found = found.select("at", (F.col("value").cast("double") / F.col("met") / _SCALE).alias("mean")).toArrow()
+    if not len(found):
+        return None
+    means = np.zeros((1 << BUCKET_BITS) + top)
+    means[found["at"].to_numpy()] = found["mean"].to_numpy()
+    return OrdinalModel(means[: 1 << BUCKET_BITS].astype(np.float32), means[1 << BUCKET_BITS :])
+
+
+def _rows(rated: pa.Table) -> list[np.ndarray]:
+    """The features ``x`` of each row."""
+    lists = rated["x"].combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-    rows = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-    return fit(rows, sample["grade"].to_numpy(), top)
+    return [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def score(

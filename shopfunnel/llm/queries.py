@@ -44,7 +44,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents selected, with their scores."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade"))
-    chosen = quality.select(docs, quality.train(docs, ratings, top=2), wanted=2)
+    chosen = quality.select(docs, quality.train_on_all(docs, ratings, top=2), wanted=2)
     return chosen.select("doc_id", "expected_grade", "tail_probability")
 
 

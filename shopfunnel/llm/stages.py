@@ -16,7 +16,7 @@ from shopfunnel.llm.substrings import dedup_substrings
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are probably toxic or of low quality go."""
     ratings = table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade"))
-    return quality.select(docs, quality.train(docs, ratings, top=2), wanted=2).select(*docs.columns)
+    return quality.select(docs, quality.train_on_all(docs, ratings, top=2), wanted=2).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

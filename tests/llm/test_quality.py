@@ -102,3 +102,32 @@ def test_the_bound_on_the_fit_holds(spark, monkeypatch):
     first = min(quality.features(f"word {k}").tolist() for k in range(5))
     assert fitted[1][0] == [first] * 3 + [quality.features(f"other {i}").tolist() for i in (20, 21)]
     assert fitted[1][1] == [0, 2, 2, 1, 2]
+
+
+def test_every_rating_counts(spark):
+    """Ratings beyond those of one model are fitted, too: a word of few documents has its weight."""
+    rows = rated(5, 260) + [(2000 + i, " ".join(WORDS[i % 40 :] + [f"odd{i % 3}"]), 0) for i in range(25)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(None, "x"), (3000, "x y")], "doc_id long, text string").repartition(3)
+    ratings = spark.createDataFrame([(i, g) for i, _, g in rows] + [(None, 1), (5, 9), (9999, 2)], "doc_id long, grade int")
+    found = quality.train_on_all(docs, ratings, top=2, each=150)
+    met = np.unique(np.concatenate([quality.features(t) for _, t, _ in rows]))
+    rare = [quality._bucket(f"w odd{k}") for k in range(3)] + [quality._bucket("w odd")]
+    assert found.weights[rare].min() < -0.1 and not np.delete(found.weights, met).any()
+    assert np.all(np.diff(found.thresholds) > 0)
+    again = quality.train_on_all(docs.repartition(5), ratings.repartition(4), top=2, each=150)
+    assert again.thresholds.tolist() == found.thresholds.tolist() and np.array_equal(again.weights, found.weights)
+    over = found.at_least(np.array([found.weights[quality.features(t)].sum() for _, t, _ in rows]))
+    assert np.mean((over[1] >= 0.5) == (np.array([g for *_, g in rows]) == 2)) > 0.9
+
+
+def test_the_pipelines_stage_fits_on_all_ratings(spark, tmp_path, monkeypatch):
+    from shopfunnel.llm import stages
+
+    rows = rated(7, 40)
+    spark.createDataFrame([(i, int(g == 2), int(g == 0)) for i, _, g in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "train_on_all", lambda docs, ratings, top: seen.append(sorted(map(tuple, ratings.collect()))))
+    monkeypatch.setattr(quality, "train", None)
+    assert stages.drop_low_quality(spark, docs, str(tmp_path)).count() == 40
+    assert seen == [[(i, g) for i, _, g in rows]]

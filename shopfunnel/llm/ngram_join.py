@@ -45,6 +45,8 @@ _PARITIES = [f"parity{k}" for k in range(_PARITY_WORDS)]
 #: Rounds in which nodes are compared with some nodes of their group only, and how many of these.
 STARS, PIVOTS = 2, 8
 _END = ("node", "size", "root", *_PARITIES)
+#: N-grams a node keeps of those before each of its own, to tell that two nodes have met already.
+EARLIER = 8
 #: N-grams counted together before those that are common among them are reported.
 _COUNT_AT_A_TIME = 2_000_000
 
@@ -313,17 +315,37 @@ def _stars(heads: DataFrame, similarity: Fraction, turn: int) -> DataFrame:
 
 def _across(heads: DataFrame, similarity: Fraction) -> DataFrame:
     """All pairs of nodes that share an n-gram and lie in different components."""
+    return _pairs(_meetings(heads, similarity))
+
+
+def _meetings(heads: DataFrame, similarity: Fraction) -> DataFrame:
+    """What may link of nodes that share an n-gram, once a pair or little more often.
+
+    Large sets share hundreds. Where two nodes share one of the few n-grams before, they meet
+    there; before the least that they share there is none.
+    """
+    before = Window.partitionBy("node").orderBy("gram").rowsBetween(-EARLIER, -1)
+    heads = heads.withColumn("earlier", F.collect_list("gram").over(before))
     near = F.explode(F.array(F.col("band"), F.col("band") - 1))
-    left = heads.select(*(F.col(c).alias(f"{c}_a") for c in _END), "gram", "band")
-    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in _END), "gram", near.alias("near"), F.col("band").alias("own"))
+    end = (*_END, "earlier")
+    left = heads.select(*(F.col(c).alias(f"{c}_a") for c in end), "gram", "band")
+    right = heads.select(*(F.col(c).alias(f"{c}_b") for c in end), "gram", near.alias("near"), F.col("band").alias("own"))
     right = right.withColumnRenamed("near", "band")
-    return _candidates(left.join(right, ["gram", "band"]).filter("own > band or node_a < node_b"), similarity)
+    met = left.join(right, ["gram", "band"]).filter("own > band or node_a < node_b")
+    return _possible(met, similarity).filter("not arrays_overlap(earlier_a, earlier_b)")
 
 
 def _candidates(met: DataFrame, similarity: Fraction) -> DataFrame:
+    return _pairs(_possible(met, similarity))
+
+
+def _possible(met: DataFrame, similarity: Fraction) -> DataFrame:
     unlike = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in _PARITIES)
     differ = _may_differ(similarity, unlike, "size_a + size_b")
-    met = met.filter(f"root_a <> root_b and {_reachable(similarity)} and {differ}")
+    return met.filter(f"root_a <> root_b and {_reachable(similarity)} and {differ}")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 

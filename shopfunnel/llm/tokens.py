@@ -20,8 +20,9 @@ from shopfunnel.llm.words import chunks, hashes_of, utf8
 
 #: Pieces a worker remembers; beyond that it forgets all and starts again.
 MEMO_PIECES = 2_000_000
-#: Bytes of texts looked up together, and of new pieces the library is given as one text.
-_CHUNK_BYTES = 4 << 20
+#: Bytes of texts looked up together, which takes some sixty times as much, and of new pieces the library is given as
+#: one text.
+_CHUNK_BYTES = 1 << 20
 _JOINED_BYTES = 1 << 16
 #: Bytes of texts the library is given at once: what it returns takes some hundred times as much until it is read.
 _CALL_BYTES = 1 << 18

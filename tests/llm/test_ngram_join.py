@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import pytest
 
-from shopfunnel.llm.ngram_join import near_groups
+from shopfunnel.llm.ngram_join import _END, _across, _meetings, near_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -78,3 +78,25 @@ def test_chain_of_links(spark):
 
 def test_empty_table(spark):
     assert near_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def heads_of(spark, sets):
+    rows = [(node, 100, node, *[0] * (len(_END) - 3), 0, gram) for node, grams in sets.items() for gram in grams]
+    return spark.createDataFrame(rows, ", ".join(f"{c} long" for c in (*_END, "band", "gram")))
+
+
+def test_nodes_that_share_many_grams_meet_once(spark):
+    alike = heads_of(spark, {node: range(300) for node in range(12)})
+    assert _meetings(alike, Fraction(8, 10)).count() == 66
+    rng = random.Random(5)
+    sets = {node: rng.sample(range(300), 200) for node in range(12)}
+    assert _meetings(heads_of(spark, sets), Fraction(8, 10)).count() < 100
+
+
+def test_nodes_meet_wherever_they_share_a_gram(spark):
+    rng = random.Random(6)
+    sets = {node: rng.sample(range(400), rng.choice([1, 5, 20, 60])) for node in range(40)}
+    pairs = {(a, b) for a in sets for b in sets if a < b and {*sets[a]} & {*sets[b]}}
+    assert 200 < len(pairs) < 780
+    found = _across(heads_of(spark, sets), Fraction(8, 10)).collect()
+    assert len(found) == len(pairs) and {(r.a, r.b) for r in found} == pairs

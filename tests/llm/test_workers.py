@@ -24,3 +24,14 @@ def test_the_library_is_given_few_texts_at_once(monkeypatch):
     monkeypatch.setattr(encoder, "_ids", lambda some: sizes.append(sum(map(len, some))) or call(some))
     assert encoder.encode(texts) == expected
     assert len(sizes) > 5 and max(sizes) < 4_000
+
+
+def test_texts_are_looked_up_in_small_chunks(monkeypatch):
+    """Working arrays take some sixty times a chunk, in each of an executor's workers."""
+    encoder, sizes = tokens.Encoder(tokens.vocabulary_path()), []
+    texts = [" ".join(f"word{k % 50}" for k in range(n, n + 2_000)) for n in range(200)]
+    flat = encoder.flat
+    monkeypatch.setattr(encoder, "flat", lambda data, offsets: sizes.append(len(data)) or flat(data, offsets))
+    assert len(encoder.encode(texts)) == 200
+    assert sum(sizes) == sum(map(len, texts)) > 2 << 20
+    assert max(sizes) <= 1 << 20

@@ -59,7 +59,7 @@ _PLACES = 64
 #: Passages of a batch from which on a feature's are summed by themselves.
 _OFTEN = 24
 #: Items whose words are counted side by side, and the words of a text counted at once.
-_GROUP, _RUN = 256, 32_768
+_GROUP, _RUN = 256, 4_096
 
 _FEATURES = 1 << FEATURE_BITS
 _SLICES = 64
@@ -436,6 +436,9 @@ class _Shared:
         self.sizes = np.array([len(item.words) for item in items])
         self.answers = np.array([item.answer for item in items])
         self.words = np.unique(np.array([w for item in items for w in item.words], np.uint64))
+        self.word_shift = np.uint64(64 - max(12, (16 * len(self.words)).bit_length()))
+        self.word_cells = np.zeros(1 << (64 - int(self.word_shift)), bool)
+        self.word_cells[self.words >> self.word_shift] = True
         #: Items whose places fit a machine word and which need not occur word by word.
         self.fits = (self.sizes <= _PLACES) & (self.sizes >= SHORT)
         keys, places, answer_places = [], [], []
@@ -452,23 +455,41 @@ class _Shared:
         self.marked[self._cell(self.keys)] = True
         self.groups = [self._group(items[at : at + _GROUP]) for at in range(0, len(items), _GROUP)]
 
-    @staticmethod
-    def _group(items: list[_Item]) -> tuple[np.ndarray, np.ndarray]:
-        """The words of some items, and per word a bit for each item that has it."""
+    def _group(self, items: list[_Item]) -> tuple[np.ndarray, np.ndarray]:
+        """Of all words the place among those of some items, or -1, and per word of theirs a bit for each item that has it."""
         words = np.unique(np.array([w for item in items for w in item.words], np.uint64))
+        own = np.full(len(self.words), -1, np.int32)
+        own[np.searchsorted(self.words, words)] = np.arange(len(words))
         has = np.zeros((len(words), _GROUP >> 3), np.uint8)
         for number, item in enumerate(items):
             has[np.searchsorted(words, np.unique(np.array(item.words, np.uint64))), number >> 3] |= 128 >> (number & 7)
-        return words, has
+        return own, has
 
     def _cell(self, keys: np.ndarray) -> np.ndarray:
         return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
 
+    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many hashes before each place are among ``words``, and the places of those there.
+
+        Most that are not fall to a cell that no word has, and need not be looked for.
+        """
+        maybe = np.flatnonzero(self.word_cells[(hashes >> self.word_shift).view(np.int64)])
+        sought = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.words, sought), len(self.words) - 1)
+        real = self.words[at] == sought
+        before = np.zeros(len(hashes) + 1, np.int64)
+        before[maybe[real] + 1] = 1
+        return np.cumsum(before, out=before), at[real]
+
     def few(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """Which ranges hold too few words of their item for a leak, if it is one that ``fits``.
+        """Which ranges hold too few words of their item for a leak, if it is one that ``fits``."""
+        return self._few(*self.known(hashes), low, high, number)
 
-        Counts of all items of a group run over the words, eight in a machine word. What they spill
-        into each other goes when two are subtracted, as no range has 256 words.
+    def _few(self, before: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """:meth:`few` by the words :meth:`known`.
+
+        Counts of all items of a group run over these, eight in a machine word. What they spill into
+        each other goes when two are subtracted, as no range has 256 words.
         """
         out = np.zeros(len(low), bool)
         part = number // _GROUP + len(self.groups) * (low // _RUN)
@@ -478,13 +499,15 @@ class _Shared:
         for a, b in zip(cuts[:-1], cuts[1:]):
             k = order[a:b]
             p, g = divmod(int(part[k[0]]), len(self.groups))
-            words, has = self.groups[g]
-            begin = p * _RUN
-            before, word = _known(hashes[begin : int(high[k].max())], words)
-            upto = np.zeros((len(word) + 1, _GROUP >> 3), np.uint64)
-            np.cumsum(np.unpackbits(has[word], axis=1).view("<u8"), axis=0, out=upto[1:])
+            own, has = self.groups[g]
+            begin, end = before[p * _RUN], before[high[k].max()]
+            place = own[word[begin:end]]
+            mine = place >= 0
+            upto = np.zeros((int(mine.sum()) + 1, _GROUP >> 3), np.uint64)
+            np.cumsum(np.unpackbits(has[place[mine]], axis=1).view("<u8"), axis=0, out=upto[1:])
+            met = np.append(0, np.cumsum(mine))
             item = number[k] - g * _GROUP
-            first, last = before[low[k] - begin], before[high[k] - begin]
+            first, last = met[before[low[k]] - begin], met[before[high[k]] - begin]
             eight = upto[last, item >> 3] - upto[first, item >> 3]
             count = eight >> (8 * (item & 7)).astype(np.uint64) & np.uint64(255)
             out[k] = count < PART * self.sizes[number[k]]
@@ -498,11 +521,12 @@ class _Shared:
         A range with too few of its item's words can't; a table of marks that holds every item's
         words, and a few more by chance, tells most of those apart before the words are looked up.
         """
-        before, word = _known(hashes, self.words)
+        before, word = self.known(hashes)
         begin = before[low]
         n = before[high] - begin
         least = PART * self.sizes[number]
-        some = np.flatnonzero((n >= least) & ~self.few(hashes, low, high, number))
+        some = np.flatnonzero(n >= least)
+        some = some[~self._few(before, word, low[some], high[some], number[some])]
         for first in range(0, len(some), _CANDIDATES):
             k = some[first : first + _CANDIDATES]
             ends = np.cumsum(n[k])
@@ -549,14 +573,6 @@ class _Shared:
             yield int(k[i]), float(whole[i]), float(answer[i])
 
 
-def _known(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many hashes before each place are among the sorted ``words``, and the places of those there."""
-    at = np.searchsorted(words, hashes)
-    at[at == len(words)] = 0
-    known = words[at] == hashes
-    return np.append(0, np.cumsum(known)), at[known]
-
-
 def _subsequences(places: np.ndarray, count: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``_lcs`` of many runs of words at once, each given by the places of its words in its pattern.
 

@@ -47,13 +47,15 @@ WHOLE, PART, ANSWER = 0.8, 0.65, 0.9
 SHORT = 8
 #: Items looked up in one pass over the documents.
 ITEM_BLOCK = 5_000
+#: Bytes of text cut into words at once: their working arrays stay in the cache.
+_CHUNK_BYTES = 1 << 18
 #: Rows of the score matrix computed at once, at most this many numbers.
-_SCORES = 1_000_000
+_SCORES = 250_000
 
 #: Candidates whose words are counted at once.
 _CANDIDATES = 8_000
 #: Segments whose words' vectors are held at once.
-_SEGMENTS = 2_000
+_SEGMENTS = 500
 #: Words of an item whose places fit a machine word; longer ones are confirmed one at a time.
 _PLACES = 64
 #: Passages of a batch from which on a feature's are summed by themselves.
@@ -95,18 +97,13 @@ def _passages(sums: np.ndarray, text: np.ndarray, follows: np.ndarray) -> tuple[
 
 
 def _segment_sums(words: Words, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sum of the rows of ``table`` over each segment's words, some thousand segments at a time."""
-    out = np.empty((len(starts), table.shape[1]), table.dtype)
-    feature, ends = _feature(words), np.append(starts, len(words.hashes))[1:]
-    for low in range(0, len(starts), _SEGMENTS):
-        some, end = starts[low : low + _SEGMENTS], ends[low : low + _SEGMENTS]
-        sums = table[feature[some]]
-        for place in range(1, STRIDE):
-            rows = table[feature[np.minimum(some + place, end - 1)]]
-            rows[some + place >= end] = 0
-            sums += rows
-        out[low : low + len(some)] = sums
-    return out
+    """Sum of the rows of ``table`` over each segment's words; its last row, of zeros, is that of no word."""
+    feature, sizes = _feature(words), np.diff(np.append(starts, len(words.hashes)))
+    places = np.full((STRIDE, len(starts)), len(table) - 1)
+    for place in range(STRIDE):
+        more = np.flatnonzero(sizes > place)
+        places[place, more] = feature[starts[more] + place]
+    return _row_sums(places, table)
 
 
 def _add_by_feature(out: np.ndarray, features: np.ndarray, rows: np.ndarray) -> None:
@@ -143,7 +140,7 @@ def _rarity(rows: DataFrame) -> tuple[np.ndarray, int]:
         found, total = np.zeros(_FEATURES + 1), 0
         for batch in batches:
             n = batch.column("n").to_numpy()
-            row = np.sort(_unpacked(batch), axis=1)
+            row = np.sort(_packed(batch), axis=1)
             new = np.diff(row, axis=1, prepend=0) > 0
             found += np.bincount(row[new], np.repeat(n, new.sum(axis=1)), minlength=len(found))
             total += int(n.sum())
@@ -169,7 +166,7 @@ def passages(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only()
         for batch in batches:
-            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True):
+            for _, _, words in text_chunks(batch.column(0), lower=True, plain=True, limit=_CHUNK_BYTES):
                 starts, _, _ = _segments(words)
                 sizes = np.diff(np.append(starts, len(words.hashes)))
                 row = np.repeat(np.arange(len(starts)), sizes)
@@ -185,19 +182,29 @@ def passages(texts: DataFrame) -> DataFrame:
 
 def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
     """Features of each passage's words, from 1 on, and 0 where it has no more."""
-    packed = np.stack([batch.column(c).to_numpy() for c in _PACKED], axis=1)
-    return packed.view(np.uint16).astype(np.int64)
+    return _packed(batch).astype(np.int64)
+
+
+def _packed(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy() for c in _PACKED], axis=1).view(np.uint16)
 
 
 def _feature_sums(features: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sum of the rows of ``table`` over each passage's features, some thousand passages at a time."""
-    out = np.empty((len(features), table.shape[1]), table.dtype)
-    for low in range(0, len(features), _SEGMENTS):
-        some = features[low : low + _SEGMENTS]
-        sums = table[some[:, 0]]
-        for place in range(1, STRIDE):
-            sums += table[some[:, place]]
-        out[low : low + len(some)] = sums
+    """Sum of the rows of ``table`` over each passage's features."""
+    return _row_sums(np.ascontiguousarray(features.T), table)
+
+
+def _row_sums(places: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``table`` at each column of ``places``, few at a time, which stay in the cache."""
+    out = np.empty((places.shape[1], table.shape[1]), table.dtype)
+    held = np.empty((_SEGMENTS, table.shape[1]), table.dtype)
+    for low in range(0, len(out), _SEGMENTS):
+        sums, some = out[low : low + _SEGMENTS], places[:, low : low + _SEGMENTS]
+        rows = held[: len(sums)]
+        np.take(table, some[0], axis=0, out=sums, mode="clip")  # "raise" would copy the rows once more
+        for each in some[1:]:
+            np.take(table, each, axis=0, out=rows, mode="clip")
+            sums += rows
     return out
 
 
@@ -600,7 +607,8 @@ def _search(
 ) -> Iterator[tuple]:
     ids = batch.column("id")
     step = max(1, _SCORES // len(queries))
-    for first, _, words in text_chunks(batch.column("text"), lower=True, plain=True):
+    latent = np.concatenate([latent, np.zeros((1, latent.shape[1]), latent.dtype)])
+    for first, _, words in text_chunks(batch.column("text"), lower=True, plain=True, limit=_CHUNK_BYTES):
         starts, text, follows = _segments(words)
         vectors, at = _passages(_segment_sums(words, starts, latent), text, follows)
         vectors = _unit(vectors)
@@ -608,9 +616,8 @@ def _search(
         for low in range(0, len(vectors), step):
             near = np.flatnonzero(vectors[low : low + step] @ queries.T >= LEAST_COSINE)
             passage, query = np.divmod(near, len(queries))
-            met = np.zeros((step, len(items)), bool)
-            met[passage, owners[query]] = True
-            found.append(np.flatnonzero(met) + low * len(items))
+            met = (low + passage) * len(items) + owners[query]  # ascending, as queries follow their items
+            found.append(met[np.diff(met, prepend=-1) > 0])
         passage, number = np.divmod(np.concatenate(found), len(items))
         start, bound, reach = starts[at[passage]], text[at[passage]], shared.sizes[number]
         lows = np.maximum(words.bounds[bound], start - reach)

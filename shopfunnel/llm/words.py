@@ -145,9 +145,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def text_chunks(column: pa.Array, lower: bool = False, plain: bool = False) -> Iterator[tuple[int, int, Words]]:
+def text_chunks(
+    column: pa.Array, lower: bool = False, plain: bool = False, limit: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, Words]]:
     """The words of a column, chunk by chunk, with the range of rows each chunk covers."""
     data, offsets = utf8(column)
-    for first, last in chunks(offsets):
+    for first, last in chunks(offsets, limit):
         at = offsets[first : last + 1]
         yield first, last, words_of(data[at[0] : at[-1]], at - at[0], lower, plain)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopfunnel.llm import decontaminate as D
@@ -201,3 +202,16 @@ def test_words_are_looked_up_once_for_all_groups_of_items(monkeypatch):
     found = {int(number[k]): shares for k, *shares in shared.leaks(items, hashes, low, high, number)}
     assert calls == [len(hashes)]
     assert found == {k: [1.0, 1.0] for k in (3, 300, 599)}
+
+
+def test_segments_are_summed_in_small_blocks(monkeypatch):
+    monkeypatch.setattr(D, "_SEGMENTS", 3)
+    table = np.random.default_rng(2).integers(-9, 9, (1 << D.FEATURE_BITS, 4)).astype(np.float32)
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (0, 1, 12, 13, 50, 120)]
+    for _, _, words in D.text_chunks(pa.array(texts), lower=True, plain=True):
+        starts, _, _ = D._segments(words)
+        got = D._segment_sums(words, starts, np.concatenate([table, np.zeros((1, 4), np.float32)]))
+        ends = np.append(starts, len(words.hashes))[1:]
+        assert len(starts) == 19
+        for a, b, row in zip(starts, ends, got):
+            assert (row == table[D._feature(words)[a:b]].sum(axis=0)).all()

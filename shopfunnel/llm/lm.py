@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfunnel.llm import tokens
-from shopfunnel.llm.common import saved, scratch
+from shopfunnel.llm.common import result, saved, scratch
 from shopfunnel.llm.words import Words, text_chunks
 
 #: Classes, with one for rare subwords and one for the end of a text; inputs have one for the start.
@@ -41,13 +41,15 @@ WINDOW, SCORED, WIDTH = 32, 24, 16
 #: Passes over windows given at once, windows of a step, its length.
 EPOCHS, STEP_WINDOWS, STEP = 3, 128, 0.004
 #: Length of the first step of a rare id's embedding and of a tree node; later ones are shorter.
-RARE_STEP = 0.05
+RARE_STEP = 0.1
+#: Heaviest nodes of the tree, computed for all rare ids at once.
+TOP = 128
 #: Rounds of training, windows of a task over all rounds, about, and windows trained on at least: fewer are repeated.
 ROUNDS, TASK_WINDOWS, LEAST_WINDOWS = 4, 100_000, 90_000
 #: Words whose counts for the base score the tasks hold; the others' counts are joined.
 FREQUENT = 200_000
-#: Windows computed at once: few, so that their arrays stay in a core's cache.
-_WINDOWS = 16
+#: Windows computed at once: few, so that their arrays stay in a core's cache. Rare ids make a step for each such lot.
+_WINDOWS = 64
 #: Subwords whose windows are held at once in training.
 _SUBWORDS = 1 << 18
 
@@ -60,8 +62,8 @@ def in_training(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 7 != 2, F.lit(True))
 
 
-def _normal_texts(words: Words) -> list[str]:
-    """Lower-cased words of each text, a space before each."""
+def _normal_texts(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased words of each text, a space before each: UTF-8 bytes, and the places where texts begin and end."""
     data = _LOWER[words.data]
     spaced = np.full(int((words.ends - words.starts).sum()) + len(words.starts), 0x20, np.uint8)
     lengths = words.ends - words.starts + 1
@@ -72,9 +74,13 @@ def _normal_texts(words: Words) -> list[str]:
     edge[words.starts] += 1
     edge[words.ends] -= 1
     spaced[inside] = data[np.cumsum(edge[:-1], dtype=np.int8) > 0]
-    bounds = np.append(places, len(spaced))[words.bounds]
-    raw = spaced.tobytes()
-    return [raw[a:b].decode(errors="replace") for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return spaced, np.append(places, len(spaced))[words.bounds]
+
+
+def _spelled(words: Words, vocabulary: str) -> list[np.ndarray]:
+    """Subword ids of each text."""
+    ids, bounds = tokens.encoder(vocabulary).flat(*_normal_texts(words))
+    return np.split(ids, bounds[1:-1])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -141,10 +147,10 @@ class Classes:
         """Classes of a text's ids with the end."""
         return np.append(self.of[np.frombuffer(data, "<u4")], END)
 
-    def members(self, data: bytes) -> np.ndarray:
-        """Numbers of a text's rare ids among all rare ones, in their order."""
-        ids = np.frombuffer(data, "<u4")
-        return self._number[ids[self.of[ids] == TAIL]]
+    def cut(self, ids: np.ndarray) -> tuple[bytes, bytes]:
+        """Classes of a text's ids with the end, a byte each, and the numbers of the rare ones among all rare ones."""
+        of = self.of[ids]
+        return np.append(of, END).astype(np.uint8).tobytes(), self._number[ids[of == TAIL]].astype("<u4").tobytes()
 
     @cached_property
     def _number(self) -> np.ndarray:
@@ -158,11 +164,14 @@ def codes(sequence: np.ndarray, members: np.ndarray) -> np.ndarray:
     return out
 
 
-def _row_sums(at: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sums of the ``rows`` of each place ``at``."""
-    width = rows.shape[1]
-    places = (at.reshape(-1, 1) * width + np.arange(width)).ravel()
-    return np.bincount(places, rows.ravel(), minlength=count * width).reshape(count, width).astype(rows.dtype)
+def _sums_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``keys`` and the sums of their ``rows``."""
+    if keys.max() < 1 << 16:
+        keys = keys.astype(np.uint16)  # sorted by digits
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    low = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[low].astype(np.int64), np.add.reduceat(rows.take(order, axis=0), low, axis=0)
 
 
 class Members:
@@ -195,32 +204,72 @@ class Members:
         owner = np.concatenate(owners) if owners else np.empty(0, np.int64)
         order = np.argsort(owner, kind="stable")
         self.nodes, self.bits = np.concatenate(nodes)[order].astype(np.int32), np.concatenate(bits)[order]
-        self.sizes = np.bincount(owner, minlength=n)
-        self.low = np.cumsum(self.sizes) - self.sizes
+        sizes = np.bincount(owner, minlength=n)
+        self.low = np.cumsum(sizes) - sizes
+        # Inner nodes are numbered by weight: the heaviest come last, and last on every way up.
+        self.cut = max(0, len(bias) - TOP)
+        self.deep = np.bincount(owner[order], self.nodes < self.cut, minlength=n).astype(np.int64)
+        rest = sizes - self.deep
+        ways = np.zeros((n, len(bias) - self.cut), np.int8)
+        place = tokens._ragged(self.low + self.deep, rest)
+        ways[np.repeat(np.arange(n), rest), self.nodes[place] - self.cut] = np.where(self.bits[place], -1, 1)
+        ways, self.entry = np.unique(ways, axis=0, return_inverse=True)
+        self.ways, self.entry = ways.astype(np.float32), self.entry.ravel().astype(np.int32)
         self.tree = np.zeros((len(bias), WIDTH + 1), np.float32)
         self.tree[:, WIDTH] = bias
         self.embed = np.zeros((n, WIDTH), np.float32)
 
     def _paths(self, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes on the ways to some members, which turn is taken there, and whose way it is."""
-        place = tokens._ragged(self.low[member], self.sizes[member])
-        return self.nodes[place], self.bits[place], np.repeat(np.arange(len(member)), self.sizes[member])
+        """Nodes below the heaviest on the ways to some members, which turn is taken there, and whose way it is."""
+        sizes = self.deep[member]
+        place = tokens._ragged(self.low[member], sizes)
+        return self.nodes[place], self.bits[place], np.repeat(np.arange(len(member)), sizes)
+
+    def _turns(self, hidden: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """At the heaviest nodes: the turns taken, 0 where a way doesn't lead, and the odds against each."""
+        turns = self.ways.take(self.entry[member], axis=0)
+        odds = hidden @ self.tree[self.cut :, :WIDTH].T
+        odds += self.tree[self.cut :, WIDTH]
+        odds *= turns
+        if not _tame(odds):
+            np.clip(odds, -80, 80, out=odds)
+        return turns, np.exp(odds, out=odds)
+
+    def _odds(self, hidden: np.ndarray, weights: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """The odds against the turns taken at nodes with the ``weights``."""
+        logit = np.einsum("ij,ij->i", hidden, weights[:, :WIDTH]) + weights[:, WIDTH]
+        return np.exp(np.clip(np.where(bit, -logit, logit), -80, 80))
 
     def log_probabilities(self, hidden: np.ndarray, member: np.ndarray) -> np.ndarray:
+        turns, odds = self._turns(hidden, member)
+        odds += 1
+        out = -np.einsum("ij,ij->i", np.log(odds, out=odds), np.abs(turns, out=turns)).astype(np.float64)
         node, bit, owner = self._paths(member)
-        weights = self.tree[node]
-        logit = np.einsum("ij,ij->i", hidden[owner], weights[:, :WIDTH]) + weights[:, WIDTH]
-        return -np.bincount(owner, np.logaddexp(0, np.where(bit, -logit, logit)), minlength=len(member))
+        if len(node):
+            odds = self._odds(hidden.take(owner, axis=0), self.tree.take(node, axis=0), bit)
+            out -= np.bincount(owner, np.log(odds + 1), minlength=len(member))
+        return out
 
     def slopes(self, hidden: np.ndarray, member: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Derivatives of the loss of ``n`` positions by ``hidden``, the nodes met, and those by them."""
+        turns, odds = self._turns(hidden, member)
+        by_logit = np.divide(odds, odds + 1, out=odds)
+        by_logit *= turns
+        by_logit *= 1 / n
+        by_hidden = by_logit @ self.tree[self.cut :, :WIDTH]
+        by_top = by_logit.T @ np.concatenate([hidden, np.ones((len(hidden), 1), hidden.dtype)], axis=1)
+        top = np.flatnonzero(turns.any(axis=0))
         node, bit, owner = self._paths(member)
-        weights, met = self.tree[node], hidden[owner]
-        logit = np.einsum("ij,ij->i", met, weights[:, :WIDTH]) + weights[:, WIDTH]
-        slope = ((1 / (1 + np.exp(-np.clip(logit, -30, 30))) - bit) / n).astype(np.float32)[:, None]
-        by_hidden = _row_sums(owner, slope * weights[:, :WIDTH], len(member))
-        at, number = np.unique(node, return_inverse=True)
-        return by_hidden, at, _row_sums(number, np.concatenate([slope * met, slope], axis=1), len(at))
+        if not len(node):
+            return by_hidden, top + self.cut, by_top[top]
+        weights, met = self.tree.take(node, axis=0), hidden.take(owner, axis=0)
+        odds = self._odds(met, weights, bit)
+        slope = (np.where(bit, -1, 1) * odds / ((odds + 1) * n)).astype(np.float32)[:, None]
+        weights *= slope
+        low = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        by_hidden[owner[low]] += np.add.reduceat(weights, low, axis=0)[:, :WIDTH]
+        at, by_node = _sums_by(node, np.concatenate([slope * met, slope], axis=1))
+        return by_hidden, np.concatenate([at, top + self.cut]), np.concatenate([by_node, by_top[top]])
 
 
 class Rare:
@@ -232,9 +281,10 @@ class Rare:
         self.met = {k: np.zeros(len(t), np.int64) for k, t in self.tables.items()}
 
     def step(self, name: str, at: np.ndarray, slopes: np.ndarray, share: float) -> None:
-        squares = self.squares[name]
-        squares[at] += slopes**2
-        self.tables[name][at] -= RARE_STEP * share * slopes / np.sqrt(squares[at])
+        squares = self.squares[name].take(at, axis=0)
+        squares += slopes**2
+        self.squares[name][at] = squares
+        self.tables[name][at] -= np.float32(RARE_STEP * share) * slopes / np.sqrt(squares, out=squares)
         self.met[name][at] += 1
 
 
@@ -253,41 +303,59 @@ class Attention:
             "key": drawn(WIDTH, WIDTH), "value": drawn(WIDTH, WIDTH), "out": drawn(WIDTH, WIDTH),
             "score": 0.1 * drawn(WIDTH, CLASSES), "bias": np.zeros(CLASSES, np.float32),
         }
-        self.future = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+        self.past = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
     def _sides(self) -> np.ndarray:
-        return np.concatenate([self.weights[k] for k in ("query", "key", "value")], axis=1)
+        """Weights to queries, scaled, keys, values and a column that becomes ones."""
+        w = self.weights
+        query = w["query"] * w["query"].dtype.type(WIDTH**-0.5)
+        return np.concatenate([query, w["key"], w["value"], np.zeros_like(query[:, :1])], axis=1)
 
-    def hidden(self, inputs: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def hidden(self, inputs: np.ndarray, low: int = 0) -> tuple[np.ndarray, tuple]:
+        """The layer's output at positions from ``low`` on, and what its derivatives need.
+
+        Sums over what a position sees come from the column of ones beside the values.
+        """
         w = self.weights
         x = w["embed"].take(_classes(inputs), axis=0) + w["place"]
         if self.members:
-            rare = inputs > START
-            x[rare] += self.members.embed[inputs[rare] - START - 1]
-        both = (x.reshape(-1, WIDTH) @ self._sides()).reshape(*inputs.shape, 3 * WIDTH)
-        q, k, v = both[..., :WIDTH], both[..., WIDTH : 2 * WIDTH], both[..., 2 * WIDTH :]
-        seen = q @ k.transpose(0, 2, 1)
-        seen *= np.float32(WIDTH**-0.5)
-        seen += self.future
-        seen -= seen.max(axis=2, keepdims=True)
+            rare = np.flatnonzero(inputs > START)
+            x.reshape(-1, WIDTH)[rare] += self.members.embed[inputs.ravel()[rare] - START - 1]
+        both = (x.reshape(-1, WIDTH) @ self._sides()).reshape(*inputs.shape, 3 * WIDTH + 1)
+        both[..., 3 * WIDTH] = 1
+        q, k, v = both[:, low:, :WIDTH], both[..., WIDTH : 2 * WIDTH], both[..., 2 * WIDTH :]
+        seen, past = q @ k.transpose(0, 2, 1), self.past[low:]
+        if not _tame(seen):
+            seen -= np.where(past > 0, seen, -np.inf).max(axis=2, keepdims=True)
+            np.minimum(seen, 0, out=seen)
         np.exp(seen, out=seen)
-        seen /= seen.sum(axis=2, keepdims=True)
+        seen *= past
         met = seen @ v
-        return x + (met.reshape(-1, WIDTH) @ w["out"]).reshape(x.shape), (x, q, k, v, seen, met)
+        total = met[..., WIDTH:]
+        met = met[..., :WIDTH] / total
+        return x[:, low:] + (met.reshape(-1, WIDTH) @ w["out"]).reshape(met.shape), (x, q, k, v, seen, met, total)
 
-    def _logits(self, hidden: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-        """Logits of the classes at some positions, the largest of each 0."""
+    def _before(self) -> np.ndarray:
+        """What the logits of classes begin with, for each class before."""
+        return self.pairs + self.weights["bias"]
+
+    def _logits(self, hidden: np.ndarray, classes: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Logits of the classes after some ``classes``, whose exponentials are finite and don't all vanish."""
         z = hidden @ self.weights["score"]
-        z += (self.pairs + self.weights["bias"]).take(_classes(inputs), axis=0)
-        z -= z.max(axis=1, keepdims=True)
+        z += before.take(classes, axis=0)
+        most = np.sqrt(_squares(hidden).max(initial=0) * _squares(self.weights["score"].T).max())
+        if not (most < 40 and _tame(self.weights["bias"])):  # as the pairs' odds are those of shares
+            z -= z.max(axis=1, keepdims=True)
         return z
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Natural logarithms at the ``wanted`` positions of windows, in their order."""
-        hidden, target = self.hidden(inputs)[0][wanted], targets[wanted]
-        z = self._logits(hidden, inputs[wanted])
+        low = _unwanted(wanted)
+        at = np.flatnonzero(wanted[:, low:])
+        hidden, target = self.hidden(inputs, low)[0].reshape(-1, WIDTH).take(at, axis=0), targets[:, low:].ravel()[at]
+        z = self._logits(hidden, _classes(inputs[:, low:].ravel()[at]), self._before())
         chosen = z[np.arange(len(z)), _classes(target)]
-        out = chosen - np.log(np.exp(z, out=z) @ np.ones(CLASSES, z.dtype))
+        out = chosen - np.log(np.einsum("ij->i", np.exp(z, out=z)))
         rare = np.flatnonzero(target > START)
         if self.members and len(rare):
             out[rare] += self.members.log_probabilities(hidden[rare], target[rare] - START - 1)
@@ -302,43 +370,59 @@ class Attention:
         their tree and embeddings make their step.
         """
         w = self.weights
-        hidden, (x, q, k, v, seen, met) = self.hidden(inputs)
-        mine, target = hidden[wanted], targets[wanted]
-        p = self._logits(mine, inputs[wanted])
+        flat = lambda a: a.reshape(-1, a.shape[-1])
+        low = _unwanted(wanted)
+        hidden, (x, q, k, v, seen, met, sums) = self.hidden(inputs, low)
+        at = np.flatnonzero(wanted[:, low:])
+        mine, target = flat(hidden).take(at, axis=0), targets[:, low:].ravel()[at]
+        p = self._logits(mine, _classes(inputs[:, low:].ravel()[at]), self._before())
         n = of or len(mine)
         rows, classes = np.arange(len(mine)), _classes(target)
         chosen = p[rows, classes]
-        total = np.exp(p, out=p) @ np.ones(CLASSES, p.dtype)
+        np.exp(p, out=p)
+        total = np.einsum("ij->i", p)
         loss = (np.log(total) - chosen).sum() / n
-        p *= (1 / (total * p.dtype.type(n)))[:, None]
-        p[rows, classes] -= p.dtype.type(1 / n)
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        out = {"score": mine.T @ p, "bias": np.ones(len(mine), p.dtype) @ p}
+        scale = (1 / (total * p.dtype.type(n)))[:, None]
+        p[rows, classes] -= total
+        scaled = np.concatenate([mine * scale, scale], axis=1).T @ p
+        out = {"score": scaled[:WIDTH], "bias": scaled[WIDTH]}
         dmine = p @ w["score"].T
+        dmine *= scale
         if rare:
             tail = np.flatnonzero(target > START)
             by_hidden, nodes, by_node = self.members.slopes(mine[tail], target[tail] - START - 1, n)
             dmine[tail] += by_hidden
             rare.step("tree", nodes, by_node, share)
         dh = np.zeros(hidden.shape, dmine.dtype)
-        dh[wanted] = dmine
+        flat(dh)[at] = dmine
         out["out"] = flat(met).T @ flat(dh)
         dmet = (flat(dh) @ w["out"].T).reshape(dh.shape)
-        ds = dmet @ v.transpose(0, 2, 1)
-        ds -= np.einsum("bij,bij->bi", ds, seen)[:, :, None]
+        dmet /= sums
+        by_met = np.empty((*dh.shape[:2], WIDTH + 1), dmet.dtype)
+        by_met[..., :WIDTH] = dmet
+        np.negative(np.einsum("bij,bij->bi", dmet, met), out=by_met[..., WIDTH])
+        ds = by_met @ v.transpose(0, 2, 1)
         ds *= seen
-        ds *= np.float32(WIDTH**-0.5)
-        sides = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, seen.transpose(0, 2, 1) @ dmet], axis=2)
+        sides = np.empty((*inputs.shape, 3 * WIDTH), dh.dtype)
+        sides[:, :low, :WIDTH] = 0
+        np.matmul(ds, k, out=sides[:, low:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=sides[..., WIDTH : 2 * WIDTH])
+        np.matmul(seen.transpose(0, 2, 1), dmet, out=sides[..., 2 * WIDTH :])
         by_side = flat(x).T @ flat(sides)
+        by_side[:, :WIDTH] *= by_side.dtype.type(WIDTH**-0.5)
         for number, name in enumerate(("query", "key", "value")):
             out[name] = by_side[:, number * WIDTH : (number + 1) * WIDTH]
-        dx = dh + (flat(sides) @ self._sides().T).reshape(dh.shape)
+        dx = (flat(sides) @ self._sides()[:, : 3 * WIDTH].T).reshape(x.shape)
+        dx[:, low:] += dh
         out["place"] = dx.sum(axis=0)
-        out["embed"] = _row_sums(_classes(inputs), flat(dx), CLASSES + 1)
-        if rare:
-            own = inputs > START
-            at, number = np.unique(inputs[own] - START - 1, return_inverse=True)
-            rare.step("embed", at, _row_sums(number, dx[own], len(at)), share)
+        found, by_code = _sums_by(inputs.ravel(), flat(dx))
+        own = np.searchsorted(found, START, side="right")
+        out["embed"] = np.zeros((CLASSES + 1, WIDTH), dx.dtype)
+        out["embed"][found[:own]] = by_code[:own]
+        if own < len(found):
+            out["embed"][TAIL] += by_code[own:].sum(axis=0)
+            if rare:
+                rare.step("embed", found[own:] - START - 1, by_code[own:], share)
         return float(loss), out
 
     def train(
@@ -348,11 +432,12 @@ class Attention:
         """Adam over shuffled windows; the step's length falls by a share of it until the end."""
         adam = adam or Adam(self.weights)
         random, step = np.random.default_rng(9), 0
-        steps = passes * -(-len(inputs) // STEP_WINDOWS)
+        steps, whole = passes * -(-len(inputs) // STEP_WINDOWS), wanted[:, : WINDOW - SCORED].any(axis=1)
         for _ in range(passes):
             order = random.permutation(len(inputs))
             for low in range(0, len(order), STEP_WINDOWS):
                 at = order[low : low + STEP_WINDOWS]
+                at = at[np.argsort(~whole[at], kind="stable")]
                 n, slopes = int(wanted[at].sum()), None
                 for few in np.split(at, range(_WINDOWS, len(at), _WINDOWS)):
                     _, part = self.slopes(inputs[few], targets[few], wanted[few], rare, adam.rate / STEP, n)
@@ -365,21 +450,37 @@ def _classes(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > START, TAIL, codes)
 
 
+def _squares(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows)
+
+
+def _unwanted(wanted: np.ndarray) -> int:
+    """How many first positions of the windows are only seen by later ones."""
+    return 0 if wanted[:, : WINDOW - SCORED].any() else WINDOW - SCORED
+
+
+def _tame(logits: np.ndarray) -> bool:
+    """Whether exponentials of all of them can be summed up as they are."""
+    return not logits.size or bool(logits.max() < 40 and logits.min() > -40)
+
+
 class Adam:
     """Steps of weights down their slopes, by running means of these and of their squares."""
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float = STEP) -> None:
         self.weights, self.rate, self.steps = weights, rate, 0
-        self.mean = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.square = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.mean, self.square = np.zeros((2, sum(v.size for v in weights.values())), np.float32)
 
     def step(self, slopes: dict[str, np.ndarray], share: float = 1.0) -> None:
         self.steps += 1
-        for name, slope in slopes.items():
-            self.mean[name] += 0.1 * (slope - self.mean[name])
-            self.square[name] += 0.01 * (slope**2 - self.square[name])
-            mean, square = self.mean[name] / (1 - 0.9**self.steps), self.square[name] / (1 - 0.99**self.steps)
-            self.weights[name] -= (self.rate * share * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
+        slope, low = np.concatenate([slopes[name].ravel() for name in self.weights]), 0
+        self.mean += 0.1 * (slope - self.mean)
+        self.square += 0.01 * (slope**2 - self.square)
+        mean, square = self.mean / (1 - 0.9**self.steps), self.square / (1 - 0.99**self.steps)
+        moved = (self.rate * share * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
+        for weight in self.weights.values():
+            weight -= moved[low : low + weight.size].reshape(weight.shape)
+            low += weight.size
 
 
 def windows_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -411,24 +512,21 @@ class Model:
 
     def scores(self, words: Words) -> np.ndarray:
         """Natural log probability of each text with its end."""
-        encoder = tokens.encoder(self.vocabulary)
-        spelled = encoder.encode(_normal_texts(words))
-        ids = np.frombuffer(b"".join(spelled), "<u4")
-        sequences = [self.classes.sequence(data) for data in spelled]
-        if self.attention.members:
-            sequences = [codes(cut, self.classes.members(data)) for cut, data in zip(sequences, spelled)]
-        inputs, targets, wanted, _ = windows_of(sequences)
+        spelled = _spelled(words, self.vocabulary)
+        found = self.of_sequences([_coded(*self.classes.cut(ids), bool(self.attention.members)) for ids in spelled])
+        if not self.attention.members:
+            found += [self.classes.share[ids].sum() for ids in spelled]
+        return found
+
+    def of_sequences(self, sequences: list[np.ndarray]) -> np.ndarray:
+        """Natural log probability of each sequence."""
+        inputs, targets, wanted, owner = windows_of(sequences)
+        order = np.argsort(~wanted[:, : WINDOW - SCORED].any(axis=1), kind="stable")
         found = [
-            self.attention.log_probabilities(inputs[low : low + _WINDOWS], targets[low : low + _WINDOWS], wanted[low : low + _WINDOWS])
-            for low in range(0, len(inputs), _WINDOWS)
+            self.attention.log_probabilities(inputs[few], targets[few], wanted[few])
+            for few in np.split(order, range(_WINDOWS, len(order), _WINDOWS))
         ]
-        by_position = np.concatenate(found)  # those of each text's ids and its end, text after text
-        sizes = np.array([len(data) // 4 for data in spelled])
-        total = np.concatenate([[0.0], np.cumsum(by_position, dtype=np.float64)])
-        share = 0 if self.attention.members else self.classes.share[ids]
-        inside = np.concatenate([[0.0], np.cumsum(np.zeros(len(ids)) + share)])
-        ends, last = np.cumsum(sizes + 1), np.cumsum(sizes)
-        return total[ends] - total[ends - sizes - 1] + inside[last] - inside[last - sizes]
+        return np.bincount(np.repeat(owner[order], wanted[order].sum(axis=1)), np.concatenate(found), minlength=len(sequences))
 
 
 def class_sequences(training: DataFrame, classes: Classes, vocabulary: str) -> DataFrame:
@@ -440,24 +538,30 @@ def class_sequences(training: DataFrame, classes: Classes, vocabulary: str) -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, words in text_chunks(batch.column("text"), lower=True):
-                spelled = tokens.encoder(vocabulary).encode(_normal_texts(words))
-                cut = [classes.sequence(d).astype(np.uint8).tobytes() for d in spelled]
+                spelled = _spelled(words, vocabulary)
                 places = batch.column("place").slice(first, last - first)
-                members = [classes.members(d).astype("<u4").tobytes() for d in spelled]
-                columns = [places, pa.array(cut, pa.binary()), pa.array(members, pa.binary())]
+                columns = [places, *_cut_columns([classes.cut(d) for d in spelled])]
                 yield pa.RecordBatch.from_arrays(columns, ["place", "classes", "members"])
 
     return training.select(F.xxhash64("id", "text").alias("place"), "text").mapInArrow(cut, "place long, classes binary, members binary")
 
 
+def _cut_columns(cut: list[tuple[bytes, bytes]]) -> list[pa.Array]:
+    return [pa.array([row[side] for row in cut], pa.binary()) for side in (0, 1)]
+
+
+def _coded(classes: bytes, members: bytes, whole: bool) -> np.ndarray:
+    cut = np.frombuffer(classes, np.uint8).astype(np.int64)
+    return codes(cut, np.frombuffer(members, "<u4")) if whole else cut
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[list[np.ndarray]]:
     """Sequences of the rows, about as many at a time as may be held; ``whole`` ones tell rare ids apart."""
     group: list[np.ndarray] = []
     size = 0
     for batch in batches:
-        for row, data in enumerate(batch.column("classes")):
-            cut = np.frombuffer(data.as_py(), np.uint8).astype(np.int64)
-            group.append(codes(cut, np.frombuffer(batch.column("members")[row].as_py(), "<u4")) if whole else cut)
+        for cut, members in zip(batch.column("classes"), batch.column("members")):
+            group.append(_coded(cut.as_py(), members.as_py(), whole))
             size += len(group[-1])
             if size >= _SUBWORDS:
                 yield group
@@ -555,14 +659,17 @@ def _means(rows: pa.Table, width: int) -> np.ndarray:
 def train_model(training: DataFrame, counts: DataFrame, vocabulary: str) -> Model:
     """Classes, their pairs and the weights, from all training documents."""
     each = subword_counts(counts, vocabulary)
-    classes = Classes.from_counts(each)
     with scratch(training.sparkSession):
-        sequences = saved(class_sequences(training, classes, vocabulary), "class-sequences")
-        found, windows = pair_counts(sequences)
-        pairs = found + 1.0 / CLASSES
-        attention = Attention(np.log(pairs / pairs.sum(axis=1, keepdims=True)), Members(each[classes.of == TAIL]))
-        if windows:
-            train_attention(sequences, attention, windows)
+        classes = Classes.from_counts(each)
+        return _trained(saved(class_sequences(training, classes, vocabulary), "class-sequences"), each, classes, vocabulary)
+
+
+def _trained(sequences: DataFrame, each: np.ndarray, classes: Classes, vocabulary: str) -> Model:
+    found, windows = pair_counts(sequences)
+    pairs = found + 1.0 / CLASSES
+    attention = Attention(np.log(pairs / pairs.sum(axis=1, keepdims=True)), Members(each[classes.of == TAIL]))
+    if windows:
+        train_attention(sequences, attention, windows)
     return Model(classes, attention, vocabulary)
 
 
@@ -573,27 +680,29 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the training tokens, ``score`` the model's; both are base-10 logarithms. A null text is empty and
     has the end alone. Null ids train. Repeated rows are scored each. Without training documents
     all counts are zero. An empty table gives an empty result. Other columns are not read.
+
+    Each text is cut into subwords once, which training and scoring read.
     """
     vocabulary = vocabulary or tokens.vocabulary_path()
     id_type = docs.schema[id_col].dataType.simpleString()
     read = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), in_training(id_col).alias("training")
     )
-    training = read.filter("training")
-    counts = saved(word_counts(training.select("text")), "word-counts")
+    counts = saved(word_counts(read.filter("training").select("text")), "word-counts")
     sums = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count_if((F.col("n") > 0)), F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0))
     ).first()
     train_tokens, distinct, ends = (int(x) for x in sums)
-    model = train_model(training, counts, vocabulary)
+    each = subword_counts(counts, vocabulary)
+    classes = Classes.from_counts(each)
     frequent = counts.filter("word is not null").orderBy(F.desc("n"), "hash").limit(FREQUENT).select("hash", "n").toArrow()
     order = np.argsort(frequent["hash"].to_numpy().view(np.uint64))
     held = docs.sparkSession.sparkContext.broadcast(
-        (model, frequent["hash"].to_numpy().view(np.uint64)[order], frequent["n"].to_numpy()[order])
+        (classes, frequent["hash"].to_numpy().view(np.uint64)[order], frequent["n"].to_numpy()[order])
     )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hashes, n = held.value
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, hashes, n = held.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, last, words in text_chunks(batch.column("text"), lower=True):
@@ -606,19 +715,42 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seen = np.concatenate([[0], np.cumsum(known)])
                 lengths, lists = np.diff(words.bounds), np.searchsorted(np.flatnonzero(~known), words.bounds)
                 rare = pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(words.hashes[~known].view(np.int64)))
+                spelled = _spelled(words, vocabulary)
                 columns = [
-                    pa.array(np.arange(row, row + len(rows))), rows.column("id"), rows.column("training"),
+                    pa.array(np.arange(row, row + len(rows))), rows.column("id"), rows.column("training"), rows.column("place"),
                     pa.array(lengths + 1), pa.array(seen[words.bounds[1:]] - seen[words.bounds[:-1]] + (ends > 0)),
-                    pa.array(total[words.bounds[1:]] - total[words.bounds[:-1]] + np.log10(ends + 1)),
-                    pa.array(model.scores(words) / np.log(10)), rare,
+                    pa.array(total[words.bounds[1:]] - total[words.bounds[:-1]] + np.log10(ends + 1)), rare,
+                    *_cut_columns([classes.cut(d) for d in spelled]),
                 ]
                 row += len(rows)
-                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "training", "n_tokens", "known", "logs", "score", "rare"])
+                names = ["row", "id", "training", "place", "n_tokens", "known", "logs", "rare", "classes", "members"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"row long, id {id_type}, training boolean, n_tokens long, known long, logs double, score double, rare array<long>"
-    scored = saved(read.mapInArrow(score, schema), "scored")
-    each = scored.select("row", F.explode("rare").alias("hash"))
-    more = each.join(counts.filter("word is not null").select("hash", "n"), "hash").groupBy("row").agg(
+    schema = (
+        f"row long, id {id_type}, training boolean, place long, n_tokens long, known long, logs double, rare array<long>, "
+        "classes binary, members binary"
+    )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = learnt.value
+        for batch in batches:
+            # cut into ranges of rows with about as many subwords as may be held
+            runs = np.cumsum(pc.binary_length(batch.column("classes")).to_numpy()) // _SUBWORDS
+            bounds = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(batch)] if len(batch) else [0]
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                rows = batch.slice(low, high - low)
+                group = [_coded(c.as_py(), m.as_py(), True) for c, m in zip(rows.column("classes"), rows.column("members"))]
+                scores = pa.array(model.of_sequences(group) / np.log(10))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-2], scores], [*rows.schema.names[:-2], "score"])
+
+    scored_schema = f"row long, id {id_type}, training boolean, n_tokens long, known long, logs double, rare array<long>, score double"
+    with scratch(docs.sparkSession):
+        spelled = saved(read.withColumn("place", F.xxhash64("id", "text")).mapInArrow(cut, schema), "spelled")
+        model = _trained(spelled.filter("training").select("place", "classes", "members"), each, classes, vocabulary)
+        learnt = docs.sparkSession.sparkContext.broadcast(model)
+        scored = result(spelled.drop("place").mapInArrow(score, scored_schema), "scored")
+    lookups = scored.select("row", F.explode("rare").alias("hash"))
+    more = lookups.join(counts.filter("word is not null").select("hash", "n"), "hash").groupBy("row").agg(
         F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs")
     )
     whole = scored.drop("rare").join(more, "row", "left")

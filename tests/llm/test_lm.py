@@ -183,3 +183,59 @@ def test_rare_ids_are_learnt_in_context(spark, monkeypatch):
     before = attention.members.log_probabilities(np.zeros((4000, lm.WIDTH)), np.concatenate(cut[:100])).mean()
     lm.train_attention(sequences, attention, 1200)
     assert attention.log_probabilities(inputs, targets, wanted).mean() > before + 0.5
+
+
+def test_heavy_nodes_are_those_above_on_every_way(monkeypatch):
+    """Computed for all rare ids at once or way by way, probabilities and derivatives are the same."""
+    rng = np.random.default_rng(8)
+    counts = rng.zipf(1.3, 900)
+    found = []
+    for top in (lm.TOP, 1, 10_000):
+        monkeypatch.setattr(lm, "TOP", top)
+        members = lm.Members(counts)
+        members.tree = np.random.default_rng(9).standard_normal(members.tree.shape).astype(np.float32)
+        hidden, met = np.random.default_rng(10).standard_normal((900, lm.WIDTH)).astype(np.float32), np.random.default_rng(11).permutation(900)
+        by_hidden, nodes, by_node = members.slopes(hidden, met, 3)
+        table = np.zeros_like(members.tree)
+        table[nodes] = by_node
+        found.append((members.log_probabilities(hidden, met), by_hidden, table, members.deep.sum()))
+    assert found[2][3] == 0 < found[0][3] < found[1][3] / 2
+    for other in found[1:]:
+        assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(found[0][:3], other[:3]))
+
+
+@pytest.mark.parametrize("size", [1, 300])
+def test_large_logits(size):
+    """As the definition has it, also where exponentials of the logits would not be finite."""
+    rng = np.random.default_rng(12)
+    model = lm.Attention(rng.standard_normal((lm.CLASSES + 1, lm.CLASSES)))
+    model.weights = {k: v * np.float32(size**0.5 if k in ("query", "score") else 1) for k, v in model.weights.items()}
+    inputs, targets = rng.integers(0, lm.CLASSES + 1, (2, lm.WINDOW)), rng.integers(0, lm.CLASSES, (2, lm.WINDOW))
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    x = w["embed"][inputs] + w["place"]
+    seen = (x @ w["query"]) @ (x @ w["key"]).transpose(0, 2, 1) / lm.WIDTH**0.5
+    seen = np.where(np.tri(lm.WINDOW) > 0, seen, -np.inf)
+    seen = np.exp(seen - seen.max(axis=2, keepdims=True))
+    hidden = x + (seen / seen.sum(axis=2, keepdims=True)) @ (x @ w["value"]) @ w["out"]
+    z = hidden @ w["score"] + model.pairs[inputs] + w["bias"]
+    top = z.max(axis=2)
+    expected = np.take_along_axis(z, targets[..., None], 2)[..., 0] - top - np.log(np.exp(z - top[..., None]).sum(axis=2))
+    for low in (0, lm.WINDOW - lm.SCORED):
+        wanted = np.broadcast_to(np.arange(lm.WINDOW) >= low, inputs.shape)
+        got = model.log_probabilities(inputs, targets, wanted)
+        assert np.isfinite(got).all() and np.allclose(got, expected[wanted], rtol=2e-3, atol=2e-3)
+        assert model.slopes(inputs, targets, wanted)[0] == pytest.approx(-expected[wanted].mean(), rel=2e-3)
+
+
+def test_texts_are_cut_into_subwords_once(spark, monkeypatch):
+    """Only the counts of words and the cut texts are taken from the documents; training and scoring read the cut ones."""
+    plans = []
+
+    def noted(save):
+        return lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or save(df, name)
+
+    for name in {"saved", "result"} & set(dir(lm)):
+        monkeypatch.setattr(lm, name, noted(getattr(lm, name)))
+    docs = spark.range(300).selectExpr("id doc_id", "concat('the station ', id) text")
+    assert lm.score_texts(docs).count() == 300
+    assert sum("Range (0, 300" in plan for plan in plans) == 2
